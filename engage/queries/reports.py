@@ -26,13 +26,14 @@ def _count(kind: str) -> Column:
     return F.count_if(F.col("event_type") == kind)
 
 
-METRICS = {
-    "views": _count("view"),
-    "likes": _count("click"),
-    "comments": _count("signup"),
-    "estimated_minutes_watched": F.floor(F.sum("watch_ms") / 60000),
-    "average_view_duration_seconds": F.floor(F.sum("watch_ms") / (F.count("*") * 1000)),
-}
+def _metrics() -> dict[str, Column]:
+    return {
+        "views": _count("view"),
+        "likes": _count("click"),
+        "comments": _count("signup"),
+        "estimated_minutes_watched": F.floor(F.sum("watch_ms") / 60000),
+        "average_view_duration_seconds": F.floor(F.sum("watch_ms") / (F.count("*") * 1000)),
+    }
 
 
 def _text_dates(df: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def _text_dates(df: DataFrame) -> DataFrame:
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = report_range(AS_OF)
-    return daily_report(watched(spark, sf_dir), F.col("day"), {"video_id": F.col("video")}, METRICS, start, end)
+    return daily_report(watched(spark, sf_dir), F.col("day"), {"video_id": F.col("video")}, _metrics(), start, end)
 
 
 def daily_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def daily_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for name in ("location", "traffic"):
         dims = {"video_id": F.col("video"), "value": F.coalesce(name, F.lit("None"))}
-        report = daily_report(rows, F.col("day"), dims, {"views": METRICS["views"]}, start, end, max_rows=None)
+        report = daily_report(rows, F.col("day"), dims, {"views": _count("view")}, start, end, max_rows=None)
         parts.append(report.withColumn("breakdown", F.lit(name)))
     return _text_dates(parts[0].unionByName(parts[1]))
 

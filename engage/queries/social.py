@@ -190,7 +190,7 @@ def metadata_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 def post_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A posts table in which some posts have reactions, some none and some unknown."""
     rows = flatten_posts(
-        posts(spark, sf_dir).withColumn("metadata", F.lit(None).cast(f"struct<{_struct_fields(S.POST_METADATA)}>")),
+        posts(spark, sf_dir).withColumn("metadata", F.lit(None).cast(S.POST_METADATA_RECORD)),
         v2_fallback=True,
         as_of="2024-02-01 00:00:00",
     )
@@ -198,13 +198,6 @@ def post_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("total_reactions", F.when(length % 3 == 0, 0).when(length % 3 == 1, length))
 
 
-def _struct_fields(schema: str) -> str:
-    """Top-level ``name type`` pairs as struct fields."""
-    return schema.replace("urn string", "urn:string").replace(" struct<", ":struct<").replace(" map<", ":map<").replace(
-        "commentsState string", "commentsState:string"
-    )
-
-
 def metadata_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = E.backfill_metadata(post_table(spark, sf_dir), post_metadata(spark, sf_dir), max_calls=90, as_of=AS_OF)
     return zone_free(rows.select("post_id", "created_at", *METADATA_COLUMNS, "fetched_at"))

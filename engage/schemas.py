@@ -57,10 +57,11 @@ POST_RECORD = (
     "content:struct<media:struct<id:string>,article:string,multiImage:string>>"
 )
 POST_PAGE = f"start bigint, paging struct<start:bigint,count:bigint>, elements array<{POST_RECORD}>"
-POST_METADATA = (
-    "urn string, commentsState string, commentSummary struct<count:bigint,topLevelCount:bigint>,"
-    "reactionSummaries map<string,struct<count:bigint>>"
+POST_METADATA_RECORD = (
+    "struct<urn:string,commentsState:string,commentSummary:struct<count:bigint,topLevelCount:bigint>,"
+    "reactionSummaries:map<string,struct<count:bigint>>>"
 )
+POST_METADATA = POST_METADATA_RECORD.removeprefix("struct<").removesuffix(">")
 SHORT_VIDEO = (
     "id string, `desc` string, createTime bigint,"
     "stats struct<playCount:bigint,diggCount:bigint,commentCount:bigint,shareCount:bigint>"
