@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 def param(key: str, slot: str = "string_value", array: str = "event_params") -> Column:
     """Value of the first entry with ``key``; null when the key is absent or the slot is empty.
 
-    Position lookup on the projected ``key`` array instead of a lambda filter: it stays inside whole-stage codegen
-    and lets the parquet reader prune the unused value slot.
+    A position lookup on the array of keys, not a lambda filter: it stays inside whole-stage codegen, and the array
+    of keys is a common subexpression of all lookups of a projection.
     """
     position = F.array_position(F.col(f"{array}.key"), F.lit(key)).cast("int")
-    return F.get(F.col(f"{array}.value.{slot}"), position - F.lit(1))
+    return F.get(F.col(array), position - F.lit(1))["value"][slot]
 
 
 def field_at(names: Column, values: Column, name: str) -> Column:

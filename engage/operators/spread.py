@@ -9,9 +9,12 @@ FAN = 64
 
 
 def row_salt(df: DataFrame, fan: int = FAN) -> Column:
-    """A bucket in ``0 .. fan-1`` that depends on the row alone, hence stable under task retries."""
+    """A bucket in ``0 .. fan-1`` from the row and its input partition.
+
+    Unlike a random number it is the same when a lost task is run again; the partition number separates equal rows.
+    """
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*hashable), F.lit(fan)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(fan)).cast("int")
 
 
 def null_salt(df: DataFrame, keys: list[str], fan: int = FAN) -> Column:

@@ -212,7 +212,7 @@ def audits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.when(eid % 23 == 0, "").otherwise(F.col("user_id").cast("string")).alias("userId"),
         F.col("event_type").alias("action"),
-        F.when(eid % 29 == 0, "0").otherwise(F.floor(micros("ts") / 1000).cast("string")).alias("occurred"),
+        F.when(eid % 29 == 0, "0").otherwise(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("occurred"),
         _unless(eid % 5 == 0, _text("G", eid % 9)).alias("geo"),
         _unless(eid % 7 == 0, _text("10.1.0.", eid % 200)).alias("remoteAddress"),
     )

@@ -19,7 +19,6 @@ from engage.queries.inputs import (
     USERS_SQL,
     audits,
     geo_responses,
-    micros,
     table,
     users,
 )
@@ -116,7 +115,7 @@ def watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.floor(micros("ts") / 1000).alias("modified_ms")
+        "event_id", "user_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("modified_ms")
     )
     return modified_since(source, watermark(known_users(spark, sf_dir)))
 

@@ -13,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Roll-ups keep strings and structs in their buffers, so they run as object-hash aggregates. The default
-    # fallback (128 groups) turns them into a sort almost at once; this keeps typical map partitions hashed.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 
