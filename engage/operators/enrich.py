@@ -171,22 +171,28 @@ def attach_metadata_budgeted(
     return spread_left_join(posts.withColumn("__key", F.col("id")), best, ["__key"]).drop("__key")
 
 
-def backfill_metadata(
+def backfill_rows(
     posts: DataFrame, metadata: DataFrame, max_calls: int | None = 90, as_of: dt.datetime | str | None = None
 ) -> DataFrame:
-    """Fill the metadata columns of the newest ``max_calls`` posts that have no reactions yet."""
+    """New metadata columns of the newest ``max_calls`` posts without reactions, where metadata exists."""
     missing = posts.where((F.col("total_reactions") == 0) | F.col("total_reactions").isNull()).select(
-        "post_id", "created_at"
+        F.col("post_id").alias("urn"), "created_at"
     )
     if max_calls is not None:
-        missing = missing.orderBy(F.col("created_at").desc_nulls_last(), "post_id").limit(max_calls)
-    columns = {**metadata_columns(None), "fetched_at": as_instant(as_of)}
-    source = (
-        metadata.withColumnRenamed("urn", "post_id")
-        .join(missing.select("post_id"), "post_id", "left_semi")
-        .select("post_id", *[column.alias(name) for name, column in columns.items()])
-    )
-    return merge_update_only(posts, source, "post_id")
+        missing = missing.orderBy(F.col("created_at").desc_nulls_last(), "urn").limit(max_calls)
+    found = _best_record(metadata.join(missing.select("urn"), "urn", "left_semi"), F.col("urn"), F.lit(0), "metadata")
+    columns = {**metadata_columns("metadata"), "fetched_at": as_instant(as_of)}
+    return found.select(F.col("__key").alias("post_id"), *[column.alias(name) for name, column in columns.items()])
+
+
+def apply_backfill(posts: DataFrame, rows: DataFrame) -> DataFrame:
+    return merge_update_only(posts, rows, "post_id", source_unique=True)
+
+
+def backfill_metadata(
+    posts: DataFrame, metadata: DataFrame, max_calls: int | None = 90, as_of: dt.datetime | str | None = None
+) -> DataFrame:
+    return apply_backfill(posts, backfill_rows(posts, metadata, max_calls, as_of))
 
 
 def newest_details(search: DataFrame, details: DataFrame, published: Column, newest: int = 10) -> DataFrame:

@@ -7,6 +7,7 @@ update list keep the target's value; two source rows matching one target row are
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from engage.operators.spread import null_salt, spread_left_join
@@ -147,6 +148,17 @@ def merge(
     return joined.select(*out)
 
 
+def newest_per_key(source: DataFrame, on: str | list[str], order: list[Column]) -> DataFrame:
+    """One row per key, the first in ``order``; rows with a null key are all kept, since they match nothing."""
+    keys = as_list(on)
+    window = W.partitionBy(*keys).orderBy(*order)
+    chosen = source.dropna(subset=keys).withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") == 1)
+    incomplete = F.lit(False)
+    for key in keys:
+        incomplete |= F.col(key).isNull()
+    return chosen.drop("__rn").unionByName(source.where(incomplete))
+
+
 def merge_counts(merged: DataFrame) -> DataFrame:
     """One row: inserted, updated and kept rows, and the affected total, of a merge run with ``action=True``."""
     inserted, updated = F.count_if(F.col(ACTION) == "insert"), F.count_if(F.col(ACTION) == "update")

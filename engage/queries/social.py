@@ -190,7 +190,7 @@ def metadata_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 def post_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A posts table in which some posts have reactions, some none and some unknown."""
     rows = flatten_posts(
-        posts(spark, sf_dir).withColumn("metadata", F.lit(None).cast(S.POST_METADATA_RECORD)),
+        posts(spark, sf_dir).withColumn("metadata", F.lit(None).cast(S.record(S.POST_METADATA))),
         v2_fallback=True,
         as_of="2024-02-01 00:00:00",
     )

@@ -10,6 +10,11 @@ def ddl(fields: Fields) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in fields)
 
 
+def record(fields: Fields) -> str:
+    """The same fields as a struct type."""
+    return f"struct<{', '.join(f'`{name}`: {kind}' for name, kind in fields)}>"
+
+
 def names(fields: Fields) -> list[str]:
     return [name for name, _ in fields]
 
@@ -44,24 +49,34 @@ TWEET_PAGE = (
     "reply_count:bigint,like_count:bigint,quote_count:bigint>>>"
 )
 VIDEO_SEARCH_PAGE = "items array<struct<id:struct<videoId:string>,snippet:struct<publishedAt:string>>>"
-VIDEO_RECORD = (
-    "struct<id:string,snippet:struct<title:string,description:string,publishedAt:string>,"
-    "statistics:struct<viewCount:string,likeCount:string,commentCount:string>>"
-)
-VIDEO_PAGE = f"items array<{VIDEO_RECORD}>"
-POST_RECORD = (
-    "struct<id:string,urn:string,author:string,commentary:string,createdAt:bigint,publishedAt:bigint,"
-    "lastModifiedAt:bigint,created:struct<time:bigint>,visibility:string,lifecycleState:string,"
-    "reshareContext:map<string,string>,"
-    "specificContent:struct<`com.linkedin.ugc.ShareContent`:struct<shareCommentary:struct<text:string>>>,"
-    "content:struct<media:struct<id:string>,article:string,multiImage:string>>"
-)
-POST_PAGE = f"start bigint, paging struct<start:bigint,count:bigint>, elements array<{POST_RECORD}>"
-POST_METADATA_RECORD = (
-    "struct<urn:string,commentsState:string,commentSummary:struct<count:bigint,topLevelCount:bigint>,"
-    "reactionSummaries:map<string,struct<count:bigint>>>"
-)
-POST_METADATA = POST_METADATA_RECORD.removeprefix("struct<").removesuffix(">")
+VIDEO: Fields = [
+    ("id", "string"),
+    ("snippet", "struct<title:string,description:string,publishedAt:string>"),
+    ("statistics", "struct<viewCount:string,likeCount:string,commentCount:string>"),
+]
+VIDEO_PAGE = f"items array<{record(VIDEO)}>"
+POST: Fields = [
+    ("id", "string"),
+    ("urn", "string"),
+    ("author", "string"),
+    ("commentary", "string"),
+    ("createdAt", "bigint"),
+    ("publishedAt", "bigint"),
+    ("lastModifiedAt", "bigint"),
+    ("created", "struct<time:bigint>"),
+    ("visibility", "string"),
+    ("lifecycleState", "string"),
+    ("reshareContext", "map<string,string>"),
+    ("specificContent", "struct<`com.linkedin.ugc.ShareContent`:struct<shareCommentary:struct<text:string>>>"),
+    ("content", "struct<media:struct<id:string>,article:string,multiImage:string>"),
+]
+POST_PAGE = f"start bigint, paging struct<start:bigint,count:bigint>, elements array<{record(POST)}>"
+POST_METADATA: Fields = [
+    ("urn", "string"),
+    ("commentsState", "string"),
+    ("commentSummary", "struct<count:bigint,topLevelCount:bigint>"),
+    ("reactionSummaries", "map<string,struct<count:bigint>>"),
+]
 SHORT_VIDEO = (
     "id string, `desc` string, createTime bigint,"
     "stats struct<playCount:bigint,diggCount:bigint,commentCount:bigint,shareCount:bigint>"

@@ -51,6 +51,14 @@ class SnapshotTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__v{old}")
         return version
 
+    def append(self, rows: DataFrame) -> None:
+        """Add rows to the current snapshot without rewriting it; columns are matched by name, absent ones are null."""
+        known = self.read()
+        filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
+        current = f"{self.name}__v{self.versions()[-1]}"
+        filled.select(*known.columns).write.insertInto(current)
+        self.spark.catalog.refreshTable(self.name)
+
     def mutate(self, change: Callable[[DataFrame], DataFrame]) -> int:
         return self.replace(change(self.read()))
 
