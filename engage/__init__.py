@@ -1,5 +1,5 @@
 """Customer-analytics operators expressed as Spark DataFrame transformations."""
 
-from engage.session import build_session, scratch_dir, use_utc
+from engage.session import build_session, configure, scratch_dir
 
-__all__ = ["build_session", "scratch_dir", "use_utc"]
+__all__ = ["build_session", "configure", "scratch_dir"]

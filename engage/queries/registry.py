@@ -8,19 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from engage.queries import attribution, reports, social, users
-from engage.session import use_utc
+from engage.session import configure
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _in_utc(run: QueryFn) -> QueryFn:
+def _configured(run: QueryFn) -> QueryFn:
     @functools.wraps(run)
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(use_utc(spark), sf_dir)
+        return run(configure(spark), sf_dir)
 
     return wrapped
 
 
 _ALL = {**attribution.QUERIES, **users.QUERIES, **social.QUERIES, **reports.QUERIES}
-QUERIES: dict[str, QueryFn] = {name: _in_utc(run) for name, (run, _) in _ALL.items()}
+QUERIES: dict[str, QueryFn] = {name: _configured(run) for name, (run, _) in _ALL.items()}
 ORACLE: dict[str, str] = {name: sql.strip() for name, (_, sql) in _ALL.items()}

@@ -7,8 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SESSION_CONF = {
+# Settings any session must have, also one made elsewhere.
+RUNTIME_CONF = {
+    # Every day boundary and epoch conversion in the library is UTC.
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method above 8000 bytes of bytecode. Wide flattening projections can exceed that; they
+    # run several times faster as separate, compiled expressions than as one interpreted whole-stage method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+SESSION_CONF = {
+    **RUNTIME_CONF,
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,10 +34,11 @@ def build_session(app: str = "engage", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session to UTC: every day boundary and epoch conversion in the library is UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings the operators rely on to a session made elsewhere."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
