@@ -90,7 +90,8 @@ def run_daily(
 
 # --- attribution ----------------------------------------------------------------------------------------------------
 def run_attribution(users: SnapshotTable, events: DataFrame, names: A.EventNames = A.EventNames()) -> int:
-    return update(users, A.attribution_full(A.flatten_events(events, names)), "user_id")
+    rollup = A.attribution_full(A.flatten_events(events, names))
+    return update(users, A.with_product_names(rollup, names), "user_id")
 
 
 @dataclass
@@ -109,7 +110,7 @@ def run_attribution_clean(
     as_of: AsOf = None,
 ) -> CleanAttribution:
     """Compact attribution and its channel summary; a dry run only returns a sample."""
-    rollup = A.attribution_clean(A.flatten_events_clean(events, names))
+    rollup = A.with_product_names(A.attribution_clean(A.flatten_events_clean(events, names)), names)
     if dry_run:
         return CleanAttribution(0, sample=A.preview(rollup, limit))
     enriched = update(users, rollup if limit is None else rollup.limit(limit), "user_id")

@@ -265,3 +265,32 @@ def test_stream_reads_each_file_once_and_replays_safely(spark, new_table, tmp_pa
     assert run("cp") == [("a", 2), ("b", 7), ("c", 3)]
     assert run("cp") == [("a", 2), ("b", 7), ("c", 3)]
     assert run("another") == [("a", 2), ("b", 7), ("c", 3)]
+
+
+def test_command_line(spark, new_table, tmp_path, data_dir, capsys):
+    from engage.__main__ import main
+
+    users = new_table("users_cli")
+    landed(spark, tmp_path, "cu", S.USER_PAGE, {"page": 0, "total": 2, "users": [user("1"), user("2")]})
+    at = int(dt.datetime(2024, 2, 14, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    audit = {"userId": "1", "action": "LoginSucceed", "occurred": str(at), "remoteAddress": "1.1.1.1"}
+    landed(spark, tmp_path, "ca", S.AUDIT_PAGE, {"page": 0, "audits": [audit]})
+    body = '{"status":"success","city":"Berlin","country":"Germany","countryCode":"D"}'
+    landed(spark, tmp_path, "cg", S.GEO_RESPONSE, {"ip": "1.1.1.1", "provider": "ip-api.com", "body": body})
+    paths = [f"--{n}={tmp_path}/{p}" for n, p in (("user-pages", "cu"), ("audit-pages", "ca"), ("responses", "cg"))]
+    main(["--as-of", NOW, "sync", "--users", "users_cli", *paths])
+    assert "'users_synced': 2" in capsys.readouterr().out
+    main(["locations", "--users", "users_cli", "--force", paths[2]])
+    assert "addresses located: 1" in capsys.readouterr().out
+    events = str(tmp_path / "cli-events")
+    shards = ga_events(spark, data_dir).withColumn("dt", F.to_date(F.timestamp_micros("event_timestamp")))
+    shards.write.partitionBy("dt").parquet(events)
+    main(["attribution", "--users", "users_cli", "--add-schema"])
+    assert "first_page_title" in users.read().columns
+    run = ["attribution", "--users", "users_cli", "--events", events, "--event-name", "view", "--start", "2024-01-02"]
+    main([*run, "--clean", "--dry-run"])
+    assert "first_touch_source" in capsys.readouterr().out
+    main([*run, "--clean"])
+    main(run)
+    assert "users enriched: 15" in capsys.readouterr().out
+    assert users.read().where("is_activated").count() == 2
