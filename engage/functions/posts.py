@@ -62,3 +62,10 @@ def urn_candidates(key: Column) -> Column:
         .when(key.rlike("^[0-9]+$"), expanded)
         .otherwise(F.array(key))
     )
+
+
+def percent_encoded(text: Column) -> Column:
+    """Percent-encoding that leaves only letters, digits and ``- _ . ~`` as they are."""
+    # The form encoding of the engine differs from it in three characters.
+    plus, star = F.replace(F.url_encode(text), F.lit("+"), F.lit("%20")), F.lit("*")
+    return F.replace(F.replace(plus, star, F.lit("%2A")), F.lit("%7E"), F.lit("~"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engage.functions.posts import URN_KINDS, URN_PREFIX, post_key, urn_candidates
+from engage.functions.posts import URN_KINDS, URN_PREFIX, percent_encoded, post_key, urn_candidates
 from engage.functions.times import as_instant
 from engage.operators.flatten import metadata_columns
 from engage.operators.merge import merge_update_only
@@ -37,6 +39,9 @@ RESPONSE = (
 FALSY = ["false", "0", "", "[]", "{}"]
 
 
+Lookup = Callable[[str], dict | None]
+
+
 def addresses_to_enrich(users: DataFrame, force: bool = False, limit: int | None = None) -> DataFrame:
     """Distinct addresses of users without a city (``force``: of all users); with ``limit`` the smallest ones."""
     rows = users.where(F.col("last_login_ip").isNotNull())
@@ -75,6 +80,34 @@ def normalize_locations(responses: DataFrame) -> DataFrame:
     )
 
 
+def lookup_locations(addresses: DataFrame, lookups: dict[str, Lookup], tasks: int | None = None) -> DataFrame:
+    """Locations of ``last_login_ip`` values from caller-supplied lookup functions, tried in order per address.
+
+    A lookup takes an address and returns the location fields or ``None``; one that raises counts as a failure.
+    Addresses are spread over ``tasks`` partitions, which is how many lookups run at a time.
+    """
+    functions = list(lookups.items())
+
+    def locate(address: str) -> tuple | None:
+        for source, lookup in functions:
+            try:
+                found = lookup(address)
+            except Exception:
+                continue
+            if found:
+                return (address, *[found.get(name, "") for name in LOCATION], source)
+        return None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hits = [hit for hit in map(locate, batch["last_login_ip"]) if hit is not None]
+            yield pd.DataFrame(hits, columns=["ip", *LOCATION, "source"])
+
+    spread = addresses.select("last_login_ip")
+    spread = spread.repartition("last_login_ip") if tasks is None else spread.repartition(tasks, "last_login_ip")
+    return spread.mapInPandas(run, ", ".join(f"{name} string" for name in ["ip", *LOCATION, "source"]))
+
+
 def first_location(locations: DataFrame, order: list[str] = BULK_ORDER) -> DataFrame:
     """Per address, the location of the first provider in ``order`` that succeeded."""
     rank = F.array_position(F.array(*[F.lit(p) for p in order]), F.col("source"))
@@ -116,9 +149,10 @@ def coverage(users: DataFrame) -> DataFrame:
 
 # --- post metadata --------------------------------------------------------------------------------------------------
 def requested_urns(posts: DataFrame) -> DataFrame:
-    """Distinct URNs under which metadata of the posts may be filed."""
+    """Distinct URNs under which metadata of the posts may be filed, also percent-encoded as a file or path name."""
     key = post_key(F.col("id"), F.col("urn"))
-    return posts.select(F.explode(urn_candidates(key)).alias("urn")).distinct()
+    urns = posts.select(F.explode(urn_candidates(key)).alias("urn")).distinct()
+    return urns.withColumn("encoded", percent_encoded(F.col("urn")))
 
 
 def _record() -> Column:

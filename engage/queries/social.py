@@ -306,9 +306,11 @@ FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) WHE
         requested_urns,
         f"""
 WITH {POSTS_SQL}
-SELECT DISTINCT unnest(CASE WHEN doc_id % 4 = 0 THEN ['urn:li:ugcPost:' || key, 'urn:li:share:' || key]
-                       ELSE [key] END) AS urn
-FROM post""",
+SELECT DISTINCT urn, replace(urn, ':', '%3A') AS encoded
+FROM (
+  SELECT unnest(CASE WHEN doc_id % 4 = 0 THEN ['urn:li:ugcPost:' || key, 'urn:li:share:' || key] ELSE [key] END) AS urn
+  FROM post
+)""",
     ),
     "urn_candidate_join": (
         urn_candidate_join,

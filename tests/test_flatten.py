@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import quote
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from engage import schemas as S
-from engage.functions.posts import urn_candidates
+from engage.functions.posts import percent_encoded, urn_candidates
+from engage.functions.times import iso_text
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.sources.landed import read_event_shards, read_named_shards, read_ndjson, write_ndjson
 from engage.sources.pages import audit_records, post_records, scan_pages, source_fallback, user_records
@@ -178,3 +180,15 @@ def test_event_shards_prune(spark, tmp_path):
     for day in ("20240101", "20240102"):
         spark.range(2).write.parquet(str(tmp_path / f"events_{day}"))
     assert read_named_shards(spark, str(tmp_path / "events_*")).count() == 4
+
+
+def test_percent_encoding(spark):
+    texts = ["urn:li:share:5", "a b+c*d~e", "é/%-_."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(percent_encoded(F.col("t"))).collect()] == [quote(t, safe="") for t in texts]
+
+
+def test_iso_text(spark):
+    when = dt.datetime(2024, 1, 2, 3, 4, 5, 600000)
+    df = spark.createDataFrame([(when,)], "t timestamp")
+    assert dt.datetime.fromisoformat(df.select(iso_text(F.col("t"))).first()[0]) == when

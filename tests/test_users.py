@@ -135,3 +135,25 @@ def test_addresses_to_enrich(spark):
 def test_coverage_of_nothing(spark):
     empty = spark.createDataFrame([], "last_login_city string, last_login_country_name string")
     assert rows(E.coverage(empty)) == [(0, 0, 0, 0)]
+
+
+def test_supplied_lookups_are_tried_in_order(spark):
+    def down(address):
+        raise OSError("no route")
+
+    def even(address):
+        return {"city": f"even {address}", "country_code": "E"} if int(address) % 2 == 0 else None
+
+    def small(address):
+        return {"city": "small"} if int(address) < 5 else None
+
+    addresses = spark.range(8).select(F.col("id").cast("string").alias("last_login_ip"))
+    got = E.lookup_locations(addresses, {"down": down, "even": even, "small": small}, tasks=3)
+    assert rows(got.select("ip", "city", "region", "country_code", "source")) == [
+        ("0", "even 0", "", "E", "even"),
+        ("1", "small", "", "", "small"),
+        ("2", "even 2", "", "E", "even"),
+        ("3", "small", "", "", "small"),
+        ("4", "even 4", "", "E", "even"),
+        ("6", "even 6", "", "E", "even"),
+    ]
