@@ -57,8 +57,8 @@ def normalize_locations(responses: DataFrame) -> DataFrame:
     Success is provider-specific: a status, a flag, the presence of a field, or the absence of an error field.
     Unreadable bodies fail; missing texts become empty.
     """
-    fields = F.json_object_keys("body")
-    parsed = responses.withColumns({"keys": fields, "r": F.from_json("body", RESPONSE)}).where(F.col("keys").isNotNull())
+    parsed = responses.withColumns({"keys": F.json_object_keys("body"), "r": F.from_json("body", RESPONSE)})
+    parsed = parsed.where(F.col("keys").isNotNull())
     truthy = F.col("r.success").isNotNull() & ~F.col("r.success").isin(FALSY)
     success = {
         "ip-api.com": F.col("r.status") == "success",

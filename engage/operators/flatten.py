@@ -101,14 +101,13 @@ def flatten_short_videos(records: DataFrame) -> DataFrame:
     ).where(F.col("created_at").isNotNull())
 
 
-def metadata_columns(metadata: str | None) -> dict[str, Column]:
+def metadata_columns(metadata: str) -> dict[str, Column]:
     """The ten metadata columns of a post, from a struct column holding its metadata record (null when unknown)."""
-    root = f"{metadata}." if metadata else ""
     return {
-        "comments_state": F.col(f"{root}commentsState"),
-        "comment_count": or_zero(F.col(f"{root}commentSummary.count")),
-        "top_level_comment_count": or_zero(F.col(f"{root}commentSummary.topLevelCount")),
-        **reaction_columns(F.col(f"{root}reactionSummaries")),
+        "comments_state": F.col(f"{metadata}.commentsState"),
+        "comment_count": or_zero(F.col(f"{metadata}.commentSummary.count")),
+        "top_level_comment_count": or_zero(F.col(f"{metadata}.commentSummary.topLevelCount")),
+        **reaction_columns(F.col(f"{metadata}.reactionSummaries")),
     }
 
 

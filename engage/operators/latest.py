@@ -45,7 +45,10 @@ def newer_than(
 
 
 def recent_logins(
-    audits: DataFrame, as_of: dt.datetime | str | None = None, days: int = LOGIN_WINDOW_DAYS, actions: list[str] | None = None
+    audits: DataFrame,
+    as_of: dt.datetime | str | None = None,
+    days: int = LOGIN_WINDOW_DAYS,
+    actions: list[str] | None = None,
 ) -> DataFrame:
     """Audit records of the login actions in the last ``days`` days."""
     since_ms = F.unix_millis(as_instant(as_of)) - days * 86_400_000

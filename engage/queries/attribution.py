@@ -105,7 +105,8 @@ QUERIES = {
     "param_lookup": (
         param_lookup,
         """
-SELECT event_id, CASE WHEN k % 17 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_key, 'Title ' || (k % 30) AS page_title,
+SELECT event_id, CASE WHEN k % 17 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_key,
+  'Title ' || (k % 30) AS page_title,
   CASE WHEN k % 19 <> 0 THEN user_id * 1000 + ((epoch_us(ts) - 1704067200000000) // 3600000000) // 6 END AS session_id,
   CAST(NULL AS VARCHAR) AS session_text, CAST(NULL AS VARCHAR) AS absent
 FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",

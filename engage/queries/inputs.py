@@ -38,8 +38,9 @@ def micros(ts: str) -> Column:
 # --- events ---------------------------------------------------------------------------------------------------------
 def ga_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analytics events: nested traffic, session, device and geo records and a key/value parameter array."""
+    number = F.get_json_object("props", "$.k").cast("bigint")
     raw = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value", F.col("ts"), F.get_json_object("props", "$.k").cast("bigint").alias("k")
+        "event_id", "user_id", "event_type", "value", "ts", number.alias("k")
     )
     k, hours = F.col("k"), F.floor((micros("ts") - 1704067200000000) / F.lit(3_600_000_000))
 
@@ -158,13 +159,15 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .groupBy("user_id")
         .agg(F.max("ts").alias("newest"))
-        .select("user_id", (F.col("newest") + F.expr("make_dt_interval(CAST(user_id % 90 - 70 AS INT))")).alias("login"))
+        .withColumn("login", F.col("newest") + F.expr("make_dt_interval(CAST(user_id % 90 - 70 AS INT))"))
+        .select("user_id", "login")
     )
     has_login = F.col("login").isNotNull()
     created = F.when(
         has_login & (uid % 7 == 0), F.col("login") - F.expr("make_dt_interval(0, 0, CAST(user_id % 600 AS INT))")
     ).otherwise(F.col("first_order"))
     located = has_login & (uid % 3 == 0)
+    address = F.concat(F.lit("10.0."), (uid % 16).cast("string"), F.lit("."), (uid % 50).cast("string"))
     return (
         table(spark, sf_dir, "customer")
         .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("display_name"))
@@ -175,8 +178,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
             "display_name",
             created.alias("created_time"),
             F.col("login").alias("last_login_time"),
-            F.when(has_login, F.concat(F.lit("10.0."), (uid % 16).cast("string"), F.lit("."), (uid % 50).cast("string")))
-            .alias("last_login_ip"),
+            F.when(has_login, address).alias("last_login_ip"),
             F.when(has_login, _text("X", uid % 4)).alias("last_login_country"),
             F.when(located, _text("City", uid % 25)).alias("last_login_city"),
             F.when(located, _text("Region", uid % 12)).alias("last_login_region"),
@@ -199,8 +201,9 @@ u AS (
   FROM customer
   LEFT JOIN (SELECT o_custkey, min(o_orderdate) + to_days(10592) AS first_order FROM orders GROUP BY 1)
     ON c_custkey = o_custkey
-  LEFT JOIN (SELECT user_id AS eu, max(ts) + to_days(CAST(user_id % 90 - 70 AS INTEGER)) AS login FROM events GROUP BY user_id)
-    ON c_custkey = eu
+  LEFT JOIN (
+    SELECT user_id AS eu, max(ts) + to_days(CAST(user_id % 90 - 70 AS INTEGER)) AS login FROM events GROUP BY user_id
+  ) ON c_custkey = eu
 )"""
 
 
@@ -208,11 +211,12 @@ u AS (
 def audits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit records in the landed shape (times as text milliseconds, some fields missing)."""
     eid = F.col("event_id")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.when(eid % 23 == 0, "").otherwise(F.col("user_id").cast("string")).alias("userId"),
         F.col("event_type").alias("action"),
-        F.when(eid % 29 == 0, "0").otherwise(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("occurred"),
+        F.when(eid % 29 == 0, "0").otherwise(millis).alias("occurred"),
         _unless(eid % 5 == 0, _text("G", eid % 9)).alias("geo"),
         _unless(eid % 7 == 0, _text("10.1.0.", eid % 200)).alias("remoteAddress"),
     )

@@ -111,7 +111,8 @@ SELECT date, video_id, traffic, count(*) FILTER (event_type = 'view'), 'traffic'
         report_unpack,
         """
 WITH r AS (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d') AS date FROM events)
-SELECT date, 'v' || event_id AS video_id, CASE WHEN k % 5 <> 0 THEN event_type ELSE 'None' END AS playback_location_type,
+SELECT date, 'v' || event_id AS video_id,
+  CASE WHEN k % 5 <> 0 THEN event_type ELSE 'None' END AS playback_location_type,
   k AS views, k % 7 AS likes, CAST(0 AS BIGINT) AS comments, CAST(0 AS BIGINT) AS estimated_minutes_watched,
   CAST(trunc(value) AS BIGINT) AS average_view_duration_seconds
 FROM r

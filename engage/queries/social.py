@@ -59,13 +59,13 @@ def video_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video details from conversation turns: counts as text, some of them missing or no number."""
     c, turn = F.col("conv_id"), F.col("turn")
     number = c * 10 + turn
+    stamp = F.date_format(F.timestamp_seconds(number * 60 + 1704067200), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("v"), _text(number)).alias("id"),
         F.struct(
             F.col("role").alias("title"),
             F.col("text").alias("description"),
-            F.when(number % 9 != 0, F.date_format(F.timestamp_seconds(number * 60 + 1704067200), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-            .alias("publishedAt"),
+            F.when(number % 9 != 0, stamp).alias("publishedAt"),
         ).alias("snippet"),
         F.struct(
             _text(F.length("text").cast("bigint") * 10).alias("viewCount"),
@@ -262,12 +262,12 @@ def _empty_but(like: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def _merge_count_sql(platform: str, stored: str, source: str, key: str) -> str:
+def _merge_count_sql(platform: str, stored: str, source: str) -> str:
     return f"""
 SELECT '{platform}' AS platform, count(*) FILTER (t IS NULL) AS inserted,
   count(*) FILTER (t IS NOT NULL AND s IS NOT NULL) AS updated, count(*) FILTER (s IS NULL) AS kept,
   count(*) FILTER (s IS NOT NULL) AS affected
-FROM (SELECT {key} AS t FROM {stored}) FULL JOIN (SELECT {key} AS s FROM {source}) ON t = s"""
+FROM (SELECT {stored}) a(t) FULL JOIN (SELECT {source}) b(s) ON t = s"""
 
 
 QUERIES = {
@@ -382,10 +382,10 @@ SELECT CAST(doc_id AS VARCHAR), doc_id * 1000, NULL, text, 'fallback' FROM docum
         merge_all,
         f"""
 WITH {TWEETS_SQL}, {VIDEOS_SQL}, {POSTS_SQL}, {METADATA_SQL}
-{_merge_count_sql("tweets", "(SELECT CAST(doc_id AS VARCHAR) AS k FROM labels)", "(SELECT tweet_id AS k FROM tweet)", "k")}
+{_merge_count_sql("tweets", "CAST(doc_id AS VARCHAR) FROM labels", "tweet_id FROM tweet")}
 UNION ALL
-{_merge_count_sql("videos", "(SELECT video_id AS k FROM video WHERE title = 'user')", "(SELECT video_id AS k FROM video)", "k")}
+{_merge_count_sql("videos", "video_id FROM video WHERE title = 'user'", "video_id FROM video")}
 UNION ALL
-{_merge_count_sql("posts", "(SELECT urn AS k FROM meta)", "(SELECT key AS k FROM post WHERE created IS NOT NULL)", "k")}""",
+{_merge_count_sql("posts", "urn FROM meta", "key FROM post WHERE created IS NOT NULL")}""",
     ),
 }

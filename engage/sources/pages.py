@@ -21,7 +21,9 @@ def _upto(pages: DataFrame, position: str, is_last: Column) -> DataFrame:
     return pages.where(F.col(position) <= F.coalesce(stop, F.lit(2**31 - 1)))
 
 
-def scan_pages(pages: DataFrame, body: str, page_size: int, total: str | None = None, last_page: int | None = None):
+def scan_pages(
+    pages: DataFrame, body: str, page_size: int, total: str | None = None, last_page: int | None = None
+) -> DataFrame:
     """Pages 0, 1, ... until an empty or short page, ``total`` records, or page number ``last_page`` (kept).
 
     Every page before the stop is full, hence ``(page + 1) * page_size`` records have been read after ``page``.

@@ -37,4 +37,5 @@ def merge_stream(
         staged = stage(newest_per_key(batch, key, newest()), "batch")
         table.mutate(lambda target: merge(target, staged, key, source_unique=True))
 
-    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(apply).start()
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(apply).start()
