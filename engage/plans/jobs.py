@@ -9,33 +9,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engage import schemas as S
+from engage.functions.times import millis_ts
 from engage.operators import attribution as A
 from engage.operators import enrich as E
 from engage.operators.activity import activity_status
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.operators.latest import last_login, modified_since, newer_than, recent_logins, watermark
 from engage.operators.reports import unpack_report
-from engage.functions.times import millis_ts
-from engage.plans.steps import optional, required, stage, update, upsert
+from engage.plans.steps import optional, required, stage, staged_source, update, updated, upsert, upserted
 from engage.sources.pages import audit_records, post_records, records, source_fallback, user_records
-from engage.sources.tables import SnapshotTable, append
+from engage.sources.tables import SnapshotTable, append, evolve
 
 AsOf = dt.datetime | str | None
 SYNC_ADDRESSES = 100
 
 
 # --- users ----------------------------------------------------------------------------------------------------------
-def sync_users(users: SnapshotTable, pages: DataFrame, modified_ms: str | None = None) -> int:
-    """Upsert the landed user pages.
+def modified_users(users: DataFrame, pages: DataFrame, modified_ms: str | None = None) -> DataFrame:
+    """Flat rows of the landed user pages.
 
     With ``modified_ms`` (a field of the records) only users modified since the table's newest ``created_time`` are
     taken; otherwise the landing is trusted to hold the increment.
     """
-    users.create(S.ddl(S.USERS))
     found = user_records(pages)
     if modified_ms is not None:
-        found = modified_since(found, watermark(users.read()), modified_ms)
-    return upsert(users, flatten_users(found), "user_id")
+        found = modified_since(found, watermark(users), modified_ms)
+    return flatten_users(found)
+
+
+def new_locations(
+    users: DataFrame, responses: DataFrame, order: list[str], limit: int | None = None, force: bool = False
+) -> DataFrame:
+    """Best location per address that users still lack."""
+    wanted = E.addresses_to_enrich(users, force=force, limit=limit)
+    relevant = responses.join(wanted, responses["ip"] == wanted["last_login_ip"], "left_semi")
+    return E.first_location(E.normalize_locations(relevant), order)
+
+
+def with_activity(users: DataFrame, as_of: AsOf = None) -> DataFrame:
+    return activity_status(evolve(users.drop(*S.names(S.USER_ACTIVITY)), S.USER_LOGIN), as_of)
+
+
+def sync_users(users: SnapshotTable, pages: DataFrame, modified_ms: str | None = None) -> int:
+    users.create(S.ddl(S.USERS))
+    return upsert(users, modified_users(users.read(), pages, modified_ms), "user_id")
 
 
 def update_logins(users: SnapshotTable, pages: DataFrame, as_of: AsOf = None) -> int:
@@ -50,22 +67,15 @@ def update_locations(
     force: bool = False,
 ) -> int:
     """Locations of the addresses that lack one (``force``: of all addresses), copied to every user of the address."""
-    known = users.read()
-    needed = {name: kind for name, kind in [*S.USER_LOGIN, *S.USER_GEO] if name not in known.columns}
-    if needed:
-        users.mutate(lambda rows: rows.withColumns({n: F.lit(None).cast(k) for n, k in needed.items()}))
-    wanted = E.addresses_to_enrich(users.read(), force=force, limit=limit)
-    relevant = responses.join(wanted, responses["ip"] == wanted["last_login_ip"], "left_semi")
-    best = stage(E.first_location(E.normalize_locations(relevant), order), "locations")
-    located = best.count()
+    known = evolve(users.read(), [*S.USER_LOGIN, *S.USER_GEO])
+    best, located = staged_source(new_locations(known, responses, order, limit, force), "locations")
     if located:
-        users.mutate(lambda rows: E.locate_users(rows, best))
+        users.replace(E.locate_users(known, best))
     return located
 
 
 def update_activity(users: SnapshotTable, as_of: AsOf = None) -> int:
-    names = [*S.names(S.USER_ACTIVITY)]
-    users.mutate(lambda rows: activity_status(rows.drop(*names), as_of))
+    users.mutate(lambda rows: with_activity(rows, as_of))
     return users.count()
 
 
@@ -75,17 +85,41 @@ def run_daily(
     audit_pages: DataFrame,
     responses: DataFrame,
     as_of: AsOf = None,
+    modified_ms: str | None = None,
 ) -> dict:
-    """Daily sync. Only the user sync is fatal; attribution is its own job and always counts 0 here."""
+    """Daily sync: users, last logins, locations and activity. Only the user sync is fatal; attribution is its own job
+    and always counts 0 here.
+
+    What each step brings is staged on its own, so a failing source costs only its step. The steps themselves are
+    functions of the users rows and end in a single rewrite of the table.
+    """
     errors: dict[str, str] = {}
-    result = {"success": True, "users_synced": sync_users(users, user_pages)}
-    result["locations_updated"] = optional(lambda: update_logins(users, audit_pages, as_of), "logins", errors)
-    result["ips_enriched"] = optional(
-        lambda: update_locations(users, responses, E.SYNC_ORDER, SYNC_ADDRESSES), "locations", errors
-    )
-    result["attribution_enriched"] = 0
-    result["activity_status_updated"] = optional(lambda: update_activity(users, as_of), "activity", errors)
-    return {**result, "errors": errors}
+    users.create(S.ddl(S.USERS))
+    source, synced = staged_source(modified_users(users.read(), user_pages, modified_ms), "users")
+    rows = upserted(users.read(), source, synced, users.count(), "user_id")
+
+    def logins() -> int:
+        nonlocal rows
+        latest, found = staged_source(last_login(recent_logins(audit_records(audit_pages), as_of)), "logins")
+        rows = updated(rows, latest, "user_id") if found else rows
+        return found
+
+    def locations() -> int:
+        nonlocal rows
+        known = evolve(rows, [*S.USER_LOGIN, *S.USER_GEO])
+        best, found = staged_source(new_locations(known, responses, E.SYNC_ORDER, SYNC_ADDRESSES), "locations")
+        rows = E.locate_users(known, best) if found else known
+        return found
+
+    result = {
+        "success": True,
+        "users_synced": synced,
+        "locations_updated": optional(logins, "logins", errors),
+        "ips_enriched": optional(locations, "locations", errors),
+        "attribution_enriched": 0,
+    }
+    users.replace(with_activity(rows, as_of))
+    return {**result, "activity_status_updated": users.count(), "errors": errors}
 
 
 # --- attribution ----------------------------------------------------------------------------------------------------

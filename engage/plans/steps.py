@@ -29,29 +29,38 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def upsert(table: SnapshotTable, source: DataFrame, key: str, source_unique: bool = False) -> int:
-    """Stage and upsert; returns the number of source rows. An empty source leaves the table as it is."""
-    staged = stage(source, "upsert")
-    rows = staged.count()
-    if rows == 0:
-        return 0
-    small = rows <= SMALL_SHARE * table.count()
-    table.mutate(lambda target: merge(target, staged, key, source_unique=source_unique, small_source=small))
-    return rows
+def staged_source(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+    staged = stage(rows, name)
+    return staged, staged.count()
 
 
-def update(table: SnapshotTable, source: DataFrame, key: str, shared_keys: bool = False) -> int:
-    """Stage and apply an update-only merge, adding columns the table lacks; the source has unique keys."""
-    staged = stage(source, "update")
-    rows = staged.count()
+def upserted(target: DataFrame, staged: DataFrame, rows: int, target_rows: int, key: str) -> DataFrame:
+    """``target`` after an upsert of a staged source; an increment leaves the target unshuffled."""
     if rows == 0:
-        return 0
+        return target
+    return merge(target, staged, key, small_source=rows <= SMALL_SHARE * target_rows)
+
+
+def updated(target: DataFrame, staged: DataFrame, key: str, shared_keys: bool = False) -> DataFrame:
+    """``target`` after an update-only merge of a staged source with unique keys; columns it lacks are added."""
     fields = [(f.name, f.dataType.simpleString()) for f in staged.schema.fields]
-    table.mutate(
-        lambda target: merge_update_only(
-            evolve(target, fields), staged, key, source_unique=True, shared_keys=shared_keys
-        )
-    )
+    return merge_update_only(evolve(target, fields), staged, key, source_unique=True, shared_keys=shared_keys)
+
+
+def upsert(table: SnapshotTable, source: DataFrame, key: str) -> int:
+    """Stage and upsert; returns the number of source rows. An empty source leaves the table as it is."""
+    staged, rows = staged_source(source, "upsert")
+    if rows:
+        target_rows = table.count()
+        table.mutate(lambda target: upserted(target, staged, rows, target_rows, key))
+    return rows
+
+
+def update(table: SnapshotTable, source: DataFrame, key: str) -> int:
+    """Stage and apply an update-only merge; returns the number of source rows."""
+    staged, rows = staged_source(source, "update")
+    if rows:
+        table.mutate(lambda target: updated(target, staged, key))
     return rows
 
 

@@ -7,6 +7,7 @@ Where the catalog has row-level operations, use ``merge_row_level`` and skip sna
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,14 @@ class SnapshotTable:
         self.name = name
         self.keep = keep
 
-    def versions(self) -> list[int]:
+    def versions(self) -> list[str]:
+        """Table names of the kept snapshots, oldest first."""
         found = self.spark.sql(f"SHOW TABLES LIKE '{self.name}__v*'").select("tableName").collect()
-        return sorted(int(row.tableName.rsplit("__v", 1)[1]) for row in found)
+        return sorted((row.tableName for row in found), key=self._number)
+
+    @staticmethod
+    def _number(snapshot: str) -> int:
+        return int(snapshot.rsplit("__v", 1)[1].split("_")[0])
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -41,35 +47,38 @@ class SnapshotTable:
     def count(self) -> int:
         return self.read().count()
 
-    def replace(self, rows: DataFrame) -> int:
-        """Write the next snapshot, point the view at it, and drop snapshots older than the ``keep`` newest."""
+    def replace(self, rows: DataFrame) -> str:
+        """Write the next snapshot, point the view at it, and drop snapshots older than the ``keep`` newest.
+
+        The random suffix keeps the files of an attempt that died half-way out of the next one's way.
+        """
         known = self.versions()
-        version = known[-1] + 1 if known else 0
-        rows.write.format("parquet").saveAsTable(f"{self.name}__v{version}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {self.name}__v{version}")
-        for old in [*known, version][: -self.keep]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__v{old}")
-        return version
+        number = self._number(known[-1]) + 1 if known else 0
+        snapshot = f"{self.name}__v{number}_{uuid.uuid4().hex[:8]}"
+        rows.write.format("parquet").saveAsTable(snapshot)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {snapshot}")
+        for old in [*known, snapshot][: -self.keep]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return snapshot
 
     def append(self, rows: DataFrame) -> None:
         """Add rows to the current snapshot without rewriting it; columns are matched by name, absent ones are null."""
         known = self.read()
         filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
-        current = f"{self.name}__v{self.versions()[-1]}"
-        filled.select(*known.columns).write.insertInto(current)
+        filled.select(*known.columns).write.insertInto(self.versions()[-1])
         self.spark.catalog.refreshTable(self.name)
 
-    def mutate(self, change: Callable[[DataFrame], DataFrame]) -> int:
+    def mutate(self, change: Callable[[DataFrame], DataFrame]) -> str:
         return self.replace(change(self.read()))
 
-    def flush(self) -> int:
+    def flush(self) -> str:
         """Delete every row, keep the columns."""
         return self.mutate(lambda rows: rows.limit(0))
 
     def drop(self) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
-        for version in self.versions():
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__v{version}")
+        for snapshot in self.versions():
+            self.spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
 
 
 def append(rows: DataFrame, table: str) -> None:

@@ -136,6 +136,33 @@ def test_daily_sync(spark, new_table, tmp_path):
     assert got["a"].display_name == "renamed" and got["a"].last_login_city == "Berlin"  # enrichment survives the sync
 
 
+def test_daily_sync_equals_its_steps(spark, new_table, tmp_path):
+    people = [user(f"u{i}", name=f"n{i}") for i in range(9)]
+    pages = landed(spark, tmp_path, "eu", S.USER_PAGE, {"page": 0, "total": 9, "users": people})
+    at = int(dt.datetime(2024, 2, 14, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    logins = [
+        {"userId": f"u{i}", "action": "LoginFlowDone", "occurred": str(at - i), "remoteAddress": f"1.1.1.{i % 3}"}
+        for i in range(7)
+    ]
+    audits = landed(spark, tmp_path, "ea", S.AUDIT_PAGE, {"page": 0, "audits": logins})
+    body = '{"success":true,"city":"C","country":"N","country_code":"K"}'
+    responses = spark.createDataFrame([(f"1.1.1.{i}", "ipwho.is", body) for i in range(2)], S.GEO_RESPONSE)
+    whole, steps = new_table("users_whole"), new_table("users_steps")
+    result = jobs.run_daily(whole, pages, audits, responses, NOW)
+    counts = [
+        jobs.sync_users(steps, pages),
+        jobs.update_logins(steps, audits, NOW),
+        jobs.update_locations(steps, responses, jobs.E.SYNC_ORDER, jobs.SYNC_ADDRESSES),
+        jobs.update_activity(steps, NOW),
+    ]
+    keys = ["users_synced", "locations_updated", "ips_enriched", "activity_status_updated"]
+    assert counts == [result[k] for k in keys] == [9, 7, 2, 9]
+    assert len(whole.versions()) == 2  # the empty table and one rewrite
+    columns = whole.read().columns
+    assert sorted(columns) == sorted(steps.read().columns)
+    assert rows(whole.read(), "user_id") == rows(steps.read().select(*columns), "user_id")
+
+
 def test_modified_since_filters_the_sync(spark, new_table):
     users = new_table("users_modified")
     page = "page int, total bigint, users array<struct<modified_ms:bigint," + S.USER_RECORD.removeprefix("struct<") + ">"
