@@ -17,13 +17,12 @@ from engage.operators.merge import as_list, columns_to_insert, columns_to_update
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, name: str, keep: int = 2):
+    def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
-        self.keep = keep
 
     def versions(self) -> list[str]:
-        """Table names of the kept snapshots, oldest first."""
+        """Table names of the stored snapshots, oldest first."""
         found = self.spark.sql(f"SHOW TABLES LIKE '{self.name}__v*'").select("tableName").collect()
         return sorted((row.tableName for row in found), key=self._number)
 
@@ -47,25 +46,31 @@ class SnapshotTable:
     def count(self) -> int:
         return self.read().count()
 
+    def current(self) -> str | None:
+        """The snapshot the view shows; the view's comment names it."""
+        return self.spark.catalog.getTable(self.name).description if self.exists() else None
+
     def replace(self, rows: DataFrame) -> str:
-        """Write the next snapshot, point the view at it, and drop snapshots older than the ``keep`` newest.
+        """Write the next snapshot, point the view at it, and drop all but it and the one shown before.
 
-        The random suffix keeps the files of an attempt that died half-way out of the next one's way.
+        An attempt that dies before the view moves leaves only an unused snapshot, which the next one drops; the random
+        suffix keeps its files out of the way.
         """
-        known = self.versions()
+        shown, known = self.current(), self.versions()
         number = self._number(known[-1]) + 1 if known else 0
         snapshot = f"{self.name}__v{number}_{uuid.uuid4().hex[:8]}"
         rows.write.format("parquet").saveAsTable(snapshot)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {snapshot}")
-        for old in [*known, snapshot][: -self.keep]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{snapshot}' AS SELECT * FROM {snapshot}")
+        for old in known:
+            if old != shown:
+                self.spark.sql(f"DROP TABLE IF EXISTS {old}")
         return snapshot
 
     def append(self, rows: DataFrame) -> None:
         """Add rows to the current snapshot without rewriting it; columns are matched by name, absent ones are null."""
         known = self.read()
         filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
-        filled.select(*known.columns).write.insertInto(self.versions()[-1])
+        filled.select(*known.columns).write.insertInto(self.current())
         self.spark.catalog.refreshTable(self.name)
 
     def mutate(self, change: Callable[[DataFrame], DataFrame]) -> str:
@@ -93,12 +98,12 @@ def overwrite(rows: DataFrame, table: str) -> None:
 
 
 def replace_days(rows: DataFrame, path: str, day: str = "date") -> None:
-    """Overwrite only the days present in ``rows``: a re-run replaces its days instead of doubling them."""
-    (
-        rows.repartition(F.col(day))
-        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true"
-        else rows.hint("rebalance", F.col(day))
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    """Overwrite only the days present in ``rows``: a re-run replaces its days instead of doubling them.
+
+    Rebalancing gathers each day in few files and splits a day that is much larger than the others.
+    """
+    writer = rows.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(day).parquet(path)
 
 
 def evolve(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:

@@ -73,6 +73,18 @@ def test_failed_mutation_leaves_the_table(spark, new_table):
     assert rows(table.read()) == [(1, "z")]
 
 
+def test_an_unused_snapshot_does_no_harm(spark, new_table):
+    table = new_table("snap_orphan")
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    first = table.replace(df)
+    df.limit(0).write.saveAsTable("snap_orphan__v1_deadbeef")  # an attempt that died before the view moved
+    assert table.current() == first
+    table.append(df)
+    assert table.count() == 2
+    second = table.mutate(lambda old: old)
+    assert table.versions() == [first, second] and table.count() == 2
+
+
 def test_plain_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
     spark.sql("DROP TABLE IF EXISTS plain")
