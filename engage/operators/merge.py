@@ -107,21 +107,25 @@ def merge(
     insert: list[str] | None = None,
     source_unique: bool = False,
     small_source: bool = False,
+    shared_keys: bool = False,
     action: bool = False,
 ) -> DataFrame:
     """Upsert ``source`` into ``target``; ``action=True`` adds what happened to each row.
 
-    The default is one full outer join: both sides are shuffled once. ``small_source`` suits an increment against a
-    much larger target: the target is left-joined and unmatched source rows are appended. Below the broadcast
-    threshold the target is then not shuffled at all, and a target key that holds many rows can be split by the
-    adaptive planner, which a full outer join does not allow.
+    The default is one full outer join, for targets with one row per key: both sides are shuffled once. ``small_source``
+    suits an increment against a much larger target: the target is left-joined and unmatched source rows are appended.
+    Below the broadcast threshold the target is then not shuffled at all. ``shared_keys`` does the same for targets in
+    which many rows may share a key: a full outer join would bring them all to one task.
     """
     keys = as_list(on)
     changes = columns_to_update(source.columns, keys, update)
     additions = columns_to_insert(source.columns, insert)
-    if small_source:
-        updated = merge_update_only(target, source, keys, changes, source_unique, action=action)
-        known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    if small_source or shared_keys:
+        updated = merge_update_only(target, source, keys, changes, source_unique, shared_keys, action)
+        target_keys = target.select(*keys)
+        if shared_keys:  # combined on the map side, so that a hot key is one row per task before the join
+            target_keys = target_keys.distinct()
+        known = target_keys.join(source.select(*keys), keys, "left_semi").distinct()
         fresh = source.join(known, keys, "left_anti")
         out = [
             (F.col(f.name) if f.name in additions else F.lit(None)).cast(f.dataType).alias(f.name)

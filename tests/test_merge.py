@@ -106,8 +106,8 @@ def expected(target, source):
 def test_merge_matches_a_plain_model_and_is_idempotent(spark, target, source):
     t, s = spark.createDataFrame(target, T), spark.createDataFrame(source, S)
     want = sorted(expected(target, source), key=str)
-    for small in (False, True):
-        once = merge(t, s, "id", small_source=small)
+    for form in ({}, {"small_source": True}, {"shared_keys": True}):
+        once = merge(t, s, "id", **form)
         assert sorted(rows(once), key=str) == want
     complete = s.dropna(subset=["id"])
     once = merge(t, complete, "id")
