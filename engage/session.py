@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,11 +46,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (a local test) gets a temporary one.
+    Only a local session that names no such folder (a test) gets a temporary one, the same for the whole session; any
+    other session without a shared folder is refused before anything is made.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="engage-")
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="engage-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

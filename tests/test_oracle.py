@@ -4,9 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from engage.queries.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +14,7 @@ def con(data_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
