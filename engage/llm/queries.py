@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import mixing, packing, urls
+from engage.llm import langid, mixing, packing, pseudonyms, sketches, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -44,11 +44,35 @@ SELECT page_id, host, path, rule, CASE rule {_VERDICT} ELSE 'allow' END AS verdi
 """
 
 
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced by pseudonyms."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the decimal ``doc_id`` modulo the divisor; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.where(remainder(3) != 1)
+    told = langid.identify(docs.select("doc_id", "text"), learned)
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return sketches.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -59,7 +83,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_urls": op1_urls,
+    "op3_pseudonyms": op3_pseudonyms,
     "op4_packing": op4_packing,
+    "op5_langid": op5_langid,
+    "op7_sketches": op7_sketches,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {"op1_urls": OP1_SQL.strip()}
