@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import langid, mixing, packing, pseudonyms, sketches, urls
+from engage.llm import forest, langid, mixing, packing, pseudonyms, sketches, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -73,6 +73,11 @@ def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
+    return forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
     "op7_sketches": op7_sketches,
+    "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {"op1_urls": OP1_SQL.strip()}
