@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import forest, langid, mixing, packing, pseudonyms, sketches, urls
+from engage.llm import forest, langid, mixing, packing, pseudonyms, sketches, toxicity, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -68,6 +68,18 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.where(remainder(5) != 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity.score_texts(
+        docs.select("doc_id", "text"), learned.select("doc_id", "text").join(labels, "doc_id"), learned
+    )
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and their likeness."""
     return sketches.compare_edited(table(spark, sf_dir, "documents"))
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pseudonyms": op3_pseudonyms,
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
+    "op6_toxicity": op6_toxicity,
     "op7_sketches": op7_sketches,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,

@@ -64,9 +64,14 @@ def chunks(
         first = last
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of the first word of each text (plus the total)."""
-    word = ~_SEPARATOR[data]
+def word_bounds(
+    data: np.ndarray, bounds: np.ndarray, separator: np.ndarray = _SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of the first word of each text (plus the total).
+
+    ``separator`` tells for each byte value whether it parts words.
+    """
+    word = ~separator[data]
     before, after = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
     before[1:], after[:-1] = word[:-1], word[1:]
     before[bounds[:-1][bounds[:-1] < len(data)]] = False
