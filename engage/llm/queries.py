@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import forest, langid, mixing, packing, pseudonyms, sketches, toxicity, urls
+from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, toxicity, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -85,6 +85,11 @@ def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles agree to 90 percent."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.95."""
     return forest.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_langid": op5_langid,
     "op6_toxicity": op6_toxicity,
     "op7_sketches": op7_sketches,
+    "op8_jaccard": op8_jaccard,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
 }
