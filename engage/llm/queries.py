@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, toxicity, urls
+from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, substrings, toxicity, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -44,6 +44,12 @@ SELECT page_id, host, path, rule, CASE rule {_VERDICT} ELSE 'allow' END AS verdi
 """
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that also start earlier."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by pseudonyms."""
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
@@ -105,6 +111,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_urls": op1_urls,
+    "op2_substrings": op2_substrings,
     "op3_pseudonyms": op3_pseudonyms,
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
