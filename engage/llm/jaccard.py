@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from engage.llm import words
-from engage.llm.common import written
+from engage.llm.common import WORD, written
 from engage.llm.components import components
 
 SHINGLE = 3
@@ -37,6 +37,7 @@ OFTEN = 5000  # a shingle is frequent if more than one in so many documents has
 SEEN = 4  # documents of one batch that must have a shingle for it to be counted
 REGION = 2000  # sets of a region that are paired without cutting it again
 DEPTH = 4  # common shingles by which regions are cut, at most
+IDENT = ["s1", "s2", "n"]  # what tells sets apart
 GATHER = 1 << 22  # shingles that are counted at once
 
 
@@ -105,13 +106,13 @@ def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
 
 
 def described(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
-    """``doc_id, n, s1, s2, sketch, prefix``: number of shingles, two sums that tell sets apart, the parity sketch, and
+    """``doc_id, tag, n, s1, s2, sketch, prefix``: a hash of the text, the number of shingles, two sums that tell sets apart, the parity sketch, and
     the first shingles of the set in the order (frequent ones last, then by hash), as far as a difference may reach, and
     ``DEPTH - 1`` more."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, hashes, bounds in shingle_sets(batch.column(1), size):
+            for first, last, hashes, bounds in shingle_sets(batch.column(2), size):
                 n = np.diff(bounds)
                 row = np.repeat(np.arange(last - first), n)
                 spread = words.mix64(hashes.astype(np.uint64))
@@ -139,17 +140,18 @@ def described(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(1).slice(first, last - first),
                         pa.array(n.astype(np.int64)),
                         pa.array(sums[0].view(np.int64)),
                         pa.array(sums[1].view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(width), pa.array(packed.reshape(-1))),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(key[front])),
                     ],
-                    names=["doc_id", "n", "s1", "s2", "sketch", "prefix"],
+                    names=["doc_id", "tag", "n", "s1", "s2", "sketch", "prefix"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        describe, "doc_id long, n long, s1 long, s2 long, sketch array<long>, prefix array<long>"
+    return docs.select("doc_id", _tag().alias("tag"), "text").mapInArrow(
+        describe, "doc_id long, tag long, n long, s1 long, s2 long, sketch array<long>, prefix array<long>"
     )
 
 
@@ -183,26 +185,45 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     other but names no component; if no row of its component has an id, its component is null. An empty table gives no rows; other
     columns are ignored.
     """
+    table, reached = _reached(docs, size, percent)
+    least = reached.groupBy("root").agg(F.min("best.doc_id").alias("component"))
+    named = reached.join(least, "root").select(*IDENT, "component")
+    return table.select("doc_id", *IDENT).join(named, IDENT, "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component of linked documents: that with the smallest ``doc_id`` (null after all
+    others, then by a hash of the text). Rows without words are linked with nothing and all stay. Columns pass through."""
+    _, reached = _reached(docs, size, percent)
+    chosen = reached.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("_id"), F.col("best.tag").alias("_tag"))
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = docs.where(~wordless).withColumn("_own", _tag())
+    kept = rows.join(chosen, F.equal_null(F.col("doc_id").cast("long"), F.col("_id")) & (F.col("_own") == F.col("_tag")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own").unionByName(docs.where(wordless))
+
+
+def _tag() -> Column:
+    return F.xxhash64("text")
+
+
+def _reached(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The description of each row, and for each class of equal sets its best row and the root of its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = written(described(docs, frequent_shingles(docs, size), size, percent), "sets")
-    ident = ["s1", "s2", "n"]
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag"))
     classes = written(
         table.where("n > 0")
-        .groupBy(*ident)
-        .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
-        .select(F.col("s1").alias("node"), *ident, "rep", "sketch", "prefix"),
+        .groupBy(*IDENT)
+        .agg(best.alias("best"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+        .select(F.col("s1").alias("node"), *IDENT, "best", "sketch", "prefix"),
         "classes",
     )
-    reached = classes.join(_joined(docs, classes, size, percent), "node", "left").select(
-        *ident, "rep", F.coalesce("component", "node").alias("root")
-    )
-    least = reached.groupBy("root").agg(F.min("rep").alias("component"))
-    named = reached.join(least, "root").select(*ident, "component")
-    return table.select("doc_id", *ident).join(named, ident, "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    reached = classes.join(_joined(docs, classes, size, percent), "node", "left")
+    return table, reached.select(*IDENT, "best", F.coalesce("component", "node").alias("root"))
 
 
 def _joined(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -316,7 +337,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, pe
     """
     pairs = written(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.join(nodes, "node").select(F.col("rep").alias("doc_id")).distinct()
+    wanted = classes.join(nodes, "node").select(F.col("best.doc_id").alias("doc_id")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

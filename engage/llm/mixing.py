@@ -184,3 +184,23 @@ def mix(
         F.col("target_").alias("target"),
         (F.col("_passes_") + F.when(chosen, 1).otherwise(0)).cast("int").alias("copies"),
     )
+
+
+def repeat(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; columns pass through.
+
+    The rows' texts move once, to the decisions on them, which are made without texts.
+    """
+    tag = F.xxhash64("text", "source")
+    taken = (
+        mix(docs.withColumn("_tag", tag), keep=("doc_id", "_tag"), **options)
+        .groupBy("doc_id", "_tag")
+        .agg(F.sum("copies").cast("int").alias("_times"))
+        .where("_times > 0")
+        .select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_of"), "_times")
+    )
+    rows = docs.withColumn("_tag", tag)
+    met = rows.join(taken, F.equal_null("doc_id", F.col("_id")) & (F.col("_tag") == F.col("_of")))
+    # Repeated rows were counted together.
+    once = met.dropDuplicates(["doc_id", "_tag"])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

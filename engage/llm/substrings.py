@@ -232,7 +232,7 @@ def _cut(window: int):
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for each row of ``docs(doc_id, text)``.
 
-    A window is ``window`` (at most 20 + ``gram`` here) consecutive words of one text; each word covered by a window that also
+    A window is ``window`` consecutive words of one text (``window - gram`` at most 30); each word covered by a window that also
     starts earlier is removed: in a document with a smaller ``doc_id``, or earlier in the same. Windows are judged on the input.
     ``kept`` holds the remaining words joined by single blanks. Nothing is left out for size: whole texts, all documents.
 
