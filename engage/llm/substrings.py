@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engage.llm import words
+from engage.llm.bloom import blocked_filter, may_hold
 from engage.llm.common import written
 from engage.llm.fmindex import FMIndex
 
@@ -28,8 +29,6 @@ WINDOW = 20
 GRAM = 5
 SHARD = 400_000  # words of a shard, about
 HOT = 20_000  # different segments of an anchor beyond which its windows are aggregated
-BLOCKS = 1 << 18  # 256-bit blocks of the filter of repeated anchors, at most (8 MiB)
-PER_BLOCK = 16
 _PLACE = 28  # bits of a word's number within a chunk
 _TAG = 24  # bits that tell rows of equal id apart
 _SEGMENTS = "anchor long, segment long, doc long, pos long"
@@ -75,8 +74,8 @@ def segments(hashed: np.ndarray, place: np.ndarray, window: int, gram: int) -> t
     return owner, start - place[owner], windows, anchor, content
 
 
-def _segment_rows(window: int, gram: int, passes):
-    """Arrow function: all segments whose anchor ``passes`` lets through, as ``anchor, segment, doc, pos``.
+def _segment_rows(window: int, gram: int, table: np.ndarray | None):
+    """Arrow function: all segments whose anchor may be in the filter, as ``anchor, segment, doc, pos``.
 
     ``pos`` packs start, number of windows and the row's tag.
     """
@@ -87,8 +86,8 @@ def _segment_rows(window: int, gram: int, passes):
             for first, _, data, bounds in words.chunks(batch.column(2)):
                 starts, ends, place = words.word_bounds(data, bounds)
                 row, start, windows, anchor, content = segments(words.word_hashes(data, starts, ends), place, window, gram)
-                if passes is not None:
-                    kept = passes(anchor)
+                if table is not None:
+                    kept = may_hold(table, anchor.view(np.int64))
                     row, start, windows, anchor, content = row[kept], start[kept], windows[kept], anchor[kept], content[kept]
                 pos = (start << (_TAG + 5)) | (windows << _TAG) | tag[first + row]
                 yield pa.RecordBatch.from_arrays(
@@ -99,31 +98,6 @@ def _segment_rows(window: int, gram: int, passes):
     return emit
 
 
-def _filter_words(repeated: DataFrame) -> np.ndarray:
-    """Blocked Bloom filter of anchors, blocks x 4 words; bounded by ``BLOCKS`` rows on the driver."""
-    blocks = min(BLOCKS, 1 << max(4, (repeated.count() // PER_BLOCK).bit_length()))
-    a = F.col("anchor")
-    place = lambda k: F.shiftrightunsigned(a, 36 + 6 * k).bitwiseAND(F.lit(63)).cast("int")
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), place(k))
-    rows = repeated.groupBy(F.pmod(a, F.lit(blocks)).alias("block")).agg(*[F.bit_or(bit(k)).alias(f"w{k}") for k in range(4)]).toArrow()
-    table = np.zeros((blocks, 4), dtype=np.uint64)
-    at = rows.column(0).to_numpy()
-    for k in range(4):
-        table[at, k] = rows.column(k + 1).to_numpy().view(np.uint64)
-    return table
-
-
-def _probe(table: np.ndarray):
-    def passes(anchor: np.ndarray) -> np.ndarray:
-        block = (anchor & np.uint64(len(table) - 1)).astype(np.int64)
-        hit = np.ones(len(anchor), dtype=bool)
-        for k in range(4):
-            hit &= (table[block, k] >> ((anchor >> np.uint64(36 + 6 * k)) & np.uint64(63))) & np.uint64(1) == 1
-        return hit
-
-    return passes
-
-
 def _extract(window: int, shards: int):
     """Words of the wanted segments of each document, for the index; hashes of single windows for hot anchors."""
 
@@ -246,7 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     source = rows.select("doc", "tag", "text").where(F.length("text") > 2 * window - 2)
     anchors = source.mapInArrow(_segment_rows(window, gram, None), _SEGMENTS).groupBy("anchor").agg(F.count("*").alias("times"))
     repeated = written(anchors.where("times > 1").select("anchor"), "anchors")
-    passing = source.mapInArrow(_segment_rows(window, gram, _probe(_filter_words(repeated))), _SEGMENTS)
+    passing = source.mapInArrow(_segment_rows(window, gram, blocked_filter(repeated)), _SEGMENTS)
     met = written(passing.join(repeated, "anchor"), "segments")
     first = F.min(F.struct("doc", F.shiftright("pos", _TAG + 5).alias("start"), "pos"))
     distinct = written(met.groupBy("anchor", "segment").agg(first.alias("first")), "distinct")
