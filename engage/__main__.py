@@ -28,7 +28,7 @@ def sync(spark: SparkSession, args: argparse.Namespace) -> None:
     pages = _landed(spark, args.user_pages, S.USER_PAGE)
     audits = _landed(spark, args.audit_pages, S.AUDIT_PAGE)
     responses = _landed(spark, args.responses, S.GEO_RESPONSE)
-    print(jobs.run_daily(users, pages, audits, responses, args.as_of))
+    print(jobs.run_daily(users, pages, audits, responses, args.as_of, args.modified_ms))
 
 
 def locations(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -106,6 +106,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--users", default="users")
     for name in ("--user-pages", "--audit-pages", "--responses"):
         sub.add_argument(name, required=True)
+    sub.add_argument("--modified-ms", help="field of the user records: take only users modified since the newest in the table")
 
     sub = command(locations, "bulk location enrichment and its coverage")
     sub.add_argument("--users", default="users")
@@ -140,7 +141,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--no-metadata", action="store_true")
     sub.add_argument("--max-metadata-calls", type=int)
     sub.add_argument("--update-metadata", action="store_true")
-    sub.add_argument("--update-limit", type=int, default=90)
+    sub.add_argument("--update-limit", type=int)
 
     sub = command(reports, "daily video reports")
     sub.add_argument("--daily", required=True)
@@ -153,7 +154,14 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    top = parser()
+    args = top.parse_args(argv)
+    if args.run is attribution and not (args.events or args.add_schema):
+        top.error("attribution needs --events (or --add-schema)")
+    if args.run is posts and not (args.pages or args.update_metadata):
+        top.error("posts needs --pages (or --update-metadata)")
+    if args.run is posts and not (args.metadata or args.no_metadata):
+        top.error("posts needs --metadata (or --no-metadata)")
     args.run(build_session("engage"), args)
 
 

@@ -13,7 +13,7 @@ from engage.functions.posts import URN_KINDS, URN_PREFIX, percent_encoded, post_
 from engage.functions.times import as_instant
 from engage.operators.flatten import metadata_columns
 from engage.operators.merge import merge_update_only
-from engage.operators.spread import spread_left_join
+from engage.sources.tables import evolve
 
 # Location field -> response field, per provider shape.
 PROVIDER_FIELDS = {
@@ -83,16 +83,18 @@ def normalize_locations(responses: DataFrame) -> DataFrame:
 def lookup_locations(addresses: DataFrame, lookups: dict[str, Lookup], tasks: int | None = None) -> DataFrame:
     """Locations of ``last_login_ip`` values from caller-supplied lookup functions, tried in order per address.
 
-    A lookup takes an address and returns the location fields or ``None``; one that raises counts as a failure.
-    Addresses are spread over ``tasks`` partitions, which is how many lookups run at a time.
+    A lookup takes an address and returns the location fields or ``None``; one that raises counts as a failure, and a batch of
+    addresses for which every call failed raises the last error: a wholly broken lookup is not "no location". Addresses are spread over ``tasks`` partitions, which is how many lookups run at a time.
     """
     functions = list(lookups.items())
 
-    def locate(address: str) -> tuple | None:
+    def locate(address: str, outcome: list) -> tuple | None:
         for source, lookup in functions:
             try:
                 found = lookup(address)
-            except Exception:
+                outcome.append(None)
+            except Exception as error:  # whatever the caller's function raised
+                outcome.append(error)
                 continue
             if found:
                 return (address, *[found.get(name, "") for name in LOCATION], source)
@@ -100,7 +102,10 @@ def lookup_locations(addresses: DataFrame, lookups: dict[str, Lookup], tasks: in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hits = [hit for hit in map(locate, batch["last_login_ip"]) if hit is not None]
+            outcome: list = []
+            hits = [hit for hit in (locate(address, outcome) for address in batch["last_login_ip"]) if hit is not None]
+            if outcome and all(error is not None for error in outcome):
+                raise RuntimeError("every location lookup failed") from outcome[-1]
             yield pd.DataFrame(hits, columns=["ip", *LOCATION, "source"])
 
     spread = addresses.select("last_login_ip")
@@ -129,7 +134,7 @@ def locate_users(users: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("country_name").alias("last_login_country_name"),
         F.col("country_code").alias("last_login_country"),
     )
-    return merge_update_only(users, source, "last_login_ip", source_unique=True, shared_keys=True)
+    return merge_update_only(users, source, "last_login_ip", source_unique=True)
 
 
 def coverage(users: DataFrame) -> DataFrame:
@@ -182,7 +187,7 @@ def attach_metadata(posts: DataFrame, metadata: DataFrame, column: str = "metada
     )
     best = _best_record(keyed, F.col("__k.key"), F.col("__k.rank"), column)
     with_key = posts.withColumn("__key", post_key(F.col("id"), F.col("urn")))
-    return spread_left_join(with_key, best, ["__key"]).drop("__key")
+    return with_key.join(best, "__key", "left").drop("__key")
 
 
 def attach_metadata_budgeted(
@@ -202,13 +207,13 @@ def attach_metadata_budgeted(
         )
         known = metadata.join(served.select("urn"), "urn", "left_semi")
     best = _best_record(known, F.col("urn"), F.lit(0), column)
-    return spread_left_join(posts.withColumn("__key", F.col("id")), best, ["__key"]).drop("__key")
+    return posts.withColumn("__key", F.col("id")).join(best, "__key", "left").drop("__key")
 
 
 def backfill_rows(
-    posts: DataFrame, metadata: DataFrame, max_calls: int | None = 90, as_of: dt.datetime | str | None = None
+    posts: DataFrame, metadata: DataFrame, max_calls: int | None = None, as_of: dt.datetime | str | None = None
 ) -> DataFrame:
-    """New metadata columns of the newest ``max_calls`` posts without reactions, where metadata exists."""
+    """New metadata columns of posts without reactions, where metadata exists; ``max_calls`` takes only the newest of them."""
     missing = posts.where((F.col("total_reactions") == 0) | F.col("total_reactions").isNull()).select(
         F.col("post_id").alias("urn"), "created_at"
     )
@@ -220,16 +225,17 @@ def backfill_rows(
 
 
 def apply_backfill(posts: DataFrame, rows: DataFrame) -> DataFrame:
-    return merge_update_only(posts, rows, "post_id", source_unique=True)
+    fields = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
+    return merge_update_only(evolve(posts, fields), rows, "post_id", source_unique=True)
 
 
 def backfill_metadata(
-    posts: DataFrame, metadata: DataFrame, max_calls: int | None = 90, as_of: dt.datetime | str | None = None
+    posts: DataFrame, metadata: DataFrame, max_calls: int | None = None, as_of: dt.datetime | str | None = None
 ) -> DataFrame:
     return apply_backfill(posts, backfill_rows(posts, metadata, max_calls, as_of))
 
 
-def newest_details(search: DataFrame, details: DataFrame, published: Column, newest: int = 10) -> DataFrame:
+def newest_details(search: DataFrame, details: DataFrame, published: Column, newest: int) -> DataFrame:
     """Details of the newest ``newest`` search hits; hits without id or without details are dropped."""
     hits = search.where(F.col("id.videoId") != "").orderBy(published.desc(), "id.videoId").limit(newest)
     ids = hits.select(F.col("id.videoId").alias("id"))

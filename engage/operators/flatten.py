@@ -49,15 +49,18 @@ USER_JSON_DEFAULTS = {"user_tenants": "[]", "oauth": "{}", "custom_attributes":
 def flatten_users(records: DataFrame) -> DataFrame:
     """The 28 identity columns. Missing lists become empty, missing objects become empty JSON text.
 
-    A typed read cannot tell an explicit null from an absent field, so both take the default.
+    A typed read cannot tell an explicit null from an absent field, so both take the default. Free-form fields that are nested
+    records are written as JSON text; those that are text already are taken as they are.
     """
+    kinds = dict(records.dtypes)
     out: list[Column] = []
     for name, field in USER_FIELDS.items():
         value = F.col(field)
         if name in USER_LISTS:
             value = F.coalesce(value, F.array().cast("array<string>"))
         elif name in USER_JSON_DEFAULTS:
-            value = F.coalesce(value, F.lit(USER_JSON_DEFAULTS[name]))
+            text = value if kinds[field] == "string" else F.to_json(value, {"ignoreNullFields": "false"})
+            value = F.coalesce(text, F.lit(USER_JSON_DEFAULTS[name]))
         out.append(value.alias(name))
     return records.select(*out, seconds_ts(F.col("createdTime")).alias("created_time"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from engage.operators.spread import null_salt, spread_left_join
+from engage.operators.spread import null_salt
 
 ACTION = "_action"
 
@@ -27,26 +27,27 @@ def columns_to_insert(available: list[str], insert: list[str] | None) -> list[st
     return list(available) if insert is None else list(insert)
 
 
+def _known(target: DataFrame, source: DataFrame, *lists: list[str]) -> None:
+    """Every named column must be in both tables; a merge never drops one silently."""
+    for names in lists:
+        for what, columns in (("target", target.columns), ("source", source.columns)):
+            missing = [name for name in names if name not in columns]
+            if missing:
+                raise ValueError(f"MERGE: no column {', '.join(missing)} in the {what}; add it first (evolve)")
+
+
 def _prefixed(source: DataFrame, keys: list[str], unique: bool) -> DataFrame:
-    """Source columns renamed for the join, with a presence flag, a null-key salt and a repeated-key flag."""
-    rows = source.withColumn("__salt", null_salt(source, keys))
-    if unique:
-        rows = rows.withColumn("__repeated", F.lit(False))
-    else:
-        # Normally an empty list, which the adaptive planner then broadcasts.
-        repeated = (
-            source.dropna(subset=keys)
-            .groupBy(*keys)
-            .agg(F.count("*").alias("__n"))
-            .where(F.col("__n") > 1)
-            .select(*keys, F.lit(True).alias("__repeated"))
-        )
-        rows = rows.join(repeated, keys, "left")
-    return rows.select(
+    """Source columns renamed for the join, with a presence flag, a null-key salt and a repeated-key flag.
+
+    Repeated keys are counted over the partitioning that the join needs anyway, so the source moves once.
+    """
+    rows = source.withColumn("__salt", null_salt(keys))
+    several = F.lit(False) if unique else F.count("*").over(W.partitionBy(*keys, "__salt")) > 1
+    return rows.withColumn("__repeated", several).select(
         *[F.col(c).alias(f"__s_{c}") for c in source.columns],
         F.lit(True).alias("__s"),
         F.col("__salt").alias("__s_salt"),
-        F.coalesce("__repeated", F.lit(False)).alias("__repeated"),
+        "__repeated",
     )
 
 
@@ -57,11 +58,11 @@ def _same_key(keys: list[str]) -> Column:
     return condition
 
 
-def _checked(value: Column) -> Column:
-    """The key of a matched row, or an error when several source rows match it."""
-    return F.when(
-        F.col("__repeated"), F.raise_error(F.lit("MERGE: several source rows match one target row"))
-    ).otherwise(value)
+def _one_source_row(joined: DataFrame) -> DataFrame:
+    """Fail where several source rows match a target row. A filter, so that no choice of columns can prune the check."""
+    error = F.raise_error(F.lit("MERGE: several source rows match one target row")).cast("boolean")
+    wrong = F.coalesce(F.col("__repeated"), F.lit(False)) & F.col("__t").isNotNull() & F.col("__s").isNotNull()
+    return joined.where(F.when(wrong, error).otherwise(True))
 
 
 def merge_update_only(
@@ -70,30 +71,25 @@ def merge_update_only(
     on: str | list[str],
     update: list[str] | None = None,
     source_unique: bool = False,
-    shared_keys: bool = False,
     action: bool = False,
 ) -> DataFrame:
     """Update matched target rows, ignore unmatched source rows; the row count never changes.
 
-    ``shared_keys`` is for keys that many target rows share (an address, a segment): hot and null keys are then split
-    over buckets instead of meeting in one task.
+    One left join: a small source is broadcast; else both sides are shuffled once, and with ``source_unique`` the adaptive
+    planner splits the target's rows of a hot key (an address that many users share).
     """
     keys = as_list(on)
     changes = columns_to_update(source.columns, keys, update)
-    right = _prefixed(source.dropna(subset=keys), keys, source_unique)
-    if shared_keys:
-        joined = spread_left_join(target, right.withColumnsRenamed({f"__s_{key}": key for key in keys}), keys)
-    else:
-        joined = target.withColumn("__t_salt", null_salt(target, keys)).join(right, _same_key(keys), "left")
+    _known(target, source, keys, changes)
+    left = target.withColumns({"__t": F.lit(True), "__t_salt": null_salt(keys)})
+    joined = left.join(_prefixed(source.dropna(subset=keys), keys, source_unique), _same_key(keys), "left")
+    if not source_unique:
+        joined = _one_source_row(joined)
     matched = F.col("__s").isNotNull()
-    out = []
-    for name in target.columns:
-        value = F.col(name)
-        if name in changes:
-            value = F.when(matched, F.col(f"__s_{name}")).otherwise(value)
-        if name == keys[0]:
-            value = F.when(matched, _checked(value)).otherwise(value)
-        out.append(value.alias(name))
+    out = [
+        (F.when(matched, F.col(f"__s_{name}")).otherwise(F.col(name)) if name in changes else F.col(name)).alias(name)
+        for name in target.columns
+    ]
     if action:
         out.append(F.when(matched, "update").otherwise("keep").alias(ACTION))
     return joined.select(*out)
@@ -107,25 +103,22 @@ def merge(
     insert: list[str] | None = None,
     source_unique: bool = False,
     small_source: bool = False,
-    shared_keys: bool = False,
     action: bool = False,
 ) -> DataFrame:
     """Upsert ``source`` into ``target``; ``action=True`` adds what happened to each row.
 
     The default is one full outer join, for targets with one row per key: both sides are shuffled once. ``small_source``
-    suits an increment against a much larger target: the target is left-joined and unmatched source rows are appended.
-    Below the broadcast threshold the target is then not shuffled at all. ``shared_keys`` does the same for targets in
-    which many rows may share a key: a full outer join would bring them all to one task.
+    suits an increment, and targets in which many rows share a key: the target is left-joined and unmatched source
+    rows are appended. Below the broadcast threshold the target is then not shuffled at all.
     """
     keys = as_list(on)
     changes = columns_to_update(source.columns, keys, update)
     additions = columns_to_insert(source.columns, insert)
-    if small_source or shared_keys:
-        updated = merge_update_only(target, source, keys, changes, source_unique, shared_keys, action)
-        target_keys = target.select(*keys)
-        if shared_keys:  # combined on the map side, so that a hot key is one row per task before the join
-            target_keys = target_keys.distinct()
-        known = target_keys.join(source.select(*keys), keys, "left_semi").distinct()
+    _known(target, source, keys, changes, additions)
+    if small_source:
+        updated = merge_update_only(target, source, keys, changes, source_unique, action)
+        # Combined on the map side, so that a hot key is one row per task before the join.
+        known = target.select(*keys).distinct().join(source.select(*keys), keys, "left_semi").distinct()
         fresh = source.join(known, keys, "left_anti")
         out = [
             (F.col(f.name) if f.name in additions else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -133,18 +126,16 @@ def merge(
         ]
         return updated.unionByName(fresh.select(*out, *([F.lit("insert").alias(ACTION)] if action else [])))
 
-    left = target.withColumns({"__t": F.lit(True), "__t_salt": null_salt(target, keys)})
-    right = _prefixed(source, keys, source_unique)
-    joined = left.join(right, _same_key(keys), "full_outer")
-
+    left = target.withColumns({"__t": F.lit(True), "__t_salt": null_salt(keys)})
+    joined = left.join(_prefixed(source, keys, source_unique), _same_key(keys), "full_outer")
+    if not source_unique:
+        joined = _one_source_row(joined)
     in_target, in_source = F.col("__t").isNotNull(), F.col("__s").isNotNull()
     out = []
     for name in target.columns:
         kept = F.col(name)
         added = F.col(f"__s_{name}") if name in additions else F.lit(None)
         changed = F.col(f"__s_{name}") if name in changes else kept
-        if name == keys[0]:
-            changed = _checked(changed)
         value = F.when(in_target & in_source, changed).when(in_source, added).otherwise(kept)
         out.append(value.alias(name))
     if action:

@@ -11,7 +11,6 @@ from engage.functions.counts import metric
 from engage.functions.params import field_at
 from engage.functions.times import as_instant
 
-MAX_ROWS = 20000
 REPORT_DAYS = 365
 # Report header -> output column.
 DAILY_METRICS = {
@@ -54,13 +53,32 @@ def daily_report(
     metrics: dict[str, Column],
     start: Column,
     end: Column,
-    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
-    """Metrics per day and dimensions over a closed date range, sorted by them, at most ``max_rows`` rows."""
-    rows = (
+    """Metrics per day and dimensions over a closed date range, sorted by them."""
+    return (
         events.where(day.between(start, end))
         .groupBy(day.alias("date"), *[column.alias(name) for name, column in dimensions.items()])
         .agg(*[column.alias(name) for name, column in metrics.items()])
         .orderBy("date", *dimensions)
     )
-    return rows if max_rows is None else rows.limit(max_rows)
+
+
+def daily_breakdowns(
+    events: DataFrame,
+    day: Column,
+    dimensions: dict[str, Column],
+    breakdowns: dict[str, Column],
+    metrics: dict[str, Column],
+    start: Column,
+    end: Column,
+) -> DataFrame:
+    """The same report once for each breakdown (columns ``breakdown`` and ``value``): one scan, one sort at the end."""
+    each = F.explode(
+        F.array(*[F.struct(F.lit(name).alias("breakdown"), column.alias("value")) for name, column in breakdowns.items()])
+    )
+    rows = events.where(day.between(start, end)).withColumn("__b", each)
+    return (
+        rows.groupBy(day.alias("date"), *[c.alias(n) for n, c in dimensions.items()], "__b.breakdown", "__b.value")
+        .agg(*[column.alias(name) for name, column in metrics.items()])
+        .orderBy("breakdown", "date", *dimensions, "value")
+    )

@@ -1,56 +1,20 @@
-"""Joins that stay balanced when one key, or the null key, holds a large share of the rows."""
+"""Spreading of rows that match nothing, so that they do not meet in one task of a join."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 FAN = 64
 
 
-def row_salt(df: DataFrame, fan: int = FAN) -> Column:
-    """A bucket in ``0 .. fan-1`` from the row and its input partition.
+def null_salt(keys: list[str], fan: int = FAN) -> Column:
+    """0 for rows with a complete key; rows with a null key, which match nothing, are dealt to buckets by their position.
 
-    Unlike a random number it is the same when a lost task is run again; the partition number separates equal rows.
-    """
-    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(fan)).cast("int")
-
-
-def null_salt(df: DataFrame, keys: list[str], fan: int = FAN) -> Column:
-    """0 for rows with a complete key; rows with a null key, which match nothing, are spread over buckets.
-
-    The 0 is written as a hash modulo 1: a literal would be folded out of the join keys of one side.
+    No other column is read. The 0 is written as a hash modulo 1: a literal would be folded out of the join keys of one side.
     """
     missing = F.lit(False)
     for key in keys:
         missing |= F.col(key).isNull()
     zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
-    return F.when(missing, row_salt(df, fan)).otherwise(zero)
-
-
-def hot_keys(df: DataFrame, keys: list[str], share: float = 1 / FAN) -> DataFrame:
-    """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them, whatever the data."""
-    per_key = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return per_key.where(F.col("__n") >= total * F.lit(share)).dropna(subset=keys).select(*keys)
-
-
-def spread_left_join(left: DataFrame, right: DataFrame, keys: list[str], fan: int = FAN) -> DataFrame:
-    """``left`` left-joined to ``right`` (unique keys), with hot and null left keys split over ``fan`` buckets.
-
-    Rows of a hot key are scattered by row hash and only its single right row is repeated per bucket. The broadcast
-    list of hot keys has at most ``fan`` entries by construction.
-    """
-    hot = F.broadcast(hot_keys(left, keys, 1 / fan).withColumn("__hot", F.lit(True)))
-    salt = null_salt(left, keys, fan)
-    salted_left = (
-        left.withColumn("__row", row_salt(left, fan))
-        .withColumn("__null", salt)
-        .join(hot, keys, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.col("__row")).otherwise(F.col("__null")))
-        .drop("__hot", "__row", "__null")
-    )
-    buckets = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, keys, "left").withColumn("__salt", F.explode(buckets)).drop("__hot")
-    return salted_left.join(salted_right, [*keys, "__salt"], "left").drop("__salt")
+    return F.when(missing, F.pmod(F.monotonically_increasing_id(), F.lit(fan)).cast("int")).otherwise(zero)

@@ -16,12 +16,11 @@ from engage.operators.activity import activity_status
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.operators.latest import last_login, modified_since, newer_than, recent_logins, watermark
 from engage.operators.reports import unpack_report
-from engage.plans.steps import optional, required, stage, staged_source, update, updated, upsert, upserted
+from engage.plans.steps import optional, required, stage, staged_source, staging, update, updated, upsert, upserted
 from engage.sources.pages import audit_records, post_records, records, source_fallback, user_records
-from engage.sources.tables import SnapshotTable, append, evolve
+from engage.sources.tables import SnapshotTable, append, evolve, replace_table_days
 
 AsOf = dt.datetime | str | None
-SYNC_ADDRESSES = 100
 
 
 # --- users ----------------------------------------------------------------------------------------------------------
@@ -40,10 +39,16 @@ def modified_users(users: DataFrame, pages: DataFrame, modified_ms: str | None =
 def new_locations(
     users: DataFrame, responses: DataFrame, order: list[str], limit: int | None = None, force: bool = False
 ) -> DataFrame:
-    """Best location per address that users still lack."""
-    wanted = E.addresses_to_enrich(users, force=force, limit=limit)
+    """Best location per address that users still lack; a ``limit`` counts addresses that have one."""
+    wanted = E.addresses_to_enrich(users, force=force)
     relevant = responses.join(wanted, responses["ip"] == wanted["last_login_ip"], "left_semi")
-    return E.first_location(E.normalize_locations(relevant), order)
+    best = E.first_location(E.normalize_locations(relevant), order)
+    return best if limit is None else best.orderBy("ip").limit(limit)
+
+
+def logins_of(audit_pages: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Last login per user; of equal times the one read first."""
+    return last_login(recent_logins(audit_records(audit_pages), as_of), tie="place")
 
 
 def with_activity(users: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -56,7 +61,7 @@ def sync_users(users: SnapshotTable, pages: DataFrame, modified_ms: str | None =
 
 
 def update_logins(users: SnapshotTable, pages: DataFrame, as_of: AsOf = None) -> int:
-    return update(users, last_login(recent_logins(audit_records(pages), as_of)), "user_id")
+    return update(users, logins_of(pages, as_of), "user_id")
 
 
 def update_locations(
@@ -67,11 +72,12 @@ def update_locations(
     force: bool = False,
 ) -> int:
     """Locations of the addresses that lack one (``force``: of all addresses), copied to every user of the address."""
-    known = evolve(users.read(), [*S.USER_LOGIN, *S.USER_GEO])
-    best, located = staged_source(new_locations(known, responses, order, limit, force), "locations")
-    if located:
-        users.replace(E.locate_users(known, best))
-    return located
+    with staging():
+        known = evolve(users.read(), [*S.USER_LOGIN, *S.USER_GEO])
+        best, located = staged_source(new_locations(known, responses, order, limit, force), "locations")
+        if located:
+            users.replace(E.locate_users(known, best))
+        return located
 
 
 def update_activity(users: SnapshotTable, as_of: AsOf = None) -> int:
@@ -93,24 +99,37 @@ def run_daily(
     What each step brings is staged on its own, so a failing source costs only its step. The steps themselves are
     functions of the users rows and end in a single rewrite of the table.
     """
+    with staging():
+        return _run_daily(users, user_pages, audit_pages, responses, as_of, modified_ms)
+
+
+def _run_daily(
+    users: SnapshotTable,
+    user_pages: DataFrame,
+    audit_pages: DataFrame,
+    responses: DataFrame,
+    as_of: AsOf,
+    modified_ms: str | None,
+) -> dict:
     errors: dict[str, str] = {}
     users.create(S.ddl(S.USERS))
     source, synced = staged_source(modified_users(users.read(), user_pages, modified_ms), "users")
-    rows = upserted(users.read(), source, synced, users.count(), "user_id")
+    rows = upserted(users.read(), source, synced, "user_id")
 
     def logins() -> int:
         nonlocal rows
-        latest, found = staged_source(last_login(recent_logins(audit_records(audit_pages), as_of)), "logins")
+        latest, found = staged_source(logins_of(audit_pages, as_of), "logins")
         rows = updated(rows, latest, "user_id") if found else rows
         return found
 
     def locations() -> int:
         nonlocal rows
         known = evolve(rows, [*S.USER_LOGIN, *S.USER_GEO])
-        best, found = staged_source(new_locations(known, responses, E.SYNC_ORDER, SYNC_ADDRESSES), "locations")
+        best, found = staged_source(new_locations(known, responses, E.SYNC_ORDER), "locations")
         rows = E.locate_users(known, best) if found else known
         return found
 
+    # Names of the results.
     result = {
         "success": True,
         "users_synced": synced,
@@ -173,33 +192,44 @@ class SocialLanding:
     short_videos: DataFrame | None = None
 
 
-NEWEST_TWEETS = 10
-NEWEST_VIDEOS = 10
-NEWEST_POSTS = 50
+def without_metadata(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("metadata", F.lit(None).cast(S.record(S.POST_METADATA)))
 
 
 def run_social(tables: SocialTables, landing: SocialLanding, as_of: AsOf = None) -> dict:
-    """Ingest each platform on its own: a failing platform counts 0 and the others go on."""
+    """Ingest each platform on its own: a failing platform counts 0 and the others go on.
+
+    Everything landed is taken. Posts come from the older source where the newer one is absent or empty, and are stored without
+    reactions where no metadata has landed.
+    """
+    with staging():
+        return _run_social(tables, landing, as_of)
+
+
+def _run_social(tables: SocialTables, landing: SocialLanding, as_of: AsOf) -> dict:
     errors: dict[str, str] = {}
 
     def tweets() -> int:
         tables.tweets.create(S.ddl(S.TWEETS))
-        found = records(landing.tweets, "data").orderBy(F.col("created_at").desc_nulls_last(), "id")
-        return upsert(tables.tweets, flatten_tweets(found.limit(NEWEST_TWEETS)), "tweet_id")
+        return upsert(tables.tweets, flatten_tweets(records(landing.tweets, "data")), "tweet_id")
 
     def videos() -> int:
         tables.videos.create(S.ddl(S.VIDEOS))
-        search, details = records(landing.video_search, "items"), records(landing.video_details, "items")
-        found = E.newest_details(search, details, F.col("snippet.publishedAt"), NEWEST_VIDEOS)
+        search, details = records(landing.video_search, "items"), landing.video_details
+        if details is None:
+            raise ValueError("video search has landed without video details")
+        hits = search.where(F.col("id.videoId") != "").select(F.col("id.videoId").alias("id"))
+        found = records(details, "items").join(hits, "id", "left_semi")
         return upsert(tables.videos, flatten_videos(found), "video_id")
 
     def posts() -> int:
         tables.posts.create(S.ddl(S.POSTS))
-        primary = post_records(landing.posts).orderBy(F.col("createdAt").desc_nulls_last(), "id").limit(NEWEST_POSTS)
-        found = primary
-        if landing.posts_v2 is not None:
-            found = source_fallback(primary, records(landing.posts_v2, "elements"), F.col("created.time"))
-        return upsert(tables.posts, flatten_posts(E.attach_metadata(found, landing.metadata), as_of=as_of), "post_id")
+        older = None if landing.posts_v2 is None else records(landing.posts_v2, "elements")
+        found = older if landing.posts is None else post_records(landing.posts)
+        if landing.posts is not None and older is not None:
+            found = source_fallback(found, older, F.col("created.time"))
+        known = without_metadata(found) if landing.metadata is None else E.attach_metadata(found, landing.metadata)
+        return upsert(tables.posts, flatten_posts(known, as_of=as_of), "post_id")
 
     def short_videos() -> int:
         rows = stage(flatten_short_videos(landing.short_videos), "short-videos")
@@ -209,7 +239,7 @@ def run_social(tables: SocialTables, landing: SocialLanding, as_of: AsOf = None)
     steps = {
         "tweets": (landing.tweets, tweets),
         "videos": (landing.video_search, videos),
-        "posts": (landing.posts, posts),
+        "posts": (landing.posts if landing.posts is not None else landing.posts_v2, posts),
         "short_videos": (landing.short_videos, short_videos),
     }
     result = {name: optional(step, name, errors) if given is not None else 0 for name, (given, step) in steps.items()}
@@ -225,57 +255,69 @@ def run_posts(
     max_metadata_calls: int | None = None,
     as_of: AsOf = None,
 ) -> dict:
-    """Append new posts (``incremental``) or reload all of them (``full``)."""
+    """Append new posts (``incremental``) or reload all of them (``full``: the old rows stay until the new ones are written)."""
     if mode not in ("incremental", "full"):
         raise ValueError(f"unknown mode {mode}")
     posts.create(S.ddl(S.POSTS))
-    if mode == "full":
-        posts.flush()
-        mark = None
-    else:
+    mark = None
+    if mode == "incremental":
         newest = posts.read().agg(F.max("created_at").alias("mark")).first()["mark"]
         mark = None if newest is None else F.lit(newest)
     found = post_records(pages).withColumn("__created", millis_ts(F.col("createdAt")))
     found = newer_than(found, "__created", mark, newest=max_posts, tie="id").drop("__created")
     if metadata is None:
-        found = found.withColumn("metadata", F.lit(None).cast(S.record(S.POST_METADATA)))
+        found = without_metadata(found)
     else:
         found = E.attach_metadata_budgeted(found, metadata, max_metadata_calls)
-    rows = stage(required(flatten_posts(found, v2_fallback=False, as_of=as_of), "post_id"), "posts")
-    processed = rows.count()
-    if processed:
-        posts.append(rows)
+    with staging():
+        rows = stage(required(flatten_posts(found, v2_fallback=False, as_of=as_of), "post_id"), "posts")
+        processed = rows.count()
+        if mode == "full":
+            posts.reload(rows)
+        elif processed:
+            posts.append(rows)
     return {"mode": mode, "posts_processed": processed, "total_rows": posts.count()}
 
 
-def run_backfill(posts: SnapshotTable, metadata: DataFrame, max_calls: int | None = 90, as_of: AsOf = None) -> int:
+def run_backfill(posts: SnapshotTable, metadata: DataFrame, max_calls: int | None = None, as_of: AsOf = None) -> int:
     """Back-fill metadata in one statement; returns the number of updated posts."""
-    source = stage(E.backfill_rows(posts.read(), metadata, max_calls, as_of), "backfill")
-    updated = source.count()
-    if updated:
-        posts.mutate(lambda rows: E.apply_backfill(rows, source))
-    return updated
+    with staging():
+        source = stage(E.backfill_rows(posts.read(), metadata, max_calls, as_of), "backfill")
+        updated = source.count()
+        if updated:
+            posts.mutate(lambda rows: E.apply_backfill(rows, source))
+        return updated
 
 
 # --- reports --------------------------------------------------------------------------------------------------------
 def run_reports(
-    daily: DataFrame, playback: DataFrame | None, traffic: DataFrame | None, tables: dict[str, str]
+    daily: DataFrame,
+    playback: DataFrame | None,
+    traffic: DataFrame | None,
+    tables: dict[str, str],
+    only_append: bool = False,
 ) -> dict:
-    """Append the landed reports to their tables; the two breakdowns are optional and may fail."""
+    """Load the landed reports into their tables; the two breakdowns are optional and may fail.
+
+    The days of a report replace those of the table, so that a second run changes nothing; ``only_append`` adds them instead.
+    """
     errors: dict[str, str] = {}
 
     def load(report: DataFrame, name: str, breakdown: str | None = None) -> int:
         rows = stage(unpack_report(report, breakdown=breakdown), "report")
         count = rows.count()
-        if count:
+        if count and only_append:
             append(rows, tables[name])
+        elif count:
+            replace_table_days(rows, tables[name])
         return count
 
-    result = {"daily": load(daily, "daily")}
-    for name, report, breakdown in (
-        ("playback", playback, "playbackLocationType"),
-        ("traffic", traffic, "insightTrafficSourceType"),
-    ):
-        given = report is not None
-        result[name] = optional(lambda: load(report, name, breakdown), name, errors) if given else 0
+    with staging():
+        result = {"daily": load(daily, "daily")}
+        for name, report, breakdown in (
+            ("playback", playback, "playbackLocationType"),
+            ("traffic", traffic, "insightTrafficSourceType"),
+        ):
+            given = report is not None
+            result[name] = optional(lambda: load(report, name, breakdown), name, errors) if given else 0
     return {**result, "errors": errors}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engage.operators.merge import merge, merge_update_only
@@ -14,19 +15,37 @@ from engage.sources.tables import SnapshotTable, evolve
 
 log = logging.getLogger("engage")
 
-# A source of at most this share of the target's rows is merged without shuffling the target.
-SMALL_SHARE = 0.1
+
+_staged: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextlib.contextmanager
+def staging() -> Iterator[None]:
+    """Delete the staged copies that were made inside, when it ends. Nested blocks belong to the outermost one."""
+    if _staged:
+        yield
+        return
+    _staged.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _staged.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def stage(rows: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared scratch folder and read them back.
 
     The rows are used several times (count, duplicate check, join); the written copy also gives the planner exact
-    sizes and survives the loss of executors.
+    sizes and survives the loss of executors. Inside ``staging`` it lasts until the block ends.
     """
-    path = scratch_dir(rows.sparkSession, name)
+    spark = rows.sparkSession
+    path = scratch_dir(spark, name)
+    if _staged:
+        _staged[0].append((spark, path))
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def staged_source(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -34,34 +53,33 @@ def staged_source(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
     return staged, staged.count()
 
 
-def upserted(target: DataFrame, staged: DataFrame, rows: int, target_rows: int, key: str) -> DataFrame:
-    """``target`` after an upsert of a staged source; an increment leaves the target unshuffled."""
-    if rows == 0:
-        return target
-    return merge(target, staged, key, small_source=rows <= SMALL_SHARE * target_rows)
+def upserted(target: DataFrame, staged: DataFrame, rows: int, key: str) -> DataFrame:
+    """``target`` after an upsert of a staged source, whose exact size tells the planner whether to shuffle the target."""
+    return merge(target, staged, key, small_source=True) if rows else target
 
 
-def updated(target: DataFrame, staged: DataFrame, key: str, shared_keys: bool = False) -> DataFrame:
+def updated(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """``target`` after an update-only merge of a staged source with unique keys; columns it lacks are added."""
     fields = [(f.name, f.dataType.simpleString()) for f in staged.schema.fields]
-    return merge_update_only(evolve(target, fields), staged, key, source_unique=True, shared_keys=shared_keys)
+    return merge_update_only(evolve(target, fields), staged, key, source_unique=True)
 
 
 def upsert(table: SnapshotTable, source: DataFrame, key: str) -> int:
     """Stage and upsert; returns the number of source rows. An empty source leaves the table as it is."""
-    staged, rows = staged_source(source, "upsert")
-    if rows:
-        target_rows = table.count()
-        table.mutate(lambda target: upserted(target, staged, rows, target_rows, key))
-    return rows
+    with staging():
+        staged, rows = staged_source(source, "upsert")
+        if rows:
+            table.mutate(lambda target: upserted(target, staged, rows, key))
+        return rows
 
 
 def update(table: SnapshotTable, source: DataFrame, key: str) -> int:
     """Stage and apply an update-only merge; returns the number of source rows."""
-    staged, rows = staged_source(source, "update")
-    if rows:
-        table.mutate(lambda target: updated(target, staged, key))
-    return rows
+    with staging():
+        staged, rows = staged_source(source, "update")
+        if rows:
+            table.mutate(lambda target: updated(target, staged, key))
+        return rows
 
 
 def optional(step: Callable[[], int], name: str, errors: dict[str, str]) -> int:

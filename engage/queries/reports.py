@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.operators.reports import DAILY_METRICS, daily_report, report_range, unpack_report
+from engage.operators.reports import DAILY_METRICS, daily_breakdowns, daily_report, report_range, unpack_report
 from engage.queries.inputs import AS_OF, table
 
 
@@ -48,13 +48,12 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views per day and video by playback location, and by traffic source."""
     start, end = report_range(AS_OF)
-    rows = watched(spark, sf_dir)
-    parts = []
-    for name in ("location", "traffic"):
-        dims = {"video_id": F.col("video"), "value": F.coalesce(name, F.lit("None"))}
-        report = daily_report(rows, F.col("day"), dims, {"views": _count("view")}, start, end, max_rows=None)
-        parts.append(report.withColumn("breakdown", F.lit(name)))
-    return _text_dates(parts[0].unionByName(parts[1]))
+    breakdowns = {name: F.coalesce(name, F.lit("None")) for name in ("location", "traffic")}
+    views = {"views": _count("view")}
+    report = daily_breakdowns(
+        watched(spark, sf_dir), F.col("day"), {"video_id": F.col("video")}, breakdowns, views, start, end
+    )
+    return _text_dates(report)
 
 
 def landed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +95,7 @@ SELECT date, video_id, count(*) FILTER (event_type = 'view') AS views,
   count(*) FILTER (event_type = 'click') AS likes, count(*) FILTER (event_type = 'signup') AS comments,
   CAST(sum(watch_ms) // 60000 AS BIGINT) AS estimated_minutes_watched,
   CAST(sum(watch_ms) // (count(*) * 1000) AS BIGINT) AS average_view_duration_seconds
-FROM w GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20000""",
+FROM w GROUP BY 1, 2""",
     ),
     "daily_report_by_dim": (
         daily_by_dimension,

@@ -11,7 +11,13 @@ from engage import schemas as S
 from engage.functions.posts import media_type, reaction_columns
 from engage.functions.times import millis_ts, zone_free
 from engage.operators import enrich as E
-from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_videos
+from engage.operators.flatten import (
+    flatten_posts,
+    flatten_short_videos,
+    flatten_tweets,
+    flatten_videos,
+    metadata_columns,
+)
 from engage.operators.latest import newer_than
 from engage.operators.merge import merge, merge_counts
 from engage.queries.inputs import AS_OF, METADATA_SQL, POSTS_SQL, micros, post_metadata, posts, table
@@ -96,7 +102,7 @@ def topk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("id"),
         F.timestamp_seconds(number * 60 + 1704067200).alias("published"),
     )
-    return zone_free(flatten_videos(E.newest_details(search, details, F.col("published"))))
+    return zone_free(flatten_videos(E.newest_details(search, details, F.col("published"), newest=10)))
 
 
 # --- short videos ---------------------------------------------------------------------------------------------------
@@ -117,18 +123,16 @@ def short_video_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- posts ----------------------------------------------------------------------------------------------------------
-METADATA_COLUMNS = (
-    "comments_state comment_count top_level_comment_count reaction_like reaction_celebrate reaction_support "
-    "reaction_love reaction_insightful reaction_funny total_reactions"
-).split()
 
 
 def social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both post shapes, with metadata by URN candidate."""
     rows = E.attach_metadata(posts(spark, sf_dir), post_metadata(spark, sf_dir))
-    merged = flatten_posts(rows, v2_fallback=True, as_of=AS_OF).withColumn("variant", F.lit("merged"))
-    strict = flatten_posts(rows, v2_fallback=False, as_of=AS_OF).withColumn("variant", F.lit("strict"))
-    return zone_free(merged.unionByName(strict))
+    merged = flatten_posts(rows, v2_fallback=True, as_of=AS_OF)
+    strict = flatten_posts(rows, v2_fallback=False, as_of=AS_OF)
+    return zone_free(
+        merged.withColumn("variant", F.lit("merged")).unionByName(strict.withColumn("variant", F.lit("strict")))
+    )
 
 
 CANDIDATE_SQL = """
@@ -198,9 +202,9 @@ def post_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("total_reactions", F.when(length % 3 == 0, 0).when(length % 3 == 1, length))
 
 
-def metadata_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = E.backfill_metadata(post_table(spark, sf_dir), post_metadata(spark, sf_dir), max_calls=90, as_of=AS_OF)
-    return zone_free(rows.select("post_id", "created_at", *METADATA_COLUMNS, "fetched_at"))
+def metadata_backfill(spark: SparkSession, sf_dir: str, max_calls: int | None = 90) -> DataFrame:
+    rows = E.backfill_metadata(post_table(spark, sf_dir), post_metadata(spark, sf_dir), max_calls, as_of=AS_OF)
+    return zone_free(rows.select("post_id", "created_at", *metadata_columns("metadata"), "fetched_at"))
 
 
 def reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +274,30 @@ SELECT '{platform}' AS platform, count(*) FILTER (t IS NULL) AS inserted,
 FROM (SELECT {stored}) a(t) FULL JOIN (SELECT {source}) b(s) ON t = s"""
 
 
+def _backfill_sql(limit: str) -> str:
+    return f"""
+WITH {POSTS_SQL}, {METADATA_SQL},
+stored AS (
+  SELECT key AS post_id, make_timestamp(created * 1000) AS created_at,
+    CASE length(text) % 3 WHEN 0 THEN 0 WHEN 1 THEN length(text) END AS total
+  FROM post WHERE created IS NOT NULL
+),
+missing AS (
+  SELECT post_id FROM stored WHERE total = 0 OR total IS NULL
+  {limit}
+),
+fill AS (SELECT * FROM meta WHERE urn IN (SELECT post_id FROM missing))
+SELECT post_id, created_at, comments_state, coalesce(comment_count, 0) AS comment_count,
+  coalesce(top_level_comment_count, 0) AS top_level_comment_count, coalesce(reaction_like, 0) AS reaction_like,
+  coalesce(reaction_celebrate, 0) AS reaction_celebrate, coalesce(reaction_support, 0) AS reaction_support,
+  coalesce(reaction_love, 0) AS reaction_love, coalesce(reaction_insightful, 0) AS reaction_insightful,
+  coalesce(reaction_funny, 0) AS reaction_funny,
+  CASE WHEN urn IS NULL THEN total ELSE reaction_like + reaction_celebrate + reaction_support + reaction_love
+    + reaction_insightful + reaction_funny END AS total_reactions,
+  CASE WHEN urn IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '{AS_OF}' END AS fetched_at
+FROM stored LEFT JOIN fill ON urn = post_id"""
+
+
 QUERIES = {
     "social_tweets": (
         lambda spark, sf: zone_free(flatten_tweets(tweet_records(spark, sf))),
@@ -329,30 +357,8 @@ SELECT post.doc_id, urn,
     + reaction_funny, 0) AS total_reactions
 FROM post LEFT JOIN served ON post_doc = post.doc_id""",
     ),
-    "metadata_backfill": (
-        metadata_backfill,
-        f"""
-WITH {POSTS_SQL}, {METADATA_SQL},
-stored AS (
-  SELECT key AS post_id, make_timestamp(created * 1000) AS created_at,
-    CASE length(text) % 3 WHEN 0 THEN 0 WHEN 1 THEN length(text) END AS total
-  FROM post WHERE created IS NOT NULL
-),
-missing AS (
-  SELECT post_id FROM stored WHERE total = 0 OR total IS NULL
-  ORDER BY created_at DESC NULLS LAST, post_id LIMIT 90
-),
-fill AS (SELECT * FROM meta WHERE urn IN (SELECT post_id FROM missing))
-SELECT post_id, created_at, comments_state, coalesce(comment_count, 0) AS comment_count,
-  coalesce(top_level_comment_count, 0) AS top_level_comment_count, coalesce(reaction_like, 0) AS reaction_like,
-  coalesce(reaction_celebrate, 0) AS reaction_celebrate, coalesce(reaction_support, 0) AS reaction_support,
-  coalesce(reaction_love, 0) AS reaction_love, coalesce(reaction_insightful, 0) AS reaction_insightful,
-  coalesce(reaction_funny, 0) AS reaction_funny,
-  CASE WHEN urn IS NULL THEN total ELSE reaction_like + reaction_celebrate + reaction_support + reaction_love
-    + reaction_insightful + reaction_funny END AS total_reactions,
-  CASE WHEN urn IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '{AS_OF}' END AS fetched_at
-FROM stored LEFT JOIN fill ON urn = post_id""",
-    ),
+    "metadata_backfill": (metadata_backfill, _backfill_sql("ORDER BY created_at DESC NULLS LAST, post_id LIMIT 90")),
+    "metadata_backfill_all": (lambda spark, sf: metadata_backfill(spark, sf, None), _backfill_sql("")),
     "reactions": (
         reactions,
         f"""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engage import schemas as S
-from engage.functions.times import zone_free
+from engage.functions.times import iso_text, zone_free
 from engage.operators import enrich as E
 from engage.operators.activity import activity_status
 from engage.operators.flatten import flatten_users
@@ -24,8 +26,8 @@ from engage.queries.inputs import (
 )
 from engage.session import scratch_dir
 from engage.sources.landed import read_ndjson, write_ndjson
-from engage.sources.pages import scan_pages
-from engage.sources.tables import evolve
+from engage.sources.pages import scan_offset_pages, scan_pages
+from engage.sources.tables import append, evolve, overwrite, replace_table_days
 
 LOGIN_ACTIONS = ["view", "click"]
 
@@ -120,6 +122,38 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modified_since(source, watermark(known_users(spark, sf_dir)))
 
 
+# --- pages ----------------------------------------------------------------------------------------------------------
+def page_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of order keys of two scans; in the second, page 3 is short."""
+    key = F.col("o_orderkey")
+    kept = table(spark, sf_dir, "orders").where(~((F.floor(key / 500) == 3) & (key % 2 == 1) & (key % 10 > 3)))
+    pages = kept.groupBy(F.floor(key / 500).cast("int").alias("page"), (key % 2).alias("run"))
+    return pages.agg(F.collect_list("o_orderkey").alias("orders"))
+
+
+def scan_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = scan_pages(page_runs(spark, sf_dir), "orders", 60, run="run")
+    return kept.select("run", "page", F.explode("orders").alias("o_orderkey"))
+
+
+def scan_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages addressed by offset; page 4 of the first scan does not advance."""
+    stuck = (F.col("run") == 0) & (F.col("page") == 4)
+    start = F.col("page").cast("bigint") * 50
+    pages = page_runs(spark, sf_dir).select(
+        "run", start.alias("start"), F.struct(start.alias("start"), F.when(stuck, 0).otherwise(50).cast("bigint").alias("count")).alias("paging"), "orders"
+    )
+    kept = scan_offset_pages(pages, "orders", run="run")
+    return kept.select("run", "start", F.explode("orders").alias("o_orderkey"))
+
+
+PAGE_RUNS_SQL = """
+p AS (
+  SELECT CAST(o_orderkey // 500 AS INTEGER) AS page, o_orderkey % 2 AS run, o_orderkey FROM orders
+  WHERE NOT (o_orderkey // 500 = 3 AND o_orderkey % 2 = 1 AND o_orderkey % 10 > 3)
+)"""
+
+
 # --- MERGE ----------------------------------------------------------------------------------------------------------
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users seen in events, under ids that overlap the customers in part; some have no id."""
@@ -155,6 +189,19 @@ def upserted(spark: SparkSession, sf_dir: str, small_source: bool = False) -> Da
     )
 
 
+def merge_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line counts per order and ship mode onto stored ones, by both columns; a third of the keys is new."""
+    key = [F.col("l_orderkey").alias("orderkey"), F.when(F.col("l_linenumber") != 3, F.col("l_returnflag")).alias("flag")]
+    lines = table(spark, sf_dir, "lineitem").groupBy(*key).agg(F.count("*").alias("lines"), F.max("l_linenumber").alias("top"))
+    stored = lines.where("orderkey % 3 <> 0").select("orderkey", "flag", F.lit(0).cast("bigint").alias("lines"), F.lit("old").alias("note"), "top")
+    return merge(stored, lines.select("orderkey", "flag", "lines"), ["orderkey", "flag"])
+
+
+def merge_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different column lists for update and insert."""
+    return merge(merge_target(spark, sf_dir), merge_source(spark, sf_dir), "user_id", update=["segment"], insert=["user_id", "balance"])
+
+
 MERGE_SQL = """
 t AS (
   SELECT CASE WHEN user_id % 50 <> 49 THEN user_id * 20 END AS user_id, 'user ' || user_id AS display_name,
@@ -230,11 +277,65 @@ def with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity_status(users(spark, sf_dir), AS_OF)
 
 
+def table_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by overwrite (which replaces an earlier load) and by append, read back."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    name = f"sinks_{uuid.uuid4().hex}"
+    overwrite(rows.limit(1), name)
+    overwrite(rows, name)
+    append(rows.where("c_custkey % 2 = 0").select("c_acctbal", "c_name", "c_custkey"), name)
+    return spark.table(name)
+
+
+def report_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per day, loaded twice, the second time with right numbers: days are replaced, not doubled."""
+    name = f"reload_{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "orders").groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderdate").agg(F.count("*").alias("orders"))
+    rows = rows.select(F.col("o_orderdate").alias("date"), "orders", "month")
+    replace_table_days(rows.withColumn("orders", F.lit(0).cast("bigint")), name, "month")
+    replace_table_days(rows, name, "month")
+    return spark.table(name).select("date", "orders")
+
+
 QUERIES = {
     "scan_pages": (
         scan_query,
         "SELECT o_orderkey // 500 AS page, o_orderkey, o_custkey, o_totalprice FROM orders",
     ),
+    "scan_pages_runs": (
+        scan_runs,
+        f"""
+WITH {PAGE_RUNS_SQL},
+stops AS (
+  SELECT run, min(page) AS stop FROM (SELECT run, page FROM p GROUP BY 1, 2 HAVING count(*) < 60) GROUP BY run
+)
+SELECT p.run, p.page, o_orderkey FROM p LEFT JOIN stops USING (run) WHERE stop IS NULL OR page <= stop""",
+    ),
+    "scan_offset_pages": (
+        scan_offsets,
+        f"""
+WITH {PAGE_RUNS_SQL}
+SELECT run, CAST(page AS BIGINT) * 50 AS start, o_orderkey FROM p WHERE run <> 0 OR page <= 4""",
+    ),
+    "addresses_smallest": (
+        lambda spark, sf: E.addresses_to_enrich(users(spark, sf), limit=25),
+        f"""
+WITH {USERS_SQL}
+SELECT DISTINCT last_login_ip FROM u WHERE last_login_ip IS NOT NULL AND last_login_city IS NULL
+ORDER BY 1 LIMIT 25""",
+    ),
+    "instant_text": (
+        lambda spark, sf: table(spark, sf, "events").select("event_id", iso_text(F.col("ts").cast("timestamp")).alias("at")),
+        "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS at FROM events",
+    ),
+    "table_sinks": (
+        table_sinks,
+        "SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 0",
+    ),
+    "report_reload": (
+        report_reload,
+        "SELECT o_orderdate AS date, count(*) AS orders FROM orders GROUP BY 1",
+    ),
     "user_flatten": (
         user_flatten,
         """
@@ -290,6 +391,28 @@ SELECT event_id, user_id, epoch_us(ts) // 1000 AS modified_ms FROM events, w WHE
         lambda spark, sf: upserted(spark, sf, small_source=True).drop("_action"),
         f"WITH {MERGE_SQL} SELECT * EXCLUDE (_action) FROM m",
     ),
+    "merge_composite_key": (
+        merge_composite,
+        """
+WITH l AS (
+  SELECT l_orderkey AS orderkey, CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS flag, count(*) AS lines,
+    max(l_linenumber) AS top
+  FROM lineitem GROUP BY 1, 2
+)
+SELECT orderkey, flag, CASE WHEN flag IS NULL THEN 0 ELSE lines END AS lines, 'old' AS note, top FROM l WHERE orderkey % 3 <> 0
+UNION ALL
+SELECT orderkey, flag, lines, NULL, NULL FROM l WHERE orderkey % 3 = 0 OR flag IS NULL""",
+    ),
+    "merge_insert_subset": (
+        merge_subset,
+        f"""
+WITH {MERGE_SQL}
+SELECT t.user_id, t.display_name, t.balance, CASE WHEN s.user_id IS NOT NULL THEN s.segment ELSE t.segment END AS segment,
+  t.event_count
+FROM t LEFT JOIN s ON t.user_id = s.user_id
+UNION ALL
+SELECT s.user_id, NULL, s.balance, NULL, NULL FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.user_id = s.user_id)""",
+    ),
     "merge_counts": (
         lambda spark, sf: merge_counts(upserted(spark, sf)),
         f"""

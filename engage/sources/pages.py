@@ -5,26 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Page sizes and limits of the sources.
+# Page sizes of the sources.
 USER_PAGE_SIZE = 5000
 AUDIT_PAGE_SIZE = 1000
-AUDIT_LAST_PAGE = 50
 POST_PAGE_SIZE = 50
 
 
-def _upto(pages: DataFrame, position: str, is_last: Column) -> DataFrame:
-    """Pages up to and including the first one on which ``is_last`` holds (all of them when none does).
+def _upto(pages: DataFrame, position: str, is_last: Column, run: str | None) -> DataFrame:
+    """Pages of each run up to and including its first one on which ``is_last`` holds (all of them when none does).
 
-    The bound is one global MIN over page numbers, so no ordering or window over pages is needed.
+    The bounds are one MIN over page numbers for each run, so no ordering or window over pages is needed. Without a ``run``
+    column the pages are one run.
     """
-    stop = pages.where(is_last).agg(F.min(position).alias("stop")).scalar()
-    return pages.where(F.col(position) <= F.coalesce(stop, F.lit(2**31 - 1)))
+    marked = pages.where(is_last)
+    if run is None:
+        stop = marked.agg(F.min(position).alias("stop")).scalar()
+        return pages.where(stop.isNull() | (F.col(position) <= stop))
+    stops = marked.groupBy(F.col(run).alias("__run")).agg(F.min(position).alias("__stop"))
+    bounded = pages.join(stops, F.equal_null(F.col(run), F.col("__run")), "left")
+    return bounded.where(F.col("__stop").isNull() | (F.col(position) <= F.col("__stop"))).select(*pages.columns)
 
 
 def scan_pages(
-    pages: DataFrame, body: str, page_size: int, total: str | None = None, last_page: int | None = None
+    pages: DataFrame,
+    body: str,
+    page_size: int,
+    total: str | None = None,
+    last_page: int | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Pages 0, 1, ... until an empty or short page, ``total`` records, or page number ``last_page`` (kept).
+    """Pages 0, 1, ... of each run until an empty or short page, ``total`` records, or page number ``last_page`` (kept).
 
     Every page before the stop is full, hence ``(page + 1) * page_size`` records have been read after ``page``.
     """
@@ -33,37 +43,42 @@ def scan_pages(
         is_last |= (F.col("page") + 1).cast("bigint") * page_size >= F.coalesce(F.col(total), F.lit(0))
     if last_page is not None:
         is_last |= F.col("page") >= last_page
-    return _upto(pages, "page", is_last)
+    return _upto(pages, "page", is_last, run)
 
 
-def scan_offset_pages(pages: DataFrame, body: str = "elements") -> DataFrame:
-    """Offset-addressed pages until an empty one or one whose next offset does not advance."""
+def scan_offset_pages(pages: DataFrame, body: str = "elements", run: str | None = None) -> DataFrame:
+    """Offset-addressed pages of each run until an empty one or one whose next offset does not advance."""
     count = F.coalesce(F.size(body), F.lit(0))
     following = F.coalesce(F.col("paging.start"), F.lit(0)) + F.coalesce(F.col("paging.count"), count)
-    return _upto(pages, "start", (count == 0) | (following <= F.col("start")))
+    return _upto(pages, "start", (count == 0) | (following <= F.col("start")), run)
 
 
-def records(pages: DataFrame, body: str) -> DataFrame:
-    """One row per record of the page bodies, fields as columns."""
-    return pages.select(F.explode(body).alias("record")).select("record.*")
+def records(pages: DataFrame, body: str, place: str | None = None) -> DataFrame:
+    """One row per record of the page bodies, fields as columns.
 
+    ``place`` names a column for the record's place in the scan, (page, position): the order of reading.
+    """
+    if place is None:
+        return pages.select(F.explode(body).alias("record")).select("record.*")
+    found = pages.select("page", F.posexplode(body).alias("__at", "record"))
+    return found.select("record.*", F.struct("page", F.col("__at").alias("at")).alias(place))
 
-def user_records(pages: DataFrame, page_size: int = USER_PAGE_SIZE) -> DataFrame:
-    return records(scan_pages(pages, "users", page_size, total="total"), "users")
 
+# A landed folder is what a scan has read, so all its pages are taken; the stop rules above are for folders that hold more.
+def user_records(pages: DataFrame) -> DataFrame:
+    return records(pages, "users")
 
-def audit_records(
-    pages: DataFrame, page_size: int = AUDIT_PAGE_SIZE, last_page: int | None = AUDIT_LAST_PAGE
-) -> DataFrame:
-    return records(scan_pages(pages, "audits", page_size, last_page=last_page), "audits")
+
+def audit_records(pages: DataFrame, place: str | None = "place") -> DataFrame:
+    return records(pages, "audits", place)
 
 
 def post_records(pages: DataFrame) -> DataFrame:
-    return records(scan_offset_pages(pages), "elements")
+    return records(pages, "elements")
 
 
-def source_fallback(primary: DataFrame, fallback: DataFrame, newest: Column, count: int | None = 10) -> DataFrame:
-    """``primary`` unless it is empty, else the ``count`` newest rows of the narrower ``fallback``.
+def source_fallback(primary: DataFrame, fallback: DataFrame, newest: Column, count: int | None = None) -> DataFrame:
+    """``primary`` unless it is empty, else the narrower ``fallback`` (with ``count``, its newest rows).
 
     The emptiness test is a one-row subquery, so the choice needs no driver round trip.
     """

@@ -7,6 +7,7 @@ Where the catalog has row-level operations, use ``merge_row_level`` and skip sna
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -22,9 +23,13 @@ class SnapshotTable:
         self.name = name
 
     def versions(self) -> list[str]:
-        """Table names of the stored snapshots, oldest first."""
-        found = self.spark.sql(f"SHOW TABLES LIKE '{self.name}__v*'").select("tableName").collect()
-        return sorted((row.tableName for row in found), key=self._number)
+        """Names of the stored snapshots (with the table's own qualifier), oldest first."""
+        scope, _, own = self.name.rpartition(".")
+        place = f" IN {scope}" if scope else ""
+        found = self.spark.sql(f"SHOW TABLES{place} LIKE '{own}__v*'").select("tableName").collect()
+        # The pattern's other matches belong to tables whose own names go on like a snapshot's.
+        mine = [r.tableName for r in found if re.fullmatch(rf"{re.escape(own.lower())}__v\d+_[0-9a-f]{{8}}", r.tableName.lower())]
+        return sorted((f"{scope}.{name}" if scope else name for name in mine), key=self._number)
 
     @staticmethod
     def _number(snapshot: str) -> int:
@@ -50,16 +55,22 @@ class SnapshotTable:
         """The snapshot the view shows; the view's comment names it."""
         return self.spark.catalog.getTable(self.name).description if self.exists() else None
 
-    def replace(self, rows: DataFrame) -> str:
+    def replace(self, rows: DataFrame, note: str | None = None) -> str:
         """Write the next snapshot, point the view at it, and drop all but it and the one shown before.
 
         An attempt that dies before the view moves leaves only an unused snapshot, which the next one drops; the random
-        suffix keeps its files out of the way.
+        suffix keeps its files out of the way. Where another writer has moved the view meanwhile, this one fails and changes
+        nothing: its rows were made from a state that is gone. ``note`` is kept with the snapshot.
         """
         shown, known = self.current(), self.versions()
         number = self._number(known[-1]) + 1 if known else 0
         snapshot = f"{self.name}__v{number}_{uuid.uuid4().hex[:8]}"
         rows.write.format("parquet").saveAsTable(snapshot)
+        if note is not None:
+            self.spark.sql(f"ALTER TABLE {snapshot} SET TBLPROPERTIES ('note' = '{note}')")
+        if self.current() != shown:
+            self.spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
+            raise RuntimeError(f"{self.name} was changed by another writer; run again")
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{snapshot}' AS SELECT * FROM {snapshot}")
         for old in known:
             if old != shown:
@@ -73,8 +84,22 @@ class SnapshotTable:
         filled.select(*known.columns).write.insertInto(self.current())
         self.spark.catalog.refreshTable(self.name)
 
-    def mutate(self, change: Callable[[DataFrame], DataFrame]) -> str:
-        return self.replace(change(self.read()))
+    def mutate(self, change: Callable[[DataFrame], DataFrame], note: str | None = None) -> str:
+        return self.replace(change(self.read()), note)
+
+    def note(self) -> str | None:
+        """What the shown snapshot was written with."""
+        shown = self.current()
+        if shown is None:
+            return None
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {shown}").where("key = 'note'").select("value").first()
+        return found and found[0]
+
+    def reload(self, rows: DataFrame) -> str:
+        """All rows anew, columns matched by name and absent ones null; the old rows are shown until these are written."""
+        known = self.read()
+        filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
+        return self.replace(filled.select(*[F.col(f.name).cast(f.dataType) for f in known.schema.fields]))
 
     def flush(self) -> str:
         """Delete every row, keep the columns."""
@@ -89,8 +114,9 @@ class SnapshotTable:
 def append(rows: DataFrame, table: str) -> None:
     """Append without de-duplication; columns are matched by name."""
     if rows.sparkSession.catalog.tableExists(table):
-        rows = rows.select(*rows.sparkSession.table(table).columns)
-    rows.write.mode("append").format("parquet").saveAsTable(table)
+        rows.select(*rows.sparkSession.table(table).columns).write.insertInto(table)
+    else:
+        rows.write.format("parquet").saveAsTable(table)
 
 
 def overwrite(rows: DataFrame, table: str) -> None:
@@ -106,6 +132,17 @@ def replace_days(rows: DataFrame, path: str, day: str = "date") -> None:
     writer.partitionBy(day).parquet(path)
 
 
+def replace_table_days(rows: DataFrame, table: str, day: str = "date") -> None:
+    """The same for a catalog table partitioned by day, which is made by the first load."""
+    spark = rows.sparkSession
+    rows = rows.hint("rebalance", F.col(day))
+    if not spark.catalog.tableExists(table):
+        rows.write.format("parquet").partitionBy(day).saveAsTable(table)
+        return
+    ordered = rows.select(*spark.table(table).columns)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
 def evolve(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Add the columns of ``fields`` that ``df`` lacks, as nulls; existing columns stay as they are."""
     present = set(df.columns)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from engage.operators.merge import merge, newest_per_key
-from engage.plans.steps import stage
+from engage.plans.steps import stage, staging
 from engage.sources.tables import SnapshotTable
 
 
@@ -29,13 +30,19 @@ def merge_stream(
 ) -> StreamingQuery:
     """Upsert everything that has landed and stop (``availableNow``).
 
-    The checkpoint takes the place of the watermark query. A batch that is replayed after a failure merges the same
-    rows again, which changes nothing. Within a batch the first row per key in the ``newest`` order wins.
+    The checkpoint takes the place of the watermark query. Each snapshot notes the batch it was written by, and a batch that
+    is replayed after a failure is skipped if the table has it already (rows with a null key would be added again). Within a
+    batch the first row per key in the ``newest`` order wins.
     """
-
-    def apply(batch: DataFrame, _: int) -> None:
-        staged = stage(newest_per_key(batch, key, newest()), "batch")
-        table.mutate(lambda target: merge(target, staged, key, source_unique=True))
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def apply(batch: DataFrame, number: int) -> None:
+        note = f"{source}:{number}"
+        if table.note() == note:
+            return
+        with staging():
+            staged = stage(newest_per_key(batch, key, newest()), "batch")
+            table.mutate(lambda target: merge(target, staged, key, source_unique=True, small_source=True), note)
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return writer.foreachBatch(apply).start()

@@ -12,7 +12,7 @@ from engage.functions.posts import percent_encoded, urn_candidates
 from engage.functions.times import iso_text
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.sources.landed import read_event_shards, read_named_shards, read_ndjson, write_ndjson
-from engage.sources.pages import audit_records, post_records, scan_pages, source_fallback, user_records
+from engage.sources.pages import audit_records, post_records, scan_offset_pages, scan_pages, source_fallback, user_records
 
 
 def json_rows(spark, schema, *texts):
@@ -34,7 +34,7 @@ def test_users(spark):
           {"userId":"u2","loginIds":null,"createdTime":0},
           {"userId":"u3"}]}""",
     )
-    got = flatten_users(user_records(page, page_size=5000))
+    got = flatten_users(user_records(page))
     assert got.columns == S.names(S.USERS)
     one, two, three = got.orderBy("user_id").collect()
     assert one.login_ids == ["a", "b"] and one.user_tenants == '[{"t":1}]' and one.oauth == '{"g":true}'
@@ -63,10 +63,26 @@ def test_page_rule(spark, sizes, total, kept):
     assert [r[0] for r in rows(got.select("page"))] == kept
 
 
-def test_audit_pages_stop_after_page_50(spark):
+def test_page_rule_holds_for_each_run(spark):
+    one, two = pages_of(spark, [1], 100), pages_of(spark, [2, 2, 1], 100)
+    both = one.withColumn("run", F.lit("a")).unionByName(two.withColumn("run", F.lit("b")))
+    got = scan_pages(both, "users", 2, total="total", run="run")
+    assert rows(got.select("run", "page")) == [("a", 0), ("b", 0), ("b", 1), ("b", 2)]
+
+
+def test_all_landed_audit_pages_are_read(spark):
     data = [(i, [("u", "LoginSucceed", "1", None, None)]) for i in range(60)]
-    got = audit_records(spark.createDataFrame(data, S.AUDIT_PAGE), page_size=1)
-    assert got.count() == 51
+    pages = spark.createDataFrame(data, S.AUDIT_PAGE)
+    assert audit_records(pages).count() == 60
+    assert scan_pages(pages, "audits", 1, last_page=50).count() == 51
+
+
+def test_nested_free_form_fields_become_json(spark):
+    schema = S.USER_RECORD.replace("userTenants:string", "userTenants:array<struct<t:int,n:string>>").replace("OAuth:string", "OAuth:struct<g:boolean>")
+    page = json_rows(spark, f"page int, users array<{schema}>", '{"page":0,"users":[{"userId":"u","userTenants":[{"t":1}],"OAuth":{"g":true}},{"userId":"v"}]}')
+    one, two = flatten_users(user_records(page)).orderBy("user_id").collect()
+    assert (one.user_tenants, one.oauth) == ('[{"t":1,"n":null}]', '{"g":true}')
+    assert (two.user_tenants, two.oauth) == ("[]", "{}")
 
 
 def test_offset_pages(spark):
@@ -77,7 +93,10 @@ def test_offset_pages(spark):
         '{"start":2,"paging":{"start":0,"count":2},"elements":[{"id":"c"}]}',
         '{"start":4,"elements":[{"id":"d"}]}',
     )
-    assert [r[0] for r in rows(post_records(pages).select("id"))] == ["a", "b", "c"]
+    scanned = scan_offset_pages(pages)
+    assert [r[0] for r in rows(post_records(scanned).select("id"))] == ["a", "b", "c"]
+    far = pages.select(F.lit(3_000_000_000).cast("bigint").alias("start"), F.lit(None).cast("struct<start:bigint,count:bigint>").alias("paging"), "elements")
+    assert scan_offset_pages(far.where("start > 0").limit(1)).count() <= 1 and post_records(pages).count() == 4
 
 
 def test_fallback_takes_newest(spark):

@@ -164,7 +164,7 @@ def test_daily_sync_equals_its_steps(spark, new_table, tmp_path):
     counts = [
         jobs.sync_users(steps, pages),
         jobs.update_logins(steps, audits, NOW),
-        jobs.update_locations(steps, responses, jobs.E.SYNC_ORDER, jobs.SYNC_ADDRESSES),
+        jobs.update_locations(steps, responses, jobs.E.SYNC_ORDER),
         jobs.update_activity(steps, NOW),
     ]
     keys = ["users_synced", "locations_updated", "ips_enriched", "activity_status_updated"]
@@ -226,15 +226,91 @@ def test_social_job(spark, new_table, tmp_path):
         short_videos=landed(spark, tmp_path, "sv", S.SHORT_VIDEO, {"id": "s", "createTime": 5}, {"id": "t"}),
     )
     first = jobs.run_social(tables, landing, NOW)
-    assert first == {"tweets": 10, "videos": 1, "posts": 1, "short_videos": 1, "total": 13, "errors": {}}
+    assert first == {"tweets": 12, "videos": 1, "posts": 1, "short_videos": 1, "total": 15, "errors": {}}
     assert tables.posts.read().first().comments_state == "OPEN"
     second = jobs.run_social(tables, landing, NOW)
     assert second["errors"] == {}
-    assert (tables.tweets.count(), tables.videos.count(), tables.posts.count()) == (10, 1, 1)
+    assert (tables.tweets.count(), tables.videos.count(), tables.posts.count()) == (12, 1, 1)
     assert spark.table("short_videos").count() == 2  # appended without de-duplication
     landing.video_details = landing.video_details.withColumn("items", F.raise_error(F.lit("down")).cast(f"array<{S.record(S.VIDEO)}>"))
     third = jobs.run_social(tables, landing, NOW)
-    assert third["videos"] == 0 and "videos" in third["errors"] and third["tweets"] == 10
+    assert third["videos"] == 0 and "videos" in third["errors"] and third["tweets"] == 12
+
+
+def test_social_posts_without_metadata_or_newer_source(spark, new_table, tmp_path):
+    tables = jobs.SocialTables(new_table("tw2"), new_table("vi2"), new_table("posts_plain"), "short_videos2")
+    older = landed(spark, tmp_path, "p2", S.POST_PAGE, {"start": 0, "elements": [{"id": "9", "created": {"time": 5}}]})
+    newer = landed(spark, tmp_path, "p1", S.POST_PAGE, {"start": 0, "elements": [{"id": "urn:li:share:8", "createdAt": 7}]})
+    done = jobs.run_social(tables, jobs.SocialLanding(posts_v2=older), NOW)
+    assert (done["posts"], done["errors"]) == (1, {}) and tables.posts.read().first().total_reactions == 0
+    done = jobs.run_social(tables, jobs.SocialLanding(posts=newer, posts_v2=older), NOW)
+    assert (done["posts"], done["errors"]) == (1, {}) and tables.posts.count() == 2
+    done = jobs.run_social(tables, jobs.SocialLanding(video_search=landed(spark, tmp_path, "vs2", S.VIDEO_SEARCH_PAGE, {"items": [{"id": {"videoId": "v"}}]})), NOW)
+    assert done["videos"] == 0 and "video details" in done["errors"]["videos"]
+
+
+def test_failed_full_reload_keeps_the_rows(spark, new_table, tmp_path):
+    table = new_table("posts_reload")
+    good = landed(spark, tmp_path, "g", S.POST_PAGE, {"start": 0, "elements": [{"id": "urn:li:share:1", "createdAt": 5}]})
+    jobs.run_posts(table, good, None, as_of=NOW)
+    bad = landed(spark, tmp_path, "b", S.POST_PAGE, {"start": 0, "elements": [{"createdAt": 6}]})
+    with pytest.raises(Exception, match="post_id is required"):
+        jobs.run_posts(table, bad, None, mode="full", as_of=NOW)
+    assert table.count() == 1
+
+
+def test_every_landed_page_and_address_counts(spark, new_table, tmp_path):
+    users = new_table("users_all")
+    first = {"page": 0, "total": 1, "users": [user("v0")]}
+    more = [{"page": k, "total": 61, "users": [user(f"u{k}")]} for k in range(61)]
+    pages = landed(spark, tmp_path, "ap", S.USER_PAGE, first, *more)
+    at = int(dt.datetime(2024, 2, 14, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    audits = landed(
+        spark, tmp_path, "aa", S.AUDIT_PAGE,
+        *[{"page": k, "audits": [
+            {"userId": f"u{k}", "action": "LoginSucceed", "occurred": str(at), "remoteAddress": f"1.1.1.{k:03d}"},
+            {"userId": f"u{k}", "action": "LoginSucceed", "occurred": str(at), "remoteAddress": "later"},
+        ]} for k in range(61)],
+    )
+    body = '{"status":"success","city":"B","country":"G","countryCode":"D"}'
+    answers = spark.createDataFrame([(f"1.1.1.{k:03d}", "ip-api.com", body) for k in range(40, 61)], S.GEO_RESPONSE)
+    done = jobs.run_daily(users, pages, audits, answers, NOW)
+    assert (done["locations_updated"], done["ips_enriched"], users.count()) == (61, 21, 62)
+    got = users.read().where("last_login_ip <> 'later'")
+    assert got.count() == 61  # of equal times the record read first
+
+
+def test_staged_copies_are_deleted(spark, new_table, tmp_path):
+    import os
+
+    users = new_table("users_scratch")
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    jobs.sync_users(users, landed(spark, tmp_path, "sp", S.USER_PAGE, {"page": 0, "users": [user("a")]}))
+    assert set(os.listdir(root)) == before and users.count() == 1
+
+
+def test_snapshots_of_a_qualified_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    table, other = SnapshotTable(spark, "lake.q"), SnapshotTable(spark, "lake.q__v2")
+    for t in (table, other):
+        t.drop()
+        t.create("id int")
+    for k in range(3):
+        table.mutate(lambda old, k=k: old.unionByName(spark.createDataFrame([(k,)], "id int")))
+    assert table.count() == 3 and len(table.versions()) == 2 and len(other.versions()) == 1
+    state = table.read()
+    shown = table.current()
+    assert shown.startswith("lake.q__v")
+    original = table.current
+    table.current = iter([shown, "lake.q__v9_00000000"]).__next__
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.replace(state)
+    table.current = original
+    assert table.current() == shown
+    table.drop()
+    assert table.versions() == [] and other.exists()
+    other.drop()
 
 
 def post_pages(records):
@@ -281,7 +357,10 @@ def test_reports_job(spark):
     tables = {"daily": "r_daily", "playback": "r_playback", "traffic": "r_traffic"}
     result = jobs.run_reports(report, broken, report, tables)
     assert (result["daily"], result["playback"], result["traffic"]) == (1, 0, 1) and "playback" in result["errors"]
-    assert rows(spark.table("r_traffic").select("traffic_source_type", "views")) == [("None", 5)]
+    jobs.run_reports(report, None, report, tables)
+    assert rows(spark.table("r_traffic").select("traffic_source_type", "views")) == [("None", 5)]  # days are replaced
+    jobs.run_reports(report, None, None, tables, only_append=True)
+    assert spark.table("r_daily").count() == 2
     assert unpack_report(report).columns == S.names(S.VIDEO_DAILY)
 
 
@@ -306,6 +385,16 @@ def test_stream_reads_each_file_once_and_replays_safely(spark, new_table, tmp_pa
     assert run("another") == [("a", 2), ("b", 7), ("c", 3)]
 
 
+def test_a_replayed_batch_with_null_keys_changes_nothing(spark, new_table):
+    table = new_table("replayed")
+    table.create("id string, v bigint")
+    rows_ = spark.createDataFrame([("a", 1), (None, 2)], "id string, v bigint")
+    table.mutate(lambda old: old.unionByName(rows_), note="s:4")
+    assert table.note() == "s:4"
+    table.mutate(lambda old: old)
+    assert table.note() is None
+
+
 def test_command_line(spark, new_table, tmp_path, data_dir, capsys):
     from engage.__main__ import main
 

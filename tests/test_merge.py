@@ -1,13 +1,12 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from engage.operators.merge import merge, merge_counts, merge_update_only, newest_per_key
-from engage.operators.spread import hot_keys, spread_left_join
 from engage.sources.tables import evolve
 
 T = "id bigint, a string, b bigint, kept string"
@@ -46,9 +45,8 @@ def test_column_lists(target, source, small):
     assert sorted(rows(got.where("id is not null"))) == [(1, "a1", 1, "k1"), (2, "a2", 20, "k2"), (3, "s3", None, None)]
 
 
-@pytest.mark.parametrize("shared", [False, True])
-def test_update_only(spark, target, source, shared):
-    got = merge_update_only(target, source, "id", shared_keys=shared)
+def test_update_only(spark, target, source):
+    got = merge_update_only(target, source, "id")
     assert sorted(rows(got), key=str) == sorted(
         [(1, "a1", 1, "k1"), (2, None, 20, "k2"), (None, "n", 0, "kn")], key=str
     )
@@ -57,10 +55,32 @@ def test_update_only(spark, target, source, shared):
 @pytest.mark.parametrize("small", [False, True])
 def test_repeated_source_key_that_matches_is_an_error(spark, target, small):
     twice = spark.createDataFrame([(2, "x", 1), (2, "y", 2)], S)
-    with pytest.raises(Exception, match="several source rows"):
-        merge(target, twice, "id", small_source=small).collect()
-    with pytest.raises(Exception, match="several source rows"):
-        merge_update_only(target, twice, "id").collect()
+    whole = merge(target, twice, "id", small_source=small, action=True)
+    part = merge_update_only(target, twice, "id")
+    for use in (whole.collect, whole.count, whole.select("b").collect, merge_counts(whole).collect, part.count, part.select("kept").collect):
+        with pytest.raises(Exception, match="several source rows"):
+            use()
+
+
+@pytest.mark.parametrize("form", [{}, {"small_source": True}])
+def test_unknown_columns_are_refused(target, source, form):
+    with pytest.raises(ValueError, match="extra"):
+        merge(target, source.withColumn("extra", F.lit(1)), "id", **form)
+    with pytest.raises(ValueError, match="bb"):
+        merge(target, source, "id", update=["bb"], **form)
+    with pytest.raises(ValueError, match="a2"):
+        merge(target, source, "id", insert=["id", "a2"], **form)
+    with pytest.raises(ValueError, match="kept"):
+        merge_update_only(target, source, "id", update=["kept"])
+
+
+def test_the_source_moves_once(spark, target, source):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(merge(target, source, "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shown.count("Exchange hashpartitioning") == 2
 
 
 @pytest.mark.parametrize("small", [False, True])
@@ -73,18 +93,33 @@ def test_repeated_source_key_without_match_is_inserted_twice(spark, target, smal
 def test_one_source_row_updates_many_target_rows(spark):
     target = spark.createDataFrame([(i, "hot" if i < 300 else None, "old") for i in range(400)], "u int, ip string, c string")
     source = spark.createDataFrame([("hot", "new"), ("other", "x")], "ip string, c string")
-    got = merge_update_only(target, source, "ip", shared_keys=True)
+    got = merge_update_only(target, source, "ip", source_unique=True)
     assert rows(got.groupBy("c").count()) == [("new", 300), ("old", 100)]
 
 
-def test_hot_keys_are_few_and_joined_whole(spark):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.lit("same").alias("v")
-    )
-    right = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert rows(hot_keys(left, ["k"])) == [(7,)]
-    got, want = spread_left_join(left, right, ["k"]), left.join(right, "k", "left")
-    assert rows(got.groupBy("k", "v", "w").count()) == rows(want.groupBy("k", "v", "w").count())
+def test_hot_and_null_keys_are_joined_whole(spark):
+    """One key has half of the rows, the null key a third; the adaptive planner splits the hot one."""
+    n = 200_000
+    ip = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 != 0, F.concat(F.lit("ip"), (F.col("id") % 5000).cast("string")))
+    target = spark.range(n).select(F.col("id"), ip.alias("ip"), F.lit("old").alias("c"))
+    source = spark.range(6000).select(F.concat(F.lit("ip"), F.col("id").cast("string")).alias("ip"), F.lit("new").alias("c"))
+    source = source.unionByName(spark.createDataFrame([("hot", "new")], "ip string, c string"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = merge_update_only(target, source, "ip", source_unique=True)
+        counts = {(r.c, r.hot): r["count"] for r in got.groupBy("c", (F.col("ip") == "hot").alias("hot")).count().collect()}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    nulls = sum(1 for i in range(n) if i % 2 and i % 3 == 0)
+    assert counts == {("new", True): n // 2, ("old", None): nulls, ("new", False): n - n // 2 - nulls}
 
 
 keys = st.one_of(st.none(), st.integers(0, 6))
@@ -106,7 +141,7 @@ def expected(target, source):
 def test_merge_matches_a_plain_model_and_is_idempotent(spark, target, source):
     t, s = spark.createDataFrame(target, T), spark.createDataFrame(source, S)
     want = sorted(expected(target, source), key=str)
-    for form in ({}, {"small_source": True}, {"shared_keys": True}):
+    for form in ({}, {"small_source": True}):
         once = merge(t, s, "id", **form)
         assert sorted(rows(once), key=str) == want
     complete = s.dropna(subset=["id"])
