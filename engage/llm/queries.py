@@ -78,10 +78,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     learned = docs.where(remainder(5) != 0)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    scored = toxicity.score_texts(
-        docs.select("doc_id", "text"), learned.select("doc_id", "text").join(labels, "doc_id"), learned
-    )
+    labels = table(spark, sf_dir, "labels").where(remainder(5) != 0)
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), learned, labels, learned)
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

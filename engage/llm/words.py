@@ -81,7 +81,7 @@ def word_bounds(
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of words; ``lower`` folds A-Z."""
+    """64-bit hashes of words; ``lower`` folds A-Z. Any spans of bytes will do, given as rows of starts and ends."""
     if lower:
         data = _LOWER[data]
     n = len(data)
