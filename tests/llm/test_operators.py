@@ -1,0 +1,401 @@
+"""Results against brute force, round trips and held-out accuracy."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import oracle
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from engage.llm import bloom, common, components, fmindex, forest, jaccard, mixing, packing, pseudonyms, queries, sketches, substrings, urls, words
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+@pytest.fixture(scope="module")
+def documents(spark, data_dir):
+    return common.table(spark, data_dir, "documents").toPandas().set_index("doc_id")
+
+
+def made(seed, n=300, vocabulary=WORDS):
+    """Texts with copies, near copies, shared passages and repeats inside a text."""
+    r = random.Random(seed)
+    passage = r.choices(vocabulary, k=60)
+    texts = []
+    for _ in range(n):
+        kind = r.random()
+        if kind < 0.2 and texts:
+            t = list(r.choice(texts))
+        elif kind < 0.45 and texts:
+            t = list(r.choice(texts))
+            for _ in range(r.randint(1, 4)):
+                t[r.randrange(len(t))] = r.choice(vocabulary)
+        else:
+            t = r.choices(vocabulary, k=r.choice([1, 2, 5, 19, 20, 21, 40, 90, 200]))
+            if r.random() < 0.4:
+                t[len(t) // 2 : len(t) // 2] = passage
+            if r.random() < 0.2:
+                t += t[: len(t) // 2]
+        texts.append(t)
+    return [(7 * i % 1009, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_words_are_those_of_split():
+    texts = ["a b", "", " x\ty\x0bz\x0c ", "\u00a0 \u2003q \x1c r", None, "e\u0301 " * 3, "a"]
+    for _, _, data, bounds in words.chunks(pa.array(texts), most_bytes=8):
+        starts, ends, _ = words.word_bounds(data, bounds)
+        assert (starts < ends).all()
+    got = []
+    for _, _, data, bounds in words.chunks(pa.array(texts)):
+        starts, ends, place = words.word_bounds(data, bounds)
+        raw = data.tobytes()
+        for k in range(len(place) - 1):
+            got.append([raw[a:b] for a, b in zip(starts[place[k] : place[k + 1]], ends[place[k] : place[k + 1]])])
+    assert got == [(t or "").encode().split() for t in texts]
+
+
+def test_filter_has_no_false_negatives(spark):
+    keys = spark.range(20_000).select((F.col("id") * 7919 - 10**6).alias("k"))
+    table = bloom.blocked_filter(keys)
+    assert bloom.may_hold(table, np.arange(20_000) * 7919 - 10**6).all()
+    assert bloom.may_hold(table, np.arange(10**8, 10**8 + 50_000)).mean() < 0.05
+
+
+@pytest.mark.parametrize("task", [1_000_000, 50])
+def test_components(spark, monkeypatch, task):
+    monkeypatch.setattr(components, "TASK", task)
+    r = random.Random(3)
+    links = [(r.randrange(3000), r.randrange(3000)) for _ in range(2000)] + [(5000 + i, 5001 + i) for i in range(200)] + [(9, 9)]
+    links += [(9000, 9001 + i) for i in range(500)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+# --- op1 ---
+def test_op1(spark, data_dir):
+    assert oracle.differences(queries.op1_urls(spark, data_dir), oracle.connect(data_dir), queries.OP1_SQL) == []
+
+
+def test_url_rules(spark):
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    cases = {
+        "http://www.Example.COM/en/1": "allow", "https://a.example.com/en/": "block", "http://example.com/en": "allow",
+        "http://b.net/es/?q": "block", "http://b.net/ES/": "allow", "x://net/fr/": "block", "http://example.com": "allow",
+    }
+    got = {r.url: r.verdict for r in urls.judge_urls(spark.createDataFrame([(u, u) for u in cases], "page_id string, url string"), rules)
+           .withColumnRenamed("page_id", "url").collect()}
+    assert got == cases
+
+
+# --- op2 ---
+def cut_by_force(rows, window=20):
+    first, covered, texts = {}, {}, {i: t.encode().split() for i, t in rows}
+    for i in sorted(texts):
+        t = texts[i]
+        for k in range(len(t) - window + 1):
+            first.setdefault(tuple(t[k : k + window]), (i, k))
+    out = {}
+    for i, t in texts.items():
+        gone = set()
+        for k in range(len(t) - window + 1):
+            if first[tuple(t[k : k + window])] != (i, k):
+                gone.update(range(k, k + window))
+        out[i] = (len(t), len(gone), b" ".join(w for k, w in enumerate(t) if k not in gone).decode())
+    return out
+
+
+@pytest.mark.parametrize("seed, hot, shard", [(1, 20_000, 400_000), (2, 1, 400_000), (3, 3, 2_000)])
+def test_repeats_are_removed(spark, seed, hot, shard):
+    rows = made(seed)
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), hot=hot, shard=shard)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got.collect()} == cut_by_force(rows)
+
+
+def test_repeats_of_one_word(spark):
+    rows = [(1, "a " * 100), (2, "a " * 19), (3, "b " * 10 + "a " * 30)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got.collect()} == cut_by_force(rows)
+
+
+def test_index_finds_the_earliest_run():
+    r = np.random.default_rng(5)
+    text = np.concatenate([np.append(r.integers(1, 4, r.integers(8, 20)), 0) for _ in range(200)])
+    index = fmindex.FMIndex(text, 4, 20)
+    starts = np.array([k for k in range(len(text) - 6) if (text[k : k + 6] > 0).all()])
+    want = {}
+    for k in starts:
+        want.setdefault(tuple(text[k : k + 6]), k)
+    assert (index.earliest(starts, 6) == [want[tuple(text[k : k + 6])] for k in starts]).all()
+
+
+# --- op3 ---
+def test_pseudonyms_keep_formats_and_links(spark):
+    mails = [f"user{i}.x@mail{i % 9}.example.com" for i in range(300)]
+    cards = []
+    for i in range(300):
+        body = f"4{i * 7919 % 10**14:014d}"
+        cards.append(body + str(next(d for d in range(10) if luhn(body + str(d)))))
+    dates = [f"{1900 + i % 150}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(300)]
+    hosts = [f"{1 + i % 200}.{i % 256}.{i * 7 % 256}.{i * 3 % 256}" for i in range(300)]
+    phones = [f"+1 ({200 + i}) 555-{1000 + i}" for i in range(300)]
+    rows = [(i, f"see {m}, pay {c} on {d} from {h} or call {p}; again {m}") for i, (m, c, d, h, p) in enumerate(zip(mails, cards, dates, hosts, phones))]
+    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    shape = __import__("re").compile(
+        r"see (\S+@\S+\.com), pay (\d{16}) on (\d{4}-\d\d-\d\d) from (\d+\.\d+\.\d+\.\d+) or call (\+1 \(\d{3}\) \d{3}-\d{4}); again (\S+)"
+    )
+    seen = [defaultdict(set) for _ in range(5)]
+    for row, m, c, d, h, p in zip(out, mails, cards, dates, hosts, phones):
+        got = shape.fullmatch(row.text).groups()
+        assert got[0] == got[5] and row.n_replaced == 6
+        assert luhn(got[1]) and all(int(x) < 256 for x in got[3].split("."))
+        __import__("datetime").date.fromisoformat(got[2])
+        for k, (old, new) in enumerate(zip((m, c, d, h, p), got)):
+            assert old != new or k == 2
+            seen[k][old].add(new)
+    for links in seen:  # equal values stay equal, different ones different
+        assert all(len(new) == 1 for new in links.values())
+        assert len({next(iter(new)) for new in links.values()}) == len(links)
+
+
+def luhn(number):
+    digits = [int(c) for c in number][::-1]
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+
+
+def test_feistel_is_one_to_one(spark):
+    pairs = spark.range(7 * 11).select((F.col("id") % 7).alias("a"), F.floor(F.col("id") / 7).alias("b"))
+    out = pairs.select(pseudonyms.feistel(F.col("a"), F.col("b"), F.lit(7).cast("long"), F.lit(11).cast("long"), "k", F.lit("t")).alias("o"))
+    got = {(r.o.l, r.o.r) for r in out.collect()}
+    assert got == {(a, b) for a in range(7) for b in range(11)}
+    other = pairs.select(pseudonyms.feistel(F.col("a"), F.col("b"), F.lit(7).cast("long"), F.lit(11).cast("long"), "k2", F.lit("t")).alias("o"))
+    assert [r.o for r in other.collect()] != [r.o for r in out.collect()]
+
+
+def test_clean_texts_stay(spark):
+    rows = [(1, "Version 2.0. of 3.14 in 1999, chapter 12-13 and CC BY-NC 4.0"), (2, "plain words")]
+    assert [r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == [t for _, t in rows]
+
+
+# --- op4 ---
+def test_packing_is_a_round_trip(spark, data_dir, documents):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path(packing.TOKENIZER))
+    out = queries.op4_packing(spark, data_dir).toPandas()
+    encoded = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for i, t in documents.text.items()}
+    for doc_id, pieces in out.sort_values("start").groupby("doc_id"):
+        ids, at = encoded[doc_id], 0
+        for p in pieces.itertuples():
+            assert p.start == at and p.doc_tokens == len(ids)
+            assert zlib.crc32(ids[at : at + p.length].tobytes()) == p.ids_crc32
+            at += p.length
+        assert at == len(ids)
+    for _, sequence in out.sort_values("offset").groupby("sequence_id"):
+        assert list(sequence.offset) == [0, *sequence.length.cumsum()[:-1]]
+        used = sequence.length.sum()
+        assert used <= 2048 and used & (used - 1) == 0
+
+
+def test_special_token_text_is_encoded_as_by_the_tokenizer_file():
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(path(packing.TOKENIZER)), packing.Encoder()
+    for text in ["a<|endoftext|>b", "x" * 5000, "\u00e9\u4e2d\U0001f600 \u00a0 \u2028y  \n\n z's 123", "\x00\x1c \x85", "\u0130I\u0307 \u01c5"]:
+        assert list(encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_sum_of_squares_rule():
+    packer, r = packing.SumOfSquares(16), np.random.default_rng(4)
+    for k in range(2000):
+        size = int(r.integers(1, 16))
+        n = packer.count.copy()
+        level = packer.choose(size)
+        scores = {}
+        for h in range(0, 17 - size):
+            if h and not n[h]:
+                continue
+            m = n.copy()
+            m[h] -= h > 0
+            m[h + size] += h + size < 16
+            scores[h] = int((m * m).sum())
+        assert scores[level] == min(scores.values())
+        list(packer.place(k, np.zeros(size, dtype="<u4")))
+
+
+# --- op5, op6 ---
+def test_languages_held_out(spark, data_dir, documents):
+    out = queries.op5_langid(spark, data_dir).toPandas().set_index("doc_id")
+    held = out[out.held_out]
+    assert all(out.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in out.index])
+    assert (held.lang_pred == documents.lang.loc[held.index]).mean() > 0.97
+
+
+def test_toxicity_held_out(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    out = queries.op6_toxicity(spark, sf_dir).toPandas().set_index("doc_id")
+    labels = common.table(spark, sf_dir, "labels").toPandas().set_index("doc_id").toxic
+    held = out[out.held_out].join(labels, how="inner")
+    toxic, clean = held.score[held.toxic == 1], held.score[held.toxic == 0]
+    assert np.mean([(t > c) + 0.5 * (t == c) for t in toxic for c in clean]) > 0.97
+
+
+# --- op7 ---
+def test_sketches(spark, data_dir, documents):
+    out = queries.op7_sketches(spark, data_dir).toPandas().set_index("doc_id")
+    order = sorted(documents.index, reverse=True)
+    for i, following in zip(order, order[1:] + order[:1]):
+        text, after = documents.text[i] or "", documents.text[following] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        assert out.edited_sha256[i] == hashlib.sha256(edited.encode()).hexdigest()
+        assert out.n_chars[i] == len(text)
+    same = documents.assign(f=out.fingerprint).groupby("text").f.nunique()
+    assert (same == 1).all()
+    assert abs(out.near_edited.mean() - 1 / 3) < 0.05 and out.near_next.mean() < 0.05
+
+
+def test_next_rows_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "ROWS", 3)
+    ids = sorted({random.Random(1).choice([3, 10**3, 10**6, 10**12]) * k - 50 for k in range(60)})
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.next_text for r in sketches.with_next(docs, "doc_id", ["text"]).collect()}
+    down = ids[::-1]
+    assert got == {i: f"t{j}" for i, j in zip(down, down[1:] + down[:1])}
+
+
+def test_sketches_estimate_containment(spark):
+    r = random.Random(8)
+    small = r.choices(WORDS, k=800)
+    large = r.choices(WORDS, k=6000) + small
+    row = spark.createDataFrame([(" ".join(small), " ".join(large))], "a string, b string")
+    a, b = sketches.sketch(F.col("a")), sketches.sketch(F.col("b"))
+    got = row.select(sketches.containment(a, b).alias("c"), sketches.resemblance(a, b).alias("j")).first()
+    assert got.c > 0.95 and abs(got.j - 800 / 6800) < 0.05
+
+
+# --- op8 ---
+def classes_by_force(rows, percent=90):
+    upper = {c: c + 32 for c in range(65, 91)}
+    sets = {}
+    for i, t in rows:
+        w = t.translate(upper).encode().split()
+        sets[i] = frozenset([tuple(w[k : k + 3]) for k in range(len(w) - 2)] if len(w) >= 3 else [tuple(w)] if w else [])
+    label = {i: i for i in sets}
+    ids = sorted(sets)
+    linked = defaultdict(set)
+    for x in ids:
+        for y in ids:
+            if x < y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y]):
+                linked[x].add(y)
+                linked[y].add(x)
+    for i in ids:
+        todo = [i]
+        while todo:
+            for j in linked[todo.pop()]:
+                if label[j] > label[i]:
+                    label[j] = label[i]
+                    todo.append(j)
+    return {i: (len(sets[i]), label[i]) for i in ids}
+
+
+@pytest.mark.parametrize("seed, small, region", [(11, 64, 2000), (12, 2, 2000), (13, 2, 4)])
+def test_jaccard_components(spark, monkeypatch, seed, small, region):
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "REGION", region)
+    rows = [(i, t.upper() if i % 3 else t) for i, t in made(seed, 250)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes_by_force(rows)
+    kept = {r.doc_id for r in jaccard.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {c for _, c in classes_by_force(rows).values()}
+
+
+# --- op9 ---
+@pytest.mark.parametrize("block", [4096, 50])
+def test_vectors(spark, block):
+    r = np.random.default_rng(2)
+    base = r.standard_normal((600, 32))
+    near = np.repeat(base[:60], 10, axis=0)
+    near = near + r.standard_normal(near.shape) * 0.12
+    x = np.concatenate([base, near, np.repeat(base[:1], 150, axis=0)]).astype(np.float32)
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    truth = unit @ unit.T >= 0.95
+    np.fill_diagonal(truth, False)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = forest.near_vectors(vectors, leaf=100, block=block).toPandas().set_index("vec_id").sort_index()
+    assert (out.n_links.to_numpy() <= truth.sum(axis=1)).all()
+    assert out.n_links.sum() >= 0.95 * truth.sum()
+    assert out.component_id[1200:].nunique() == 1
+    assert (out.kept == (out.component_id == out.index)).all()
+
+
+# --- op10 ---
+def test_mix(spark, data_dir, documents):
+    out = queries.op10_mixing(spark, data_dir).toPandas().set_index("doc_id").join(documents.source)
+    size = documents.text.map(lambda t: len((t or "").encode().split()))
+    assert (out["size"] == size.loc[out.index]).all()
+    assert (out.taken <= 2 * out["size"]).all()
+    by = out.groupby("source").agg(size=("size", "sum"), taken=("taken", "sum"), target=("target", "first"))
+    assert abs(by.target.sum() - 1.5 * by["size"].sum()) < 1e-6
+    assert (by.target <= 2 * by["size"] + 1e-6).all()
+    # Sources of about ten documents: no subset need hit the target to the word.
+    assert ((by.target - by.taken).abs() <= 1 + 0.02 * by.target).all()
+    again = queries.op10_mixing(spark, data_dir).toPandas().set_index("doc_id")
+    assert (again.taken == out.taken.loc[again.index]).all()
+
+
+def test_fit_reaches_every_reachable_budget():
+    r = random.Random(6)
+    for _ in range(60):
+        lengths = sorted(r.sample(range(1, 40), 5))
+        counts = [r.randint(1, 4) for _ in lengths]
+        reachable = {0}
+        for n, c in zip(lengths, counts):
+            reachable = {s + n * k for s in reachable for k in range(c + 1)}
+        budget = r.randint(0, sum(n * c for n, c in zip(lengths, counts)))
+        taken = mixing.fit(lengths, counts, budget)
+        assert all(t <= c for t, c in zip(taken, counts))
+        assert sum(n * t for n, t in zip(lengths, taken)) == max(s for s in reachable if s <= budget)
+    lengths, counts = list(range(3, 900, 7)), [50] * 129
+    taken = mixing.fit(lengths, counts, 1_234_567, window=2000)
+    assert sum(n * t for n, t in zip(lengths, taken)) == 1_234_567
+
+
+def test_mix_of_one_hot_source(spark):
+    rows = [(i, "w " * 10, "hot" if i % 3 else None) for i in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    by = out.groupby("source_size").agg(taken=("copies", "sum"), target=("target", "first"))
+    assert ((by.taken * 10 - by.target).abs() <= 10).all()
+
+
+# --- pipeline ---
+def test_pipeline(spark, data_dir, documents):
+    import corpus_pipeline
+
+    docs = common.table(spark, data_dir, "documents")
+    for (name, stage), (least, most) in zip(corpus_pipeline.STAGES[:-1], [(0.99, 1), (0.5, 1), (0.5, 1), (0.5, 2)]):
+        docs = common.written(stage(spark, docs, data_dir), name)
+        assert docs.columns == corpus_pipeline.COLUMNS
+        assert least * len(documents) <= docs.count() <= most * len(documents), name
+    out = corpus_pipeline.run(spark, data_dir)
+    assert out.where("start = 0").count() == docs.count()
+    assert set(entry.queries()) >= {"pipeline"}
