@@ -246,7 +246,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
         .select("segment", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("step").cast("int")).alias("mask"))
     )
     mask = masks.unionByName(hot_masks).groupBy("segment").agg(F.bit_or("mask").alias("mask"))
-    known = distinct.join(mask, "segment", "left").select("segment", "first", "mask")
+    # Written, so that the join below is one of two plain tables, whose hot segments the adaptive planner splits.
+    known = written(distinct.join(mask, "segment", "left").select("segment", "first", "mask"), "known")
     is_first = (F.col("doc") == F.col("first.doc")) & (F.shiftright("pos", _TAG + 5) == F.col("first.start"))
     whole = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("pos", _TAG).bitwiseAND(F.lit(31)).cast("int")) - 1
     removed = by_row(
