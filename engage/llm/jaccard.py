@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from engage.llm import words
+from engage.llm.bloom import blocked_filter, may_hold
 from engage.llm.common import WORD, written
 from engage.llm.components import components
 
@@ -35,6 +36,7 @@ SKETCH = 8  # 64-bit words of the parity sketch
 FREQUENT = 1 << 16  # most frequent shingles, which come last in the order; bounds the list that travels to all tasks
 OFTEN = 5000  # a shingle is frequent if more than one in so many documents has it
 SEEN = 4  # documents of one batch that must have a shingle for it to be counted
+SMALL = 64  # sets of a region that are paired in one row
 REGION = 2000  # sets of a region that are paired without cutting it again
 DEPTH = 4  # common shingles by which regions are cut, at most
 IDENT = ["s1", "s2", "n"]  # what tells sets apart
@@ -229,33 +231,109 @@ def _reached(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
 def _joined(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of the linked classes."""
     window = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
-    placed = classes.select("node", "n", "prefix", F.posexplode("prefix").alias("place", "key")).where(F.col("place") < window)
-    postings = placed.select("key", "node", "n", "place")
-    links: DataFrame | None = None
+    places = classes.select("n", F.posexplode("prefix").alias("place", "key")).where(F.col("place") < window)
+    regions = written(places.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "regions")
+    small, large = regions.where(F.col("sets") <= SMALL), regions.where(F.col("sets") > SMALL)
+    in_small, in_large = blocked_filter(small.select("key")), blocked_filter(large.select("key"))
+
+    members = written(_with_pivots(_postings(classes, in_large, percent).join(large, "key")), "members")
+    stars = _small_pairs(_postings(classes, in_small, percent).join(small, "key"), True, percent)
+    links = _linked(docs, classes, _with_sketches(stars.union(_star_pairs(members, 1, percent)).distinct(), classes, percent), size, percent)
+    reached = components(links)
+
+    told = classes.join(reached, "node", "left")
+    crossed = _small_pairs(_postings(told, in_small, percent).join(small, "key"), False, percent)
+    open_ = written(_unsettled(members, reached), "open")
     for depth in range(1, DEPTH + 1):
-        members = written(_shared(postings), "regions")
-        found = _linked(docs, classes, _star_pairs(members, classes, depth, percent), size, percent)
-        links = found if links is None else written(links.union(found), "links")
-        reached = components(links)
-        open_ = written(_unsettled(members, reached), "open")
-        small = open_ if depth == DEPTH else open_.where(F.col("sets") <= REGION)
-        found = _linked(docs, classes, _cross_pairs(small, classes, depth, percent), size, percent)
-        links = written(links.union(found), "links")
-        if depth == DEPTH or open_.where(F.col("sets") > REGION).isEmpty():
+        now = open_ if depth == DEPTH else open_.where(F.col("sets") <= REGION)
+        pairs = _cross_pairs(now, depth, percent)
+        pairs = (pairs.union(crossed) if depth == 1 else pairs).distinct()
+        links = written(links.union(_linked(docs, classes, _with_sketches(pairs, classes, percent), size, percent)), "links")
+        rest = open_.where(F.col("sets") > REGION)
+        if depth == DEPTH or rest.isEmpty():
             break
-        postings = _cut_again(open_.where(F.col("sets") > REGION), classes, depth, percent)
+        cut = _cut_again(rest, classes, depth, percent)
+        counted = cut.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+        members = written(_with_pivots(cut.join(counted, "key")), "members")
+        stars = _with_sketches(_star_pairs(members, depth + 1, percent), classes, percent)
+        links = written(links.union(_linked(docs, classes, stars, size, percent)), "links")
+        open_ = written(_unsettled(members, components(links)), "open")
     return components(links)
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of regions with more than one set, with the region's two document pivots."""
+_POSTING = "key long, node long, n long, place long, component long, m0 long, m1 long"
+
+
+def _postings(classes: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
+    """The places of each set in regions that may be in the filter, with its component and half a small parity sketch."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n, component, first, second = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+            prefix = batch.column(5)
+            offsets, keys = prefix.offsets.to_numpy(), prefix.flatten().to_numpy()
+            row = np.repeat(np.arange(len(node)), np.diff(offsets))
+            place = np.arange(len(keys)) - (offsets[:-1] - offsets[0])[row]
+            kept = np.flatnonzero(place < (n - (percent * n + 99) // 100 + 1)[row])
+            kept = kept[may_hold(table, keys[kept])]
+            row = row[kept]
+            columns = [keys[kept], node[row], n[row], place[kept], component[row], first[row], second[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=[c.split()[0] for c in _POSTING.split(", ")])
+
+    component = F.coalesce("component", "node") if "component" in classes.columns else F.col("node")
+    # The parity of a union of bits is the parity of their sum, so words of the sketch fold into fewer by exclusive or.
+    fold = lambda odd: F.aggregate(F.filter("sketch", lambda _, i: i % 2 == odd), F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(w))
+    return classes.select(
+        "node", "n", component.alias("component"), fold(0).alias("m0"), fold(1).alias("m1"), "prefix"
+    ).mapInArrow(emit, _POSTING)
+
+
+def _small_pairs(members: DataFrame, stars: bool, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of small regions that sizes, places and small sketches allow: of each set with the region's first and
+    last, or of all sets of different components."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            size = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            node, n, place, component, m0, m1 = (flat.field(k).to_numpy() for k in range(6))
+            region = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((node, region))
+            node, n, place, component = (c[order] for c in (node, n, place, component))
+            m0, m1 = m0[order].view(np.uint64), m1[order].view(np.uint64)
+            ends = np.cumsum(size)
+            found = []
+
+            def check(a: np.ndarray, b: np.ndarray) -> None:
+                need = -(-percent * (n[a] + n[b]) // (100 + percent))
+                differ = np.bitwise_count(m0[a] ^ m0[b]).astype(np.int64) + np.bitwise_count(m1[a] ^ m1[b])  # unsigned
+                ok = np.minimum(n[a] - place[a], n[b] - place[b]) >= need
+                ok &= (differ <= n[a] + n[b] - 2 * need) & (component[a] != component[b])
+                found.append(np.stack([node[a][ok], node[b][ok]]))
+
+            every = np.arange(len(node))
+            if stars:
+                for pivot in ((ends - size)[region], (ends - 1)[region]):
+                    check(pivot, every)
+            else:
+                for step in range(1, int(size.max()) if len(size) else 0):
+                    a = every[: len(every) - step]
+                    a = a[region[a] == region[a + step]]
+                    check(a, a + step)
+            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+            pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    lists = members.groupBy("key").agg(F.collect_list(F.struct("node", "n", "place", "component", "m0", "m1")).alias("members"))
+    return lists.select("members").mapInArrow(emit, "a long, b long")
+
+
+def _with_pivots(members: DataFrame) -> DataFrame:
+    """Members of regions with the region's two document pivots."""
     pick = F.struct("node", "n", "place")
-    regions = (
-        postings.groupBy("key")
-        .agg(F.count("*").alias("sets"), F.min(pick).alias("one"), F.min_by(pick, F.xxhash64("node", "key")).alias("two"))
-        .where(F.col("sets") > 1)
-    )
-    return postings.join(regions, "key")
+    pivots = members.groupBy("key").agg(F.min(pick).alias("one"), F.min_by(pick, F.xxhash64("node", "key")).alias("two"))
+    return members.select("key", "node", "n", "place", "sets").join(pivots, "key")
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -269,17 +347,18 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     )
 
 
-def _star_pairs(members: DataFrame, classes: DataFrame, depth: int, percent: int) -> DataFrame:
-    """Each set with the two pivots of each of its regions, where a link is possible."""
-    n, i = F.col("n"), F.col("place")
+def _star_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
+    """Each set with the two pivots of each of its regions, where sizes and places allow a link."""
     pivot = F.explode(F.array("one", "two"))
-    pairs = (
+    return (
         members.select("node", "n", "place", pivot.alias("p"))
-        .where((F.col("node") != F.col("p.node")) & _may_link(n, i, F.col("p.n"), F.col("p.place"), F.lit(depth - 1), percent))
+        .where(
+            (F.col("node") != F.col("p.node"))
+            & _may_link(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"), F.lit(depth - 1), percent)
+        )
         .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
         .distinct()
     )
-    return _with_sketches(pairs, classes, percent)
 
 
 def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
@@ -291,7 +370,7 @@ def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
     return told.join(mixed.select("key"), "key")
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, depth: int, percent: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
     """Pairs of sets of different components of a region, where a link is possible.
 
     Sets meet in bands of size as well: linked sizes lie in the same band or in the next, so the smaller set goes to
@@ -301,13 +380,12 @@ def _cross_pairs(members: DataFrame, classes: DataFrame, depth: int, percent: in
     left = members.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("ix"), F.col("component").alias("cx"), F.explode(F.array(band, band + 1)).alias("band"))
     right = members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("iy"), F.col("component").alias("cy"), band.alias("band"))
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    met = (
+    return (
         left.join(right, ["key", "band"])
         .where((F.col("cx") != F.col("cy")) & smaller & _may_link(F.col("nx"), F.col("ix"), F.col("ny"), F.col("iy"), F.lit(depth - 1), percent))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    return _with_sketches(met, classes, percent)
 
 
 def _cut_again(members: DataFrame, classes: DataFrame, depth: int, percent: int) -> DataFrame:
@@ -333,21 +411,23 @@ def _cut_again(members: DataFrame, classes: DataFrame, depth: int, percent: int)
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """``u, v`` of the candidate pairs ``a, b`` that are linked, by their full sets; written.
 
-    Only documents of candidate pairs are read again and turned into sets.
+    Only documents of candidate pairs are turned into sets again: a bounded filter of their rows travels to the scan, so texts
+    do not move.
     """
     pairs = written(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.join(nodes, "node").select(F.col("best.doc_id").alias("doc_id")).distinct()
+    wanted = blocked_filter(classes.join(nodes, "node").select(F.xxhash64("best.doc_id", "best.tag").alias("row")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, hashes, bounds in shingle_sets(batch.column(0), size):
+            texts = batch.column(1).filter(pa.array(may_hold(wanted, batch.column(0).to_numpy())))
+            for _, _, hashes, bounds in shingle_sets(texts, size):
                 full = np.diff(bounds) > 0
                 sums = np.add.reduceat(words.mix64(hashes.astype(np.uint64)), bounds[:-1][full]) if full.any() else bounds[:0]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(bounds[:-1][full], bounds[-1]).astype(np.int32)), pa.array(hashes))
                 yield pa.RecordBatch.from_arrays([pa.array(sums.astype(np.uint64).view(np.int64)), lists], names=["node", "set"])
 
-    texts = docs.join(wanted, F.equal_null(docs["doc_id"], wanted["doc_id"])).select("text")
+    texts = docs.select(F.xxhash64("doc_id", _tag()).alias("row"), "text")
     held = written(texts.mapInArrow(sets, "node long, set array<long>").join(nodes, "node", "left_semi"), "full")
     # A class may have been read more than once, by rows that repeat its set and id.
     held = held.groupBy("node").agg(F.first("set").alias("set"))
