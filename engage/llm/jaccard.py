@@ -32,7 +32,7 @@ from engage.llm.components import components
 SHINGLE = 3
 PERCENT = 90
 HASH_BITS = 52  # of a shingle; the rest of a 64-bit word numbers the texts of a chunk
-SKETCH = 8  # 64-bit words of the parity sketch
+SKETCH = 512  # bits of the parity sketch, at least; doubled until there is one for every two shingles
 FREQUENT = 1 << 16  # most frequent shingles, which come last in the order; bounds the list that travels to all tasks
 OFTEN = 5000  # a shingle is frequent if more than one in so many documents has it
 SEEN = 4  # documents of one batch that must have a shingle for it to be counted
@@ -125,9 +125,11 @@ def described(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                     if full.any():
                         sums[k, full] = np.add.reduceat(h, bounds[:-1][full])
                 # Parity of the number of shingles that fall on each bit.
-                bits = SKETCH * 64
-                odd = np.bincount(row * bits + (twice % np.uint64(bits)).astype(np.int64), minlength=bits * (last - first)) & 1
-                packed = np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1, bitorder="little").view("<i8")
+                bits = SKETCH << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / (2 * SKETCH)))).astype(np.int64)
+                base = np.concatenate([[0], np.cumsum(bits)])
+                at = base[row] + (twice & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+                odd = (np.bincount(at, minlength=int(base[-1])) & 1).astype(np.uint8)
+                packed = np.packbits(odd, bitorder="little").view("<i8")
                 late = np.zeros(len(hashes), dtype=np.int64)
                 if len(frequent) and len(hashes):
                     at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
@@ -138,7 +140,7 @@ def described(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                 reach = np.minimum(n, n - (percent * n + 99) // 100 + DEPTH)
                 front = place < np.repeat(reach, n)
                 ends = np.concatenate([[0], np.cumsum(reach)]).astype(np.int32)
-                width = np.arange(0, (last - first + 1) * SKETCH, SKETCH, dtype=np.int32)
+                width = (base >> 6).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
@@ -146,7 +148,7 @@ def described(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                         pa.array(n.astype(np.int64)),
                         pa.array(sums[0].view(np.int64)),
                         pa.array(sums[1].view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(width), pa.array(packed.reshape(-1))),
+                        pa.ListArray.from_arrays(pa.array(width), pa.array(packed)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(key[front])),
                     ],
                     names=["doc_id", "tag", "n", "s1", "s2", "sketch", "prefix"],
@@ -168,9 +170,12 @@ def _may_link(n: Column, i: Column, m: Column, j: Column, before: Column, percen
 
 
 def _near_sketches(a: Column, b: Column, n: Column, m: Column, percent: int) -> Column:
-    distance = F.aggregate(
-        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, c: t + c
-    )
+    """Whether the parity sketches allow a link. The larger is folded to the size of the smaller: linked sets have sketches of the
+    same size or of the next."""
+    xor = lambda x, y: x.bitwiseXOR(y)
+    half = lambda s, size: F.zip_with(F.slice(s, F.lit(1), size), F.slice(s, size + 1, size), xor)
+    fold = lambda s, t: F.when(F.size(s) > F.size(t), half(s, F.size(t))).otherwise(s)
+    distance = F.aggregate(F.zip_with(fold(a, b), fold(b, a), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda t, c: t + c)
     return distance <= n + m - 2 * least_common(n, m, percent)
 
 
@@ -342,6 +347,7 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
+        .where(F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100)
         .where(_near_sketches(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), percent))
         .select("a", "b")
     )
