@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from engage.llm.common import written
 
 LINKS = "u long, v long"
+TASK = 1_000_000  # links that a task holds at once (16 MB)
 
 
 def roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -33,26 +34,38 @@ def roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A star for each component of the links of one batch: no more links than nodes."""
+    """A star for each component of the links of a partition, ``TASK`` links at a time: no more links than nodes."""
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        u, v = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(2))
+        nodes, root = roots(u, v)
+        own = nodes != root
+        return pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(root[own])], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        if batch.num_rows:
-            nodes, root = roots(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            own = nodes != root
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(root[own])], names=["u", "v"])
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= TASK:
+            yield stars(held)
+            held = []
+    if sum(b.num_rows for b in held):
+        yield stars(held)
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node, component`` for every node of ``links(u, v)``; ``component`` is the smallest node reachable.
 
     Links in any direction, repeated ones and loops are allowed, rows with a null are ignored; a node that has only loops does
-    not appear. Batches of links are first contracted to stars where they lie. Then the star rules are applied in
-    turn until nothing changes: the neighbours above a node are hung on its smallest neighbour, then those below it. All rounds
+    not appear. Links are first contracted to stars where they lie. Stars that fit into one task are contracted there once more,
+    which settles them. Else the star rules are applied in turn until nothing changes: the neighbours above a node are hung on its smallest neighbour, then those below it. All rounds
     are joins and aggregations, each written to the shared folder; a node with very many links is combined before the shuffle
     and its join can be split.
     """
     stars = links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
     stars = stars.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").mapInArrow(_contract, LINKS)
-    edges, last = written(stars.distinct(), "stars"), None
+    edges, last = written(stars, "stars"), None
+    if edges.count() <= TASK:
+        return _listed(written(edges.coalesce(1).mapInArrow(_contract, LINKS), "stars"))
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -68,6 +81,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         last = now
     else:
         raise RuntimeError(f"links not settled after {most_rounds} rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        edges.select("v", "v").distinct()
-    )
+    return _listed(edges)
+
+
+def _listed(stars: DataFrame) -> DataFrame:
+    """Each leaf of a star with its centre, and each centre with itself."""
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v").distinct())

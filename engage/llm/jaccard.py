@@ -179,6 +179,12 @@ def _near_sketches(a: Column, b: Column, n: Column, m: Column, percent: int) ->
     return distance <= n + m - 2 * least_common(n, m, percent)
 
 
+def _near_small(a: tuple[str, str], b: tuple[str, str], n: Column, m: Column, percent: int) -> Column:
+    """The same for sketches folded to two words."""
+    first, second = (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(a, b))
+    return first + second <= n + m - 2 * least_common(n, m, percent)
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -336,9 +342,9 @@ def _small_pairs(members: DataFrame, stars: bool, percent: int) -> DataFrame:
 
 def _with_pivots(members: DataFrame) -> DataFrame:
     """Members of regions with the region's two document pivots."""
-    pick = F.struct("node", "n", "place")
+    pick = F.struct("node", "n", "place", "m0", "m1")
     pivots = members.groupBy("key").agg(F.min(pick).alias("one"), F.min_by(pick, F.xxhash64("node", "key")).alias("two"))
-    return members.select("key", "node", "n", "place", "sets").join(pivots, "key")
+    return members.select("key", "node", "n", "place", "m0", "m1", "sets").join(pivots, "key")
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -357,9 +363,10 @@ def _star_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
     """Each set with the two pivots of each of its regions, where sizes and places allow a link."""
     pivot = F.explode(F.array("one", "two"))
     return (
-        members.select("node", "n", "place", pivot.alias("p"))
+        members.select("node", "n", "place", "m0", "m1", pivot.alias("p"))
         .where(
             (F.col("node") != F.col("p.node"))
+            & _near_small(("m0", "m1"), ("p.m0", "p.m1"), F.col("n"), F.col("p.n"), percent)
             & _may_link(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"), F.lit(depth - 1), percent)
         )
         .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
@@ -370,7 +377,7 @@ def _star_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
 def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
     """Members, with their component, of regions that hold more than one component."""
     told = members.join(reached, "node", "left").select(
-        "key", "node", "n", "place", "sets", F.coalesce("component", "node").alias("component")
+        "key", "node", "n", "place", "m0", "m1", "sets", F.coalesce("component", "node").alias("component")
     )
     mixed = told.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     return told.join(mixed.select("key"), "key")
@@ -383,11 +390,12 @@ def _cross_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
     its own band and to the one above.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9)
-    left = members.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("ix"), F.col("component").alias("cx"), F.explode(F.array(band, band + 1)).alias("band"))
-    right = members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("iy"), F.col("component").alias("cy"), band.alias("band"))
+    left = members.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("ix"), F.col("component").alias("cx"), F.col("m0").alias("x0"), F.col("m1").alias("x1"), F.explode(F.array(band, band + 1)).alias("band"))
+    right = members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("iy"), F.col("component").alias("cy"), F.col("m0").alias("y0"), F.col("m1").alias("y1"), band.alias("band"))
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     return (
         left.join(right, ["key", "band"])
+        .where(_near_small(("x0", "x1"), ("y0", "y1"), F.col("nx"), F.col("ny"), percent))
         .where((F.col("cx") != F.col("cy")) & smaller & _may_link(F.col("nx"), F.col("ix"), F.col("ny"), F.col("iy"), F.lit(depth - 1), percent))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
@@ -404,13 +412,13 @@ def _cut_again(members: DataFrame, classes: DataFrame, depth: int, percent: int)
     window = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 + depth
     more = (
         members.where(enough)
-        .select("key", "node", "n", "place")
+        .select("key", "node", "n", "place", "m0", "m1")
         .join(classes.select("node", "prefix"), "node")
-        .select("key", "node", "n", F.col("place").alias("last"), F.posexplode("prefix").alias("place", "next"))
+        .select("key", "node", "n", "m0", "m1", F.col("place").alias("last"), F.posexplode("prefix").alias("place", "next"))
         .where((F.col("place") > F.col("last")) & (F.col("place") < window))
-        .select(F.xxhash64("key", "next").alias("key"), "node", "n", "place")
+        .select(F.xxhash64("key", "next").alias("key"), "node", "n", "place", "m0", "m1")
     )
-    few = members.where(~enough).select(F.xxhash64("key", F.lit("few")).alias("key"), "node", "n", "place")
+    few = members.where(~enough).select(F.xxhash64("key", F.lit("few")).alias("key"), "node", "n", "place", "m0", "m1")
     return more.unionByName(few)
 
 
