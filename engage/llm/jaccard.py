@@ -81,10 +81,16 @@ def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
         held: list[np.ndarray] = []
 
         def counted() -> pa.RecordBatch:
-            values, n = np.unique(np.concatenate(held), return_counts=True)
+            # Sorted in place, so that no more than one copy is held: only runs of at least SEEN equal values count.
+            found = np.concatenate(held)
             held.clear()
-            often = n >= SEEN
-            return pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(n[often])], names=["shingle", "n"])
+            found.sort()
+            fresh = np.concatenate([[True], found[1:] != found[:-1]])[: len(found)]
+            starts = np.flatnonzero(fresh[: max(0, len(found) - SEEN + 1)])
+            start = starts[found[starts] == found[starts + SEEN - 1]]
+            values = found[start]
+            n = np.searchsorted(found, values, side="right") - start
+            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["shingle", "n"])
 
         for batch in batches:
             for _, _, hashes, _ in shingle_sets(batch.column(0), size):
@@ -446,18 +452,9 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, pe
     # A class may have been read more than once, by rows that repeat its set and id.
     held = held.groupBy("node").agg(F.first("set").alias("set"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(
-                pa.array(keep, type=pa.bool_())
-            )
-
     both = pairs.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
         held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
     )
-    return written(both.select("a", "b", "x", "y").mapInArrow(compare, "u long, v long"), "links")
+    common = F.size(F.array_intersect("x", "y"))
+    linked = 100 * common >= percent * (F.size("x") + F.size("y") - common)
+    return written(both.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
