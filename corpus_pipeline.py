@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engage.llm import jaccard, langid, mixing, packing, pseudonyms
-from engage.llm.common import table, written
+from engage.llm.common import small_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.2  # of the language; with four languages in two families, a text that fits none has about 0.25
@@ -18,6 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Set ``lang`` to the predicted language; drop texts without a letter and those that fit no language."""
+    small_batches(spark)
     told = langid.identify(docs, docs)
     fits = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)
     return told.where(fits).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -25,6 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of linked ones."""
+    small_batches(spark)
     return jaccard.one_of_each_group(docs).select(*COLUMNS)
 
 
@@ -41,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

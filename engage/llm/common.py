@@ -14,7 +14,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts of a few KB each are then a few MB on either side
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the memory of Arrow batches of texts in the session; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
 
 
 def ascii_lower(text: Column) -> Column:
