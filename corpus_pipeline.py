@@ -11,6 +11,7 @@ from engage.llm import jaccard, langid, mixing, packing, pseudonyms
 from engage.llm.common import small_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHINGLE, PERCENT = 5, 80  # of near duplicates: words of a run, and the least share of common runs
 LEAST_SCORE = 0.2  # of the language; with four languages in two families, a text that fits none has about 0.25
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +26,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of linked ones."""
+    """Keep the document with the smallest id of each group of linked ones: those that share 0.8 or more of their five-word runs."""
     small_batches(spark)
-    return jaccard.one_of_each_group(docs).select(*COLUMNS)
+    return jaccard.one_of_each_group(docs, size=SHINGLE, percent=PERCENT).select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -388,6 +388,46 @@ def test_mix_of_one_hot_source(spark):
 
 
 # --- pipeline ---
+def sets_of_five(text):
+    w = text.encode().lower().split()
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def kept_by_force(rows):
+    """The smallest id of each group of texts linked at five words and 0.8."""
+    ids, sets = sorted(i for i, _ in rows), {i: sets_of_five(t) for i, t in rows}
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in ids:
+        for y in ids:
+            if x < y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                a, b = sorted((find(x), find(y)))
+                root[b] = a
+    return {find(i) for i in ids}
+
+
+@pytest.mark.parametrize("seed, small, region", [(21, 64, 2000), (22, 2, 2000), (23, 2, 4)])
+def test_pipeline_drops_near_copies_of_five_words(spark, monkeypatch, seed, small, region):
+    import corpus_pipeline
+
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "REGION", region)
+    rows, r = made(seed, 200), random.Random(seed)
+    # Copies with one word replaced in every 50: 0.8 or more of five words, less than 0.9 of three.
+    for k in range(20):
+        t = r.choices(WORDS, k=500)
+        rows += [(2000 + 2 * k, " ".join(t)), (2001 + 2 * k, " ".join("new" if j % 50 == 25 else w for j, w in enumerate(t)))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {row.doc_id for row in corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "").collect()}
+    assert kept == kept_by_force(rows)
+    assert not kept & {2001 + 2 * k for k in range(20)}
+
+
 def test_pipeline(spark, data_dir, documents):
     import corpus_pipeline
 
