@@ -82,11 +82,15 @@ class FMIndex:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
 
     def earliest(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """For the run of ``length`` symbols at each place: the first place in the whole text where the same run starts.
+        """For the run of ``length`` symbols at each place: the first place in the whole text where the same run starts."""
+        return self.least(starts, length, np.arange(len(self.text)))
+
+    def least(self, starts: np.ndarray, length: int, values: np.ndarray) -> np.ndarray:
+        """The same, with the least of ``values`` (one for each place of the text) over the places where the run starts.
 
         Backward search of all runs together; a run whose interval has shrunk to one suffix occurs nowhere else and is done.
         """
-        result = starts.copy()
+        result = values[starts]
         rows = np.arange(len(starts))
         c = self.text[starts + length - 1]
         low, high = self.first[c], self.first[c + 1]
@@ -101,13 +105,13 @@ class FMIndex:
         several = high - low > 1
         rows, low, high = rows[several], low[several], high[several]
         if len(rows):
-            result[rows] = self._least(low, high)
+            result[rows] = self._least(low, high, values)
         return result
 
-    def _least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Smallest text place among the suffixes of each interval, by tables of minima over powers of two."""
+    def _least(self, low: np.ndarray, high: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Smallest value among the suffixes of each interval, by tables of minima over powers of two."""
         answer = np.empty(len(low), dtype=np.int64)
-        table, span = self.order.astype(np.int32), 1
+        table, span = values[self.order].astype(np.int32), 1
         level = np.frexp((high - low).astype(np.float64))[1] - 1
         for k in range(int(level.max()) + 1):
             own = np.flatnonzero(level == k)

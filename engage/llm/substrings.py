@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +104,9 @@ def _extract(window: int, shards: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Repeated rows come one after another from the join; one of them is enough.
+            same = pc.and_(pc.equal(batch.column(0)[1:], batch.column(0)[:-1]), pc.equal(batch.column(1)[1:], batch.column(1)[:-1]))
+            batch = batch.filter(pa.array(np.append(True, ~same.to_numpy(zero_copy_only=False))[: len(batch)]))
             doc, wanted = batch.column(0).to_numpy(), batch.column(2)
             offsets = wanted.offsets.to_numpy()
             fields = wanted.flatten()
@@ -146,15 +150,22 @@ _EXTRACTED = "shard long, doc long, pos long, segment long, step long, hot boole
 
 
 def _search_shard(window: int):
-    """Index the segments of one shard and report, for each, which of its windows start earlier (bits of ``mask``)."""
+    """Index the segments of one shard and report, for each, which of its windows start earlier (bits of ``mask``).
+
+    A segment that was read from several equal rows is taken once. Places are compared by document and start, so rows that
+    share an id count as one document.
+    """
 
     def search(table: pa.Table) -> pa.Table:
         doc, pos = table.column("doc").to_numpy(), table.column("pos").to_numpy()
-        order = np.lexsort((pos >> (_TAG + 5), doc))
+        order = np.lexsort((table.column("segment").to_numpy(), pos, doc))
+        again = np.stack([doc[order], pos[order], table.column("segment").to_numpy()[order]])
+        order = order[np.append(True, (again[:, 1:] != again[:, :-1]).any(axis=0))]
         lists = table.column("words").combine_chunks()
         offsets, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
         offsets = offsets - offsets[0]
         size = np.diff(offsets)[order]
+        doc, first = doc[order], pos[order] >> (_TAG + 5)
         # Each segment in order, closed by an end mark.
         ends = np.cumsum(size + 1)
         begin = ends - size - 1
@@ -162,13 +173,21 @@ def _search_shard(window: int):
         text = np.zeros(int(ends[-1]), dtype=np.int64)
         inner = np.ones(len(text), dtype=bool)
         inner[ends - 1] = False
-        source = np.repeat(offsets[:-1][order] - (np.cumsum(size) - size), size) + np.arange(len(flat))
+        source = np.repeat(offsets[:-1][order] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         text[inner] = ids[source] + 1
         index = FMIndex(text, int(ids.max()) + 2, int(size.max()) + 1)
         windows = size - window + 1
         starts = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
-        repeated = index.earliest(starts, window) < starts
         bit = np.arange(len(starts)) - np.repeat(np.cumsum(windows) - windows, windows)
+        # Windows in the order of document and start, equal where both are.
+        owner = np.repeat(np.arange(len(size)), windows)
+        place = np.stack([doc[owner], first[owner] + bit])
+        ranked = np.lexsort(place[::-1])
+        rank = np.empty(len(ranked), dtype=np.int64)
+        rank[ranked] = np.append(0, np.cumsum((place[:, ranked[1:]] != place[:, ranked[:-1]]).any(axis=0)))
+        ranks = np.full(len(text), len(text), dtype=np.int64)
+        ranks[starts] = rank
+        repeated = index.least(starts, window, ranks) < rank
         mask = np.add.reduceat(np.where(repeated, 1 << bit, 0), np.cumsum(windows) - windows)
         found = np.flatnonzero(mask)
         return pa.table({"segment": table.column("segment").to_numpy()[order][found], "mask": mask[found]})

@@ -128,6 +128,41 @@ def test_repeats_are_removed(spark, seed, hot, shard):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got.collect()} == cut_by_force(rows)
 
 
+def cut_rows_by_force(rows, window=20):
+    """As above for rows that may repeat an id: places are (id, start), null before all others."""
+    first, out = {}, []
+    texts = [(-1 if i is None else i, (t or "").encode().split()) for i, t in rows]
+    for i, t in texts:
+        for k in range(len(t) - window + 1):
+            w = tuple(t[k : k + window])
+            first[w] = min(first.get(w, (i, k)), (i, k))
+    for (i, _), (_, t) in zip(rows, texts):
+        own = -1 if i is None else i
+        gone = {j for k in range(len(t) - window + 1) if first[tuple(t[k : k + window])] != (own, k) for j in range(k, k + window)}
+        out.append((-1 if i is None else i, len(t), len(gone), b" ".join(w for k, w in enumerate(t) if k not in gone).decode()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, hot", [(31, 20_000), (32, 20_000), (33, 1)])
+def test_rows_of_one_id_lose_nothing_to_each_other(spark, seed, hot):
+    r = random.Random(seed)
+    common_ = r.choices(WORDS, k=30)
+    rows = []
+    for i in range(40):
+        t = r.choices(WORDS, k=60)
+        for _ in range(3):  # runs that occur in other texts too, so that segments with one anchor differ
+            k = r.randrange(50)
+            t[k : k + 9] = common_[(at := r.randrange(20)) : at + 9]
+        rows += [(i if i % 5 else None, " ".join(t))] * r.choice([1, 2, 3])
+        if i % 4 == 0:  # the same id with another text, in which the same words begin at the same place or a little before
+            u = list(t)
+            u[0] = "other"
+            rows.append((i if i % 5 else None, " ".join(u)))
+            rows.append((i if i % 5 else None, " ".join(u[2:])))
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), hot=hot)
+    assert sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.n_removed, x.kept) for x in got.collect()) == cut_rows_by_force(rows)
+
+
 def test_repeats_of_one_word(spark):
     rows = [(1, "a " * 100), (2, "a " * 19), (3, "b " * 10 + "a " * 30)]
     got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
