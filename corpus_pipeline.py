@@ -12,17 +12,15 @@ from engage.llm.common import small_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE, PERCENT = 5, 80  # of near duplicates: words of a run, and the least share of common runs
-LEAST_SCORE = 0.2  # of the language; with four languages in two families, a text that fits none has about 0.25
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Set ``lang`` to the predicted language; drop texts without a letter and those that fit no language."""
+    """Set ``lang`` to the predicted language; drop texts without a letter and those that do not fit it."""
     small_batches(spark)
     told = langid.identify(docs, docs)
-    fits = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)
-    return told.where(fits).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    return told.where("lang_fits").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -463,6 +463,27 @@ def test_pipeline_drops_near_copies_of_five_words(spark, monkeypatch, seed, smal
     assert not kept & {2001 + 2 * k for k in range(20)}
 
 
+UNLEARNED = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства",
+    "qzx wvk jqp xzzv kkqj vwx zqjx pxk wqz jjx kvz qxw zzk pqx jvw xkq zwv qjk",
+]
+
+
+def test_pipeline_drops_texts_of_unlearned_languages(spark):
+    import corpus_pipeline
+
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents").select(*corpus_pipeline.COLUMNS)
+    other = spark.createDataFrame([(-1 - k, t, None, "a", len(t)) for k, t in enumerate(UNLEARNED)], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.union(other), "").select("doc_id", "lang").toPandas().set_index("doc_id").lang
+    assert not [i for i in kept.index if i < 0]
+    labels = docs.select("doc_id", "lang").toPandas().set_index("doc_id").lang
+    stay = labels.index.isin(kept.index)
+    assert stay.mean() > 0.99
+    assert all(stay[labels == lang].mean() > 0.97 for lang in labels.unique())
+
+
 def test_pipeline(spark, data_dir, documents):
     import corpus_pipeline
 
