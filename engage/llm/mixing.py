@@ -3,8 +3,8 @@
 Each source has a target number of words. As many whole passes over the source as fit are taken; what remains of the
 target is filled with a subset of its documents. The subset is chosen by length alone: from the histogram of exact
 lengths, every length first gives its proportional share, then long documents are added while they fit, and a
-bounded-knapsack dynamic program over the leftover documents of each length hits the last ``WINDOW`` words as closely as
-possible. The histogram, not the documents, reaches a task, so a source with a third of all rows costs no more than
+bounded-knapsack dynamic program over the leftover documents of each length hits the last ``WINDOW`` words, or twice the
+longest document if that is more, as closely as possible. The histogram, not the documents, reaches a task, so a source with a third of all rows costs no more than
 another. Which documents of a length are taken is decided by a seeded hash.
 """
 
@@ -22,7 +22,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_REPEATS = 2
 SEED = 20240229
-WINDOW = 1 << 14  # words left for the exact dynamic program
+WINDOW = 1 << 14  # words left for the exact dynamic program, at least
 BUCKETS = 64  # hash buckets in which the documents of one length are ranked
 
 
@@ -91,8 +91,10 @@ def fit(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW
     """Documents to take of each length (``lengths`` ascending and positive) for a sum close to ``budget``, not above.
 
     Proportional share first, so that all lengths are represented; then the longest that fit, down to the window; then
-    the exact dynamic program. Its cost is bounded by the window and the number of different lengths.
+    the exact dynamic program. The window holds the two longest documents at least, so that the choice among long ones is the
+    program's. Its cost is bounded by the window and the number of different lengths.
     """
+    window = max(window, 2 * max(lengths, default=0))
     whole = sum(n * c for n, c in zip(lengths, counts))
     if budget >= whole:
         return list(counts)

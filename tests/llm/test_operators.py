@@ -415,6 +415,11 @@ def test_fit_reaches_every_reachable_budget():
     assert sum(n * t for n, t in zip(lengths, taken)) == 1_234_567
 
 
+def test_fit_chooses_among_documents_longer_than_the_window():
+    assert mixing.fit([20_000, 30_000], [2, 1], 40_000) == [2, 0]
+    assert mixing.fit([20_000, 30_000, 70_000], [2, 1, 1], 90_000) == [1, 0, 1]
+
+
 def test_mix_of_one_hot_source(spark):
     rows = [(i, "w " * 10, "hot" if i % 3 else None) for i in range(3000)]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
