@@ -170,9 +170,10 @@ def near_vectors(
     )
     held = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("embedding")).where(usable(v))
     classes = held.groupBy(one.alias("h1"), two.alias("h2")).agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("embedding").cast("array<double>").alias("vector")
+        F.min("vec_id").alias("least"), F.count("*").alias("size"), F.first("embedding").cast("array<double>").alias("vector")
     )
-    classes = written(classes.where(F.col("rep").isNotNull()), "vectors")
+    # Vectors are told apart by themselves, not by their ids, which may be null or repeated and only name components.
+    classes = written(classes.withColumn("rep", F.col("h1")), "vectors")
     found = []
     for length, rows in sorted(tuple(r) for r in classes.groupBy(F.size("vector")).count().collect()):
         own = classes.where(F.size("vector") == length)
@@ -188,15 +189,20 @@ def near_vectors(
     links = written(links, "links")
     total = links.groupBy("rep").agg(F.sum("links").alias("links"))
     reached = components(links.where("rep <> root").select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    told = (
-        classes.select("h1", "h2", "rep", "size")
-        .join(total, "rep", "left")
+    joined = (
+        classes.select("h1", "h2", "rep", "least", "size")
         .join(reached.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("root", F.coalesce("component", "rep"))
+    )
+    names = joined.where("component IS NOT NULL").groupBy("root").agg(F.min("least").alias("name"))
+    told = (
+        joined.join(total, "rep", "left")
+        .join(names, "root", "left")
         .select(
             "h1",
             "h2",
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("name", "least").alias("component"),
         )
     )
     result = named.join(told, ["h1", "h2"], "left").select(

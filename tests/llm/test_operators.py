@@ -383,6 +383,15 @@ def test_vectors(spark, block):
     assert (out.kept == (out.component_id == out.index)).all()
 
 
+def test_vectors_without_an_id_or_with_a_shared_one(spark):
+    at = lambda degrees: [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+    # 0 and 30 degrees hang together by 15 degrees only, which has no id; 90 and 200 degrees share an id.
+    rows = [(1, at(0)), (None, at(15)), (2, at(30)), (5, at(90)), (5, at(200)), (6, at(95)), (None, at(300))]
+    out = forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted((-1 if r.vec_id is None else r.vec_id, r.n_links, -1 if r.component_id is None else r.component_id) for r in out.collect())
+    assert got == [(-1, 0, -1), (-1, 2, 1), (1, 1, 1), (2, 1, 1), (5, 0, 5), (5, 1, 5), (6, 1, 5)]
+
+
 # --- op10 ---
 def test_mix(spark, data_dir, documents):
     out = queries.op10_mixing(spark, data_dir).toPandas().set_index("doc_id").join(documents.source)
