@@ -34,10 +34,10 @@ _PHONE = (
     r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\w)"
 )
 _SOCIAL = r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"
-_CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
+_CARD = r"(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-])"  # or several numbers in a row, one of which may be a card's
 PATTERN = "|".join([_EMAIL, _SECRET, _ADDRESS, _DATE, _PHONE, _SOCIAL, _CARD])
 # Texts without any of these cannot hold a value.
-TRIGGER = r"[0-9@]|(?i:password|passwd|pwd|secret|token|api)"
+TRIGGER = r"[0-9@]|AKIA|ASIA|[a-f]{32}|(?i:password|passwd|pwd|secret|token|api)"
 CYCLE = 146097  # days of 400 years = 189 * 773
 
 
@@ -210,6 +210,23 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, v: a + v)
 
 
+def holds_no_card(value: Column) -> Column:
+    """Whether a found value is a run of numbers of which no 13 to 19 digits in whole groups have a Luhn sum that is valid."""
+    parts = F.split(value, "[ -]")
+    digits = lambda text: F.regexp_extract_all(text, F.lit("([0-9])"), F.lit(1))
+    valid = lambda text: F.length(text).between(13, 19) & (F.pmod(luhn_sum(digits(text)), F.lit(10)) == 0)
+
+    def any_valid(groups: Column) -> Column:
+        lengths = lambda i: F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1))
+        return F.exists(
+            F.sequence(F.lit(1), F.size(groups)),
+            lambda i: F.exists(lengths(i), lambda k: _bind(F.array_join(F.slice(groups, i, k), ""), valid)),
+        )
+
+    numbers = value.rlike(rf"\A(?:{_CARD})\z") & ~value.rlike(r"\A[0-9]{32,64}\z")  # the latter is a hexadecimal key
+    return F.when(numbers, ~_bind(parts, any_valid)).otherwise(F.lit(False))
+
+
 def _card(value: Column, key: str) -> Column:
     """All digits but the last are permuted; the last is set so that the Luhn remainder stays (0 for a valid number)."""
     body, check = F.substring(value, F.lit(1), F.length(value) - 1), F.substring(value, -1, 1)
@@ -247,7 +264,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     Values are e-mail and network addresses, telephone, card and social security numbers, calendar dates, and secrets
     (access keys, passwords, long hexadecimal keys). Whole texts are searched, however long. A null text stays null and counts
-    0, an empty one stays empty; repeated rows get equal results; other columns and null ids pass through. A column
+    0, an empty one stays empty; numbers of 13 or more digits stay unless 13 to 19 of them, in whole groups, pass the Luhn check; repeated rows get equal results; other columns and null ids pass through. A column
     ``n_replaced`` of ``docs`` is replaced. No shuffle: one pass of map-side functions; the Feistel rounds run for found
     values only.
     """
@@ -256,10 +273,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     marked = docs.withColumn("_found", found)
 
     def woven() -> Column:
-        new = F.transform(F.col("_found"), lambda v: pseudonym(v, key))
+        new = F.transform(F.col("_found"), lambda v: F.when(holds_no_card(v), v).otherwise(pseudonym(v, key)))
         return F.array_join(
             F.zip_with(F.split(text, PATTERN, -1), new, lambda piece, v: F.concat(piece, F.coalesce(v, F.lit("")))), ""
         )
 
-    n = F.coalesce(F.greatest(F.size("_found"), F.lit(0)), F.lit(0)).cast("long")
+    n = F.coalesce(F.greatest(F.size(F.filter("_found", lambda v: ~holds_no_card(v))), F.lit(0)), F.lit(0)).cast("long")
     return marked.withColumns({"text": F.when(F.size("_found") > 0, woven()).otherwise(text), "n_replaced": n}).drop("_found")
