@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, substrings, toxicity, urls
+from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, substrings, toxicity, transducer, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -107,6 +107,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    coded = transducer.round_trip(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_urls": op1_urls,
     "op2_substrings": op2_substrings,
@@ -118,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
+    "op13_bpe": op13_bpe,
 }
 ORACLE: dict[str, str] = {"op1_urls": OP1_SQL.strip()}
