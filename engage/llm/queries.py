@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import forest, jaccard, langid, mixing, packing, pseudonyms, sketches, substrings, toxicity, transducer, urls
+from engage.llm import alignment, forest, jaccard, langid, mixing, packing, pseudonyms, ranked, sketches, substrings, toxicity, transducer, urls
 from engage.llm.common import table
 
 # Fixed values of the URL list: host, path, action.
@@ -107,6 +107,38 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = f"unnest(regexp_extract_all(translate(text, {_LOWER}), '{ranked.TERM}'))"
+OP11_SQL = f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), occurrences AS (SELECT r, doc_id, {_TERMS} AS term FROM rows
+), sizes AS (SELECT r, doc_id, count(*) AS n FROM occurrences GROUP BY r, doc_id
+), whole AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} AS term FROM benchmark) GROUP BY item_id, term
+), counts AS (SELECT r, term, count(*) AS tf FROM occurrences WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, whole GROUP BY term
+), scores AS (
+  SELECT item_id, r, s.doc_id, CAST(sum(times * w *
+    ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * documents) // terms))))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN sizes s USING (r), whole GROUP BY item_id, r, s.doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, and how common the links are in the corpus."""
+    return alignment.linked(alignment.align(table(spark, sf_dir, "documents")))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     coded = transducer.round_trip(table(spark, sf_dir, "documents"))
@@ -126,6 +158,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
+    "op11_ranked": op11_ranked,
+    "op12_alignment": op12_alignment,
     "op13_bpe": op13_bpe,
 }
-ORACLE: dict[str, str] = {"op1_urls": OP1_SQL.strip()}
+ORACLE: dict[str, str] = {"op1_urls": OP1_SQL.strip(), "op11_ranked": OP11_SQL.strip()}
