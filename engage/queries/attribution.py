@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from engage.functions.params import param
 from engage.functions.times import zone_free
 from engage.operators import attribution as A
+from engage.operators import attribution_state as AS
 from engage.queries.inputs import AS_OF, GA_SQL, NAMES, USERS_SQL, ga_events, users
 
 
@@ -30,6 +31,14 @@ def param_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution from three slices of the events by day, combined out of order, the first one in two steps."""
+    events = flat(spark, sf_dir)
+    day = F.floor(F.col("event_timestamp") / F.lit(86_400_000_000))
+    slices = [AS.slice_state(events.where(F.pmod(day, F.lit(3)) == n)) for n in range(3)]
+    return AS.finish(AS.combine(slices[2], AS.combine(slices[1], slices[0])))
+
+
 def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = A.attribution_clean(flat_clean(spark, sf_dir)).select(
         F.col("user_id").cast("bigint").alias("user_id"), "first_touch_channel_group", "total_sessions", "days_active"
@@ -97,6 +106,17 @@ CLEAN_SQL = f"""
   ) pd ON ft.user_id = pd.user_id
   LEFT JOIN ({LATEST_SQL}) lv ON ft.user_id = lv.user_id"""
 
+FULL_SQL = f"""
+WITH {GA_SQL}
+SELECT ft.*, lc.* EXCLUDE (user_id), em.* EXCLUDE (user_id),
+  total_engagement_time_sec / nullif(total_sessions, 0) AS avg_session_duration_sec,
+  product_os_version, product_platform, lv.* EXCLUDE (user_id)
+FROM ({FIRST_SQL}) ft
+LEFT JOIN ({LAST_SQL}) lc ON ft.user_id = lc.user_id
+LEFT JOIN ({ENGAGEMENT_SQL}) em ON ft.user_id = em.user_id
+LEFT JOIN ({PRODUCT_SQL}) pd ON ft.user_id = pd.user_id
+LEFT JOIN ({LATEST_SQL}) lv ON ft.user_id = lv.user_id"""
+
 FLAT_COLUMNS_SQL = """user_id, event_id, event_timestamp, user_first_touch_timestamp, session_source, session_medium,
   session_campaign, channel_group, product_user_id, product_apps, product_apps_json, page_location, page_referrer,
   session_id, engagement_time_msec"""
@@ -132,19 +152,8 @@ FROM ga""",
     "latest_value": (lambda spark, sf: A.latest_values(flat(spark, sf)), f"WITH {GA_SQL} {LATEST_SQL}"),
     "engagement": (lambda spark, sf: zone_free(A.engagement(flat(spark, sf))), f"WITH {GA_SQL} {ENGAGEMENT_SQL}"),
     "product_details": (lambda spark, sf: A.product_details(flat(spark, sf)), f"WITH {GA_SQL} {PRODUCT_SQL}"),
-    "attribution_full": (
-        lambda spark, sf: zone_free(A.attribution_full(flat(spark, sf))),
-        f"""
-WITH {GA_SQL}
-SELECT ft.*, lc.* EXCLUDE (user_id), em.* EXCLUDE (user_id),
-  total_engagement_time_sec / nullif(total_sessions, 0) AS avg_session_duration_sec,
-  product_os_version, product_platform, lv.* EXCLUDE (user_id)
-FROM ({FIRST_SQL}) ft
-LEFT JOIN ({LAST_SQL}) lc ON ft.user_id = lc.user_id
-LEFT JOIN ({ENGAGEMENT_SQL}) em ON ft.user_id = em.user_id
-LEFT JOIN ({PRODUCT_SQL}) pd ON ft.user_id = pd.user_id
-LEFT JOIN ({LATEST_SQL}) lv ON ft.user_id = lv.user_id""",
-    ),
+    "attribution_full": (lambda spark, sf: zone_free(A.attribution_full(flat(spark, sf))), FULL_SQL),
+    "attribution_incremental": (lambda spark, sf: zone_free(incremental(spark, sf)), FULL_SQL),
     "attribution_clean": (
         lambda spark, sf: zone_free(A.attribution_clean(flat_clean(spark, sf))),
         f"WITH {GA_SQL} {CLEAN_SQL}",
