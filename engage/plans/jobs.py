@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from engage import schemas as S
 from engage.functions.times import millis_ts
 from engage.operators import attribution as A
+from engage.operators import attribution_state as AS
 from engage.operators import enrich as E
 from engage.operators.activity import activity_status
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.operators.latest import last_login, modified_since, newer_than, recent_logins, watermark
 from engage.operators.reports import unpack_report
-from engage.plans.steps import optional, required, stage, staged_source, staging, update, updated, upsert, upserted
+from engage.plans.steps import Table, optional, required, stage, staged_source, staging, update, updated, upsert, upserted
+from engage.sources.bucketed import BucketedTable, ddl_of
 from engage.sources.pages import audit_records, post_records, records, source_fallback, user_records
 from engage.sources.tables import SnapshotTable, append, evolve, replace_table_days
 
@@ -55,17 +57,17 @@ def with_activity(users: DataFrame, as_of: AsOf = None) -> DataFrame:
     return activity_status(evolve(users.drop(*S.names(S.USER_ACTIVITY)), S.USER_LOGIN), as_of)
 
 
-def sync_users(users: SnapshotTable, pages: DataFrame, modified_ms: str | None = None) -> int:
+def sync_users(users: Table, pages: DataFrame, modified_ms: str | None = None) -> int:
     users.create(S.ddl(S.USERS))
     return upsert(users, modified_users(users.read(), pages, modified_ms), "user_id")
 
 
-def update_logins(users: SnapshotTable, pages: DataFrame, as_of: AsOf = None) -> int:
+def update_logins(users: Table, pages: DataFrame, as_of: AsOf = None) -> int:
     return update(users, logins_of(pages, as_of), "user_id")
 
 
 def update_locations(
-    users: SnapshotTable,
+    users: Table,
     responses: DataFrame,
     order: list[str] = E.BULK_ORDER,
     limit: int | None = None,
@@ -73,10 +75,18 @@ def update_locations(
 ) -> int:
     """Locations of the addresses that lack one (``force``: of all addresses), copied to every user of the address."""
     with staging():
+        base = users.head() if isinstance(users, BucketedTable) else users.state()
         known = evolve(users.read(), [*S.USER_LOGIN, *S.USER_GEO])
         best, located = staged_source(new_locations(known, responses, order, limit, force), "locations")
-        if located:
-            users.replace(E.locate_users(known, best))
+        if not located:
+            return 0
+        if isinstance(users, BucketedTable):
+            # A scan of keys and addresses tells which buckets hold users of the addresses.
+            held = known.select(base.key, "last_login_ip").join(best.select(F.col("ip").alias("last_login_ip")), "last_login_ip", "left_semi")
+            fields = [*S.USER_LOGIN, *S.USER_GEO]
+            users.mutate_buckets(lambda rows: E.locate_users(evolve(rows, fields), best), users.touched(base, held.select(base.key)), base)
+        else:
+            users.replace(E.locate_users(known, best), base=base)
         return located
 
 
@@ -113,6 +123,7 @@ def _run_daily(
 ) -> dict:
     errors: dict[str, str] = {}
     users.create(S.ddl(S.USERS))
+    base = users.state()
     source, synced = staged_source(modified_users(users.read(), user_pages, modified_ms), "users")
     rows = upserted(users.read(), source, synced, "user_id")
 
@@ -137,16 +148,71 @@ def _run_daily(
         "ips_enriched": optional(locations, "locations", errors),
         "attribution_enriched": 0,
     }
-    users.replace(with_activity(rows, as_of))
+    users.replace(with_activity(rows, as_of), base=base)
     return {**result, "activity_status_updated": users.count(), "errors": errors}
 
 
+def run_daily_buckets(
+    users: BucketedTable,
+    user_pages: DataFrame,
+    audit_pages: DataFrame,
+    responses: DataFrame,
+    as_of: AsOf = None,
+    modified_ms: str | None = None,
+) -> dict:
+    """The daily sync of a table in buckets of the user: it costs what has changed.
+
+    Users, logins and locations are one commit each, which rewrites the buckets of the users they concern; only the user sync is fatal.
+    Activity labels change with the date for every user, so they are not stored: ``with_activity(users.read(), as_of)`` gives them.
+    """
+    errors: dict[str, str] = {}
+    synced = sync_users(users, user_pages, modified_ms)
+    return {
+        "success": True,
+        "users_synced": synced,
+        "locations_updated": optional(lambda: update_logins(users, audit_pages, as_of), "logins", errors),
+        "ips_enriched": optional(lambda: update_locations(users, responses, E.SYNC_ORDER), "locations", errors),
+        "attribution_enriched": 0,
+        "activity_status_updated": 0,
+        "errors": errors,
+    }
+
+
 # --- attribution ----------------------------------------------------------------------------------------------------
-def run_attribution(users: SnapshotTable, events: DataFrame, names: A.EventNames = A.EventNames()) -> int:
+def run_attribution(users: Table, events: DataFrame, names: A.EventNames = A.EventNames()) -> int:
     rollup = A.attribution_full(A.flatten_events(events, names))
     return update(users, A.with_product_names(rollup, names), "user_id")
 
 
+def run_attribution_increment(
+    users: Table, state: BucketedTable, events: DataFrame, shard: str = "dt", names: A.EventNames = A.EventNames()
+) -> int:
+    """Attribution of the users in event shards that the state has not taken in yet; returns how many they are.
+
+    The state's note names its newest shard, and only later shards are read: a shard must be complete when it is taken in. The users table
+    is updated from the new state before that is committed, so a job that dies between the two does the same again.
+    """
+    state.create(ddl_of(AS.slice_state(A.flatten_events(events, names))))
+    base = state.head()
+    fresh = events if base.note is None else events.where(F.col(shard).cast("string") > base.note)
+    newest = fresh.agg(F.max(F.col(shard).cast("string"))).first()[0]
+    if newest is None:
+        return 0
+    with staging():
+        part = stage(AS.slice_state(A.flatten_events(fresh, names)), "slice")
+        buckets = state.touched(base, part.select(AS.KEY))
+        written = state.write(base, AS.combine(state.read(base, buckets), part))
+        folders = [f"{state.path}/{folder}" for folder in written.values()]
+        enriched = 0
+        if folders:
+            rows = users.spark.read.schema(base.schema).parquet(*folders)
+            concerned = part.select(AS.KEY).distinct()
+            rollup = A.with_product_names(AS.finish(rows.join(concerned, AS.KEY, "left_semi")), names)
+            enriched = update(users, rollup, "user_id")
+        state.commit(base, written, buckets, None, note=newest)
+        return enriched
+
+
 @dataclass
 class CleanAttribution:
     users: int

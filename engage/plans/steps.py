@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import logging
+from contextvars import ContextVar
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,27 +12,33 @@ from pyspark.sql import functions as F
 
 from engage.operators.merge import merge, merge_update_only
 from engage.session import scratch_dir
+from engage.sources import files
+from engage.sources.bucketed import BucketedTable
 from engage.sources.tables import SnapshotTable, evolve
 
+Table = SnapshotTable | BucketedTable
+
 log = logging.getLogger("engage")
 
 
-_staged: list[list[tuple[SparkSession, str]]] = []
+# Of the running job: jobs in other threads of the driver have their own.
+_staged: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("staged", default=None)
 
 
 @contextlib.contextmanager
 def staging() -> Iterator[None]:
     """Delete the staged copies that were made inside, when it ends. Nested blocks belong to the outermost one."""
-    if _staged:
+    if _staged.get() is not None:
         yield
         return
-    _staged.append([])
+    made: list[tuple[SparkSession, str]] = []
+    outer = _staged.set(made)
     try:
         yield
     finally:
-        for spark, path in _staged.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        _staged.reset(outer)
+        for spark, path in made:
+            files.delete(spark, path)
 
 
 def stage(rows: DataFrame, name: str) -> DataFrame:
@@ -42,8 +49,9 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, name)
-    if _staged:
-        _staged[0].append((spark, path))
+    made = _staged.get()
+    if made is not None:
+        made.append((spark, path))
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -64,20 +72,27 @@ def updated(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     return merge_update_only(evolve(target, fields), staged, key, source_unique=True)
 
 
-def upsert(table: SnapshotTable, source: DataFrame, key: str) -> int:
-    """Stage and upsert; returns the number of source rows. An empty source leaves the table as it is."""
+def upsert(table: Table, source: DataFrame, key: str) -> int:
+    """Stage and upsert; returns the number of source rows. An empty source leaves the table as it is.
+
+    A table in buckets of the key has only the buckets of the source's keys rewritten.
+    """
     with staging():
         staged, rows = staged_source(source, "upsert")
-        if rows:
+        if rows and isinstance(table, BucketedTable) and table.key == key:
+            table.merge(staged)
+        elif rows:
             table.mutate(lambda target: upserted(target, staged, rows, key))
         return rows
 
 
-def update(table: SnapshotTable, source: DataFrame, key: str) -> int:
+def update(table: Table, source: DataFrame, key: str) -> int:
     """Stage and apply an update-only merge; returns the number of source rows."""
     with staging():
         staged, rows = staged_source(source, "update")
-        if rows:
+        if rows and isinstance(table, BucketedTable):
+            table.merge_update_only(staged, key, source_unique=True)
+        elif rows:
             table.mutate(lambda target: updated(target, staged, key))
         return rows
 

@@ -83,8 +83,7 @@ class BucketedTable:
 
     def create(self, schema: str) -> bool:
         """Create the empty table unless it is there; true when this call made it."""
-        columns = self.spark.createDataFrame([], schema).schema
-        first = Version(0, _ddl(columns), self.key, self.buckets)
+        first = Version(0, ddl_of(self.spark.createDataFrame([], schema)), self.key, self.buckets)
         return not self.exists() and files.write_new(self.spark, self._record(0), first.text())
 
     def note(self) -> str | None:
@@ -157,7 +156,7 @@ class BucketedTable:
     def replace(self, rows: DataFrame, base: Version, note: str | None = None) -> Version:
         """All rows anew, made from ``base``; its columns become the table's. Refused if anything has changed since."""
         every = set(base.folders)
-        return self.commit(base, self.write(base, rows), every, None, _ddl(rows.schema), note)
+        return self.commit(base, self.write(base, rows), every, None, ddl_of(rows), note)
 
     def reload(self, rows: DataFrame) -> Version:
         base = self.head()
@@ -174,7 +173,7 @@ class BucketedTable:
         """Change rows of some buckets only. ``change`` sees all rows of these and gives all their rows, under the same keys."""
         buckets = set(buckets)
         rows = change(self.read(base, buckets))
-        schema = _ddl(rows.schema)
+        schema = ddl_of(rows)
         return self.commit(base, self.write(base, rows), buckets, buckets, None if schema == base.schema else schema, note)
 
     def flush(self) -> Version:
@@ -244,5 +243,5 @@ class BucketedTable:
         return filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in known])
 
 
-def _ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def ddl_of(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

@@ -53,25 +53,36 @@ class SnapshotTable:
 
     def current(self) -> str | None:
         """The snapshot the view shows; the view's comment names it."""
+        state = self.state()
+        return state and state.split(" ")[0]
+
+    def state(self) -> str | None:
+        """The view's comment: the snapshot it shows and, after an append to it, a mark. It changes with every change of the rows."""
         return self.spark.catalog.getTable(self.name).description if self.exists() else None
 
-    def replace(self, rows: DataFrame, note: str | None = None) -> str:
+    def _show(self, snapshot: str, mark: str = "") -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{snapshot}{mark}' AS SELECT * FROM {snapshot}")
+
+    def replace(self, rows: DataFrame, note: str | None = None, base: str | None = None) -> str:
         """Write the next snapshot, point the view at it, and drop all but it and the one shown before.
 
         An attempt that dies before the view moves leaves only an unused snapshot, which the next one drops; the random
-        suffix keeps its files out of the way. Where another writer has moved the view meanwhile, this one fails and changes
-        nothing: its rows were made from a state that is gone. ``note`` is kept with the snapshot.
+        suffix keeps its files out of the way. ``base`` is the ``state`` the rows were made from (by default that of now): where
+        another writer has moved the view or appended since, this one fails and changes nothing. The check and the move of the view
+        are two steps of the catalog: writers that meet in that moment are not told apart; ``BucketedTable`` commits in one.
+        ``note`` is kept with the snapshot.
         """
-        shown, known = self.current(), self.versions()
+        shown, known = self.current() if base is None else base.split(" ")[0], self.versions()
+        state = self.state() if base is None else base
         number = self._number(known[-1]) + 1 if known else 0
         snapshot = f"{self.name}__v{number}_{uuid.uuid4().hex[:8]}"
         rows.write.format("parquet").saveAsTable(snapshot)
         if note is not None:
             self.spark.sql(f"ALTER TABLE {snapshot} SET TBLPROPERTIES ('note' = '{note}')")
-        if self.current() != shown:
+        if self.current() != shown or self.state() != state:
             self.spark.sql(f"DROP TABLE IF EXISTS {snapshot}")
             raise RuntimeError(f"{self.name} was changed by another writer; run again")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{snapshot}' AS SELECT * FROM {snapshot}")
+        self._show(snapshot)
         for old in known:
             if old != shown:
                 self.spark.sql(f"DROP TABLE IF EXISTS {old}")
@@ -81,11 +92,16 @@ class SnapshotTable:
         """Add rows to the current snapshot without rewriting it; columns are matched by name, absent ones are null."""
         known = self.read()
         filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
-        filled.select(*known.columns).write.insertInto(self.current())
+        current = self.current()
+        filled.select(*known.columns).write.insertInto(current)
+        if self.current() != current:
+            raise RuntimeError(f"{self.name} was changed by another writer; run again")
+        self._show(current, f" {uuid.uuid4().hex[:8]}")
         self.spark.catalog.refreshTable(self.name)
 
     def mutate(self, change: Callable[[DataFrame], DataFrame], note: str | None = None) -> str:
-        return self.replace(change(self.read()), note)
+        base = self.state()
+        return self.replace(change(self.read()), note, base)
 
     def note(self) -> str | None:
         """What the shown snapshot was written with."""
@@ -97,9 +113,9 @@ class SnapshotTable:
 
     def reload(self, rows: DataFrame) -> str:
         """All rows anew, columns matched by name and absent ones null; the old rows are shown until these are written."""
-        known = self.read()
+        base, known = self.state(), self.read()
         filled = evolve(rows, [(f.name, f.dataType.simpleString()) for f in known.schema.fields])
-        return self.replace(filled.select(*[F.col(f.name).cast(f.dataType) for f in known.schema.fields]))
+        return self.replace(filled.select(*[F.col(f.name).cast(f.dataType) for f in known.schema.fields]), base=base)
 
     def flush(self) -> str:
         """Delete every row, keep the columns."""

@@ -12,6 +12,7 @@ from engage.operators.reports import unpack_report
 from engage.plans import jobs
 from engage.plans.steps import required
 from engage.queries.inputs import NAMES, ga_events, post_metadata, posts
+from engage.sources.bucketed import BucketedTable
 from engage.sources.landed import read_ndjson
 from engage.sources.tables import SnapshotTable, append, merge_row_level, overwrite, replace_days
 from engage.streaming.incremental import landed_stream, merge_stream
@@ -422,3 +423,105 @@ def test_command_line(spark, new_table, tmp_path, data_dir, capsys):
     main(run)
     assert "users enriched: 15" in capsys.readouterr().out
     assert users.read().where("is_activated").count() == 2
+
+
+# --- tables in buckets, and writers at the same time -----------------------------------------------------------------
+def test_a_replacement_made_from_an_older_state_is_refused(spark, new_table):
+    table = new_table("snap_race")
+    row = lambda n: spark.createDataFrame([(n, "a")], "id int, v string")
+    table.replace(row(1))
+    state, computed = table.state(), table.read()
+    table.mutate(lambda old: old.unionByName(row(2)))  # another writer, after the read
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.replace(computed, base=state)
+    state = table.state()
+    table.append(row(3))
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.replace(row(9), base=state)
+    assert rows(table.read().select("id")) == [(1,), (2,), (3,)]
+    table.mutate(lambda old: old.where("id > 1"))
+    assert rows(table.read().select("id")) == [(2,), (3,)]
+
+
+def test_staged_copies_belong_to_their_own_job(spark):
+    import threading
+
+    from engage.plans.steps import stage, staging
+
+    started, ended = threading.Event(), threading.Event()
+    counts = []
+
+    def inner():
+        with staging():
+            rows = stage(spark.range(5).toDF("id"), "inner")
+            started.set()
+            ended.wait(60)
+            counts.append(rows.count())
+
+    worker = threading.Thread(target=inner)
+    with staging():
+        worker.start()
+        started.wait(60)
+    ended.set()  # the outer job has ended and deleted its own copies only
+    worker.join()
+    assert counts == [5]
+
+
+@pytest.fixture()
+def bucketed(spark, tmp_path):
+    return BucketedTable(spark, str(tmp_path / "users"), buckets=16)
+
+
+def test_daily_sync_in_buckets_costs_what_changed(spark, new_table, bucketed, tmp_path):
+    people = [user(f"u{i}", name=f"n{i}") for i in range(200)]
+    pages = landed(spark, tmp_path, "bu", S.USER_PAGE, {"page": 0, "total": 200, "users": people})
+    at = int(dt.datetime(2024, 2, 14, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    logins = [{"userId": f"u{i}", "action": "LoginFlowDone", "occurred": str(at - i), "remoteAddress": f"1.1.1.{i % 3}"} for i in range(7)]
+    audits = landed(spark, tmp_path, "ba", S.AUDIT_PAGE, {"page": 0, "audits": logins})
+    body = '{"success":true,"city":"C","country":"N","country_code":"K"}'
+    responses = spark.createDataFrame([(f"1.1.1.{i}", "ipwho.is", body) for i in range(2)], S.GEO_RESPONSE)
+    whole = new_table("users_plain")
+    want = jobs.run_daily(whole, pages, audits, responses, NOW)
+    got = jobs.run_daily_buckets(bucketed, pages, audits, responses, NOW)
+    assert {**got, "activity_status_updated": 200} == want and got["errors"] == {}
+    columns = whole.read().columns
+    assert rows(jobs.with_activity(bucketed.read(), NOW).select(*columns), "user_id") == rows(whole.read(), "user_id")
+
+    before = bucketed.head()
+    one = landed(spark, tmp_path, "bu2", S.USER_PAGE, {"page": 0, "total": 1, "users": [user("u5", name="renamed")]})
+    result = jobs.run_daily_buckets(bucketed, one, audits.where("false"), responses.where("false"), NOW)
+    assert (result["users_synced"], result["locations_updated"], result["ips_enriched"]) == (1, 0, 0)
+    after = bucketed.head()
+    assert len([b for b in after.folders if after.folders[b] != before.folders[b]]) == 1
+    feed = bucketed.changes(before, after).collect()
+    assert [(r.user_id, r._change, r.after.display_name, r.after.last_login_city) for r in feed] == [("u5", "update", "renamed", None)]
+
+
+def test_attribution_of_new_shards_equals_that_of_all(spark, new_table, bucketed, tmp_path, data_dir):
+    day = F.to_date(F.timestamp_micros("event_timestamp")).cast("string")
+    events = ga_events(spark, data_dir).withColumn("dt", day)
+    days = sorted(r[0] for r in events.select("dt").distinct().collect())
+    start = spark.range(0, 20).select(F.col("id").cast("string").alias("user_id"), F.lit(NOW).cast("timestamp").alias("created_time"))
+    whole, steps = new_table("users_at_once"), new_table("users_by_shard")
+    whole.replace(start)
+    steps.replace(start)
+    jobs.run_attribution(whole, events, NAMES)
+    for last in (days[0], days[len(days) // 2], days[-1], days[-1]):
+        enriched = jobs.run_attribution_increment(steps, bucketed, events.where(F.col("dt") <= last), names=NAMES)
+    assert enriched == 0 and bucketed.note() == days[-1]  # nothing new: no event is counted twice
+    columns = whole.read().columns
+    assert rows(steps.read().select(*columns), "user_id") == rows(whole.read(), "user_id")
+    assert len(bucketed.versions()) == 1 + 3
+
+
+def test_slices_of_events_combine_in_any_order(spark, data_dir):
+    from engage.operators import attribution as A
+    from engage.operators import attribution_state as AS
+
+    flat = A.flatten_events(ga_events(spark, data_dir), NAMES)
+    want = rows(A.attribution_full(flat), "user_id")
+    states = [AS.slice_state(flat.where(F.pmod("event_id", F.lit(4)) == k)) for k in range(4)]
+    one = AS.combine(AS.combine(states[3], states[1]), AS.combine(states[2], states[0]))
+    other = AS.combine(states[0], AS.combine(states[2], AS.combine(states[1], states[3])))
+    assert rows(AS.finish(one), "user_id") == rows(AS.finish(other), "user_id") == want
+    assert AS.finish(AS.slice_state(flat.where("false"))).count() == 0
