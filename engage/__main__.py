@@ -15,6 +15,7 @@ from engage.operators import enrich as E
 from engage.operators.attribution import EventNames
 from engage.plans import jobs
 from engage.session import build_session
+from engage.sources.bucketed import BUCKETS, BucketedTable
 from engage.sources.landed import read_event_shards, read_ndjson
 from engage.sources.tables import SnapshotTable, evolve
 
@@ -23,28 +24,37 @@ def _landed(spark: SparkSession, path: str | None, schema: str) -> DataFrame | N
     return None if path is None else read_ndjson(spark, path, schema)
 
 
+def _users(spark: SparkSession, args: argparse.Namespace) -> jobs.Table:
+    return BucketedTable(spark, args.users_path, "user_id", args.buckets) if args.users_path else SnapshotTable(spark, args.users)
+
+
 def sync(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = SnapshotTable(spark, args.users)
+    users = _users(spark, args)
     pages = _landed(spark, args.user_pages, S.USER_PAGE)
     audits = _landed(spark, args.audit_pages, S.AUDIT_PAGE)
     responses = _landed(spark, args.responses, S.GEO_RESPONSE)
-    print(jobs.run_daily(users, pages, audits, responses, args.as_of, args.modified_ms))
+    run = jobs.run_daily_buckets if args.users_path else jobs.run_daily
+    print(run(users, pages, audits, responses, args.as_of, args.modified_ms))
 
 
 def locations(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = SnapshotTable(spark, args.users)
+    users = _users(spark, args)
     responses = _landed(spark, args.responses, S.GEO_RESPONSE)
     print("addresses located:", jobs.update_locations(users, responses, force=args.force))
     E.coverage(users.read()).show()
 
 
 def attribution(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = SnapshotTable(spark, args.users)
+    users = _users(spark, args)
     if args.add_schema:
         users.mutate(lambda rows: evolve(rows, S.USER_CLEAN_ATTRIBUTION))
         return
     names = EventNames(args.event_name, args.user_key, args.product_prefix)
     events = read_event_shards(spark, args.events, args.start, args.end)
+    if args.state:
+        state = BucketedTable(spark, args.state, "user_id", args.buckets)
+        print("users enriched:", jobs.run_attribution_increment(users, state, events, names=names))
+        return
     if not args.clean:
         print("users enriched:", jobs.run_attribution(users, events, names))
         return
@@ -102,19 +112,25 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         return sub
 
+    def users_of(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--users", default="users")
+        sub.add_argument("--users-path", help="folder of a users table in buckets, of which a run rewrites only what changed")
+        sub.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a table that this run makes")
+
     sub = command(sync, "daily user sync")
-    sub.add_argument("--users", default="users")
+    users_of(sub)
     for name in ("--user-pages", "--audit-pages", "--responses"):
         sub.add_argument(name, required=True)
     sub.add_argument("--modified-ms", help="field of the user records: take only users modified since the newest in the table")
 
     sub = command(locations, "bulk location enrichment and its coverage")
-    sub.add_argument("--users", default="users")
+    users_of(sub)
     sub.add_argument("--responses", required=True)
     sub.add_argument("--force", action="store_true", help="locate all addresses again")
 
     sub = command(attribution, "marketing attribution and engagement")
-    sub.add_argument("--users", default="users")
+    users_of(sub)
+    sub.add_argument("--state", help="folder of the attribution state: only shards it has not taken in are read")
     sub.add_argument("--events", help="folder of dt=<date> event shards")
     sub.add_argument("--start", help="first shard date")
     sub.add_argument("--end", help="last shard date")

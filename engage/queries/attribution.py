@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,11 @@ from engage.functions.params import param
 from engage.functions.times import zone_free
 from engage.operators import attribution as A
 from engage.operators import attribution_state as AS
+from engage.plans.jobs import run_attribution_increment
 from engage.queries.inputs import AS_OF, GA_SQL, NAMES, USERS_SQL, ga_events, users
+from engage.session import scratch_dir
+from engage.sources.bucketed import BucketedTable, ddl_of
+from engage.sources.landed import read_event_shards
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +45,38 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AS.finish(AS.combine(slices[2], AS.combine(slices[1], slices[0])))
 
 
+def _sharded(spark: SparkSession, sf_dir: str) -> str:
+    """The events as landed shards, one folder for each date."""
+    path = scratch_dir(spark, "shards")
+    day = F.to_date(F.timestamp_micros("event_timestamp"))
+    ga_events(spark, sf_dir).withColumn("dt", day).write.partitionBy("dt").parquet(path)
+    return path
+
+
+def event_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a range of shards; the others are not opened."""
+    events = read_event_shards(spark, _sharded(spark, sf_dir), dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    return A.flatten_events(events, NAMES).select("event_id", "user_id", "event_timestamp", "session_id", "product_apps")
+
+
+def attribution_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users table after the attribution job has met the shards in two runs, the second of which reads the later ones only."""
+    path = _sharded(spark, sf_dir)
+    people = users(spark, sf_dir).select(F.col("user_id").cast("string").alias("user_id"), "display_name")
+    table, state = (BucketedTable(spark, scratch_dir(spark, name), buckets=16) for name in ("users", "state"))
+    table.create(ddl_of(people))
+    table.append(people)
+    run_attribution_increment(table, state, read_event_shards(spark, path, end=dt.date(2024, 1, 12)), names=NAMES)
+    run_attribution_increment(table, state, read_event_shards(spark, path), names=NAMES)
+    return zone_free(table.read().select("user_id", "display_name", *JOB_COLUMNS))
+
+
+JOB_COLUMNS = (
+    "first_touch_source first_touch_timestamp last_click_source last_click_timestamp activation_date total_sessions total_events "
+    "total_engagement_time_sec avg_session_duration_sec days_active product_user_id product_os_version browser ga4_city"
+).split()
+
+
 def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = A.attribution_clean(flat_clean(spark, sf_dir)).select(
         F.col("user_id").cast("bigint").alias("user_id"), "first_touch_channel_group", "total_sessions", "days_active"
@@ -153,6 +191,20 @@ FROM ga""",
     "engagement": (lambda spark, sf: zone_free(A.engagement(flat(spark, sf))), f"WITH {GA_SQL} {ENGAGEMENT_SQL}"),
     "product_details": (lambda spark, sf: A.product_details(flat(spark, sf)), f"WITH {GA_SQL} {PRODUCT_SQL}"),
     "attribution_full": (lambda spark, sf: zone_free(A.attribution_full(flat(spark, sf))), FULL_SQL),
+    "event_shards": (
+        event_shards,
+        f"""
+WITH {GA_SQL}
+SELECT event_id, user_id, event_timestamp, session_id, product_apps FROM ga
+WHERE CAST(make_timestamp(event_timestamp) AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+    ),
+    "attribution_job": (
+        attribution_job,
+        f"""
+WITH {USERS_SQL}, a AS ({FULL_SQL})
+SELECT CAST(u.user_id AS VARCHAR) AS user_id, u.display_name, {", ".join(JOB_COLUMNS)}
+FROM u LEFT JOIN a ON CAST(u.user_id AS VARCHAR) = a.user_id""",
+    ),
     "attribution_incremental": (lambda spark, sf: zone_free(incremental(spark, sf)), FULL_SQL),
     "attribution_clean": (
         lambda spark, sf: zone_free(A.attribution_clean(flat_clean(spark, sf))),

@@ -11,9 +11,11 @@ from engage import schemas as S
 from engage.functions.times import iso_text, zone_free
 from engage.operators import enrich as E
 from engage.operators.activity import activity_status
+from engage.operators.diff import apply_changes
 from engage.operators.flatten import flatten_users
 from engage.operators.latest import last_login, modified_since, recent_logins, watermark
 from engage.operators.merge import merge, merge_counts, merge_update_only
+from engage.plans.steps import stage
 from engage.queries.inputs import (
     AS_OF,
     AUDITS_SQL,
@@ -25,6 +27,7 @@ from engage.queries.inputs import (
     users,
 )
 from engage.session import scratch_dir
+from engage.sources.bucketed import BucketedTable, ddl_of
 from engage.sources.landed import read_ndjson, write_ndjson
 from engage.sources.pages import scan_offset_pages, scan_pages
 from engage.sources.tables import append, evolve, overwrite, replace_table_days
@@ -202,6 +205,38 @@ def merge_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(merge_target(spark, sf_dir), merge_source(spark, sf_dir), "user_id", update=["segment"], insert=["user_id", "balance"])
 
 
+def merged_buckets(spark: SparkSession, sf_dir: str) -> BucketedTable:
+    """The upsert on a table in buckets: version 1 is the target, 2 the merged rows, 3 lacks every other of the ids they share."""
+    target = merge_target(spark, sf_dir)
+    table = BucketedTable(spark, scratch_dir(spark, "users"), buckets=16)
+    table.create(ddl_of(target))
+    table.append(target)
+    table.merge(stage(merge_source(spark, sf_dir), "increment"))
+    table.mutate(lambda rows: rows.where("user_id IS NULL OR user_id % 40 <> 0"))
+    return table
+
+
+def merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = merged_buckets(spark, sf_dir)
+    return table.read(table.version(2))
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed from the target to the last version, with the values before and after."""
+    table = merged_buckets(spark, sf_dir)
+    feed = table.changes(table.version(1), table.head())
+    names = ("display_name", "balance", "segment", "event_count")
+    sides = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in ("before", "after") for c in names]
+    return feed.select("user_id", F.col("_change").alias("change"), *sides)
+
+
+def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older version with the feed applied, which is the newer one."""
+    table = merged_buckets(spark, sf_dir)
+    older, newer = table.version(1), table.head()
+    return apply_changes(table.read(older), table.changes(older, newer))
+
+
 MERGE_SQL = """
 t AS (
   SELECT CASE WHEN user_id % 50 <> 49 THEN user_id * 20 END AS user_id, 'user ' || user_id AS display_name,
@@ -298,6 +333,25 @@ def report_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "merge_buckets": (merge_buckets, f"WITH {MERGE_SQL} SELECT * EXCLUDE (_action) FROM m"),
+    "change_feed": (
+        change_feed,
+        f"""
+WITH {MERGE_SQL}, n AS (SELECT * FROM m WHERE user_id IS NULL OR user_id % 40 <> 0)
+SELECT n.user_id, CASE WHEN _action = 'insert' THEN 'insert' ELSE 'update' END AS change,
+  t.display_name AS display_name_before, t.balance AS balance_before, t.segment AS segment_before,
+  t.event_count AS event_count_before, n.display_name AS display_name_after, n.balance AS balance_after,
+  n.segment AS segment_after, n.event_count AS event_count_after
+FROM n LEFT JOIN t ON n.user_id = t.user_id
+WHERE _action = 'insert' OR (_action = 'update' AND (n.display_name IS DISTINCT FROM t.display_name
+  OR n.balance IS DISTINCT FROM t.balance OR n.segment IS DISTINCT FROM t.segment))
+UNION ALL
+SELECT user_id, 'delete', display_name, balance, segment, event_count, NULL, NULL, NULL, NULL FROM t WHERE user_id % 40 = 0""",
+    ),
+    "change_feed_applied": (
+        applied_changes,
+        f"WITH {MERGE_SQL} SELECT * EXCLUDE (_action) FROM m WHERE user_id IS NULL OR user_id % 40 <> 0",
+    ),
     "scan_pages": (
         scan_query,
         "SELECT o_orderkey // 500 AS page, o_orderkey, o_custkey, o_totalprice FROM orders",
