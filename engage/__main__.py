@@ -14,14 +14,18 @@ from engage import schemas as S
 from engage.operators import enrich as E
 from engage.operators.attribution import EventNames
 from engage.plans import jobs
+from engage.plans.steps import landed_rows, staging
 from engage.session import build_session
 from engage.sources.bucketed import BUCKETS, BucketedTable
 from engage.sources.landed import read_event_shards, read_ndjson
+from engage.sources.pages import AUDIT_PAGE_SIZE, USER_PAGE_SIZE, scan_offset_pages, scan_pages
 from engage.sources.tables import SnapshotTable, evolve
 
 
-def _landed(spark: SparkSession, path: str | None, schema: str) -> DataFrame | None:
-    return None if path is None else read_ndjson(spark, path, schema)
+def _landed(spark: SparkSession, args: argparse.Namespace, path: str | None, schema: str) -> DataFrame | None:
+    if path is None or args.dead_letters is None:
+        return None if path is None else read_ndjson(spark, path, schema)
+    return landed_rows(spark, path, schema, args.dead_letters, args.most_bad)
 
 
 def _users(spark: SparkSession, args: argparse.Namespace) -> jobs.Table:
@@ -30,16 +34,19 @@ def _users(spark: SparkSession, args: argparse.Namespace) -> jobs.Table:
 
 def sync(spark: SparkSession, args: argparse.Namespace) -> None:
     users = _users(spark, args)
-    pages = _landed(spark, args.user_pages, S.USER_PAGE)
-    audits = _landed(spark, args.audit_pages, S.AUDIT_PAGE)
-    responses = _landed(spark, args.responses, S.GEO_RESPONSE)
+    pages = _landed(spark, args, args.user_pages, S.USER_PAGE)
+    audits = _landed(spark, args, args.audit_pages, S.AUDIT_PAGE)
+    responses = _landed(spark, args, args.responses, S.GEO_RESPONSE)
+    if args.page_rules:
+        pages = scan_pages(pages, "users", USER_PAGE_SIZE, total="total", gaps=False)
+        audits = scan_pages(audits, "audits", AUDIT_PAGE_SIZE, last_page=args.last_audit_page, gaps=False)
     run = jobs.run_daily_buckets if args.users_path else jobs.run_daily
     print(run(users, pages, audits, responses, args.as_of, args.modified_ms))
 
 
 def locations(spark: SparkSession, args: argparse.Namespace) -> None:
     users = _users(spark, args)
-    responses = _landed(spark, args.responses, S.GEO_RESPONSE)
+    responses = _landed(spark, args, args.responses, S.GEO_RESPONSE)
     print("addresses located:", jobs.update_locations(users, responses, force=args.force))
     E.coverage(users.read()).show()
 
@@ -75,36 +82,40 @@ def social(spark: SparkSession, args: argparse.Namespace) -> None:
         args.short_videos_table,
     )
     landing = jobs.SocialLanding(
-        tweets=_landed(spark, args.tweets, S.TWEET_PAGE),
-        video_search=_landed(spark, args.video_search, S.VIDEO_SEARCH_PAGE),
-        video_details=_landed(spark, args.video_details, S.VIDEO_PAGE),
-        posts=_landed(spark, args.posts, S.POST_PAGE),
-        posts_v2=_landed(spark, args.posts_v2, S.POST_PAGE),
-        metadata=_landed(spark, args.metadata, S.ddl(S.POST_METADATA)),
-        short_videos=_landed(spark, args.short_videos, S.SHORT_VIDEO),
+        tweets=_landed(spark, args, args.tweets, S.TWEET_PAGE),
+        video_search=_landed(spark, args, args.video_search, S.VIDEO_SEARCH_PAGE),
+        video_details=_landed(spark, args, args.video_details, S.VIDEO_PAGE),
+        posts=_landed(spark, args, args.posts, S.POST_PAGE),
+        posts_v2=_landed(spark, args, args.posts_v2, S.POST_PAGE),
+        metadata=_landed(spark, args, args.metadata, S.ddl(S.POST_METADATA)),
+        short_videos=_landed(spark, args, args.short_videos, S.SHORT_VIDEO),
     )
     print(jobs.run_social(tables, landing, args.as_of))
 
 
 def posts(spark: SparkSession, args: argparse.Namespace) -> None:
     table = SnapshotTable(spark, args.table)
-    metadata = None if args.no_metadata else _landed(spark, args.metadata, S.ddl(S.POST_METADATA))
+    metadata = None if args.no_metadata else _landed(spark, args, args.metadata, S.ddl(S.POST_METADATA))
     if args.update_metadata:
         print("posts updated:", jobs.run_backfill(table, metadata, args.update_limit, args.as_of))
         return
-    pages = _landed(spark, args.pages, S.POST_PAGE)
+    pages = _landed(spark, args, args.pages, S.POST_PAGE)
+    if args.page_rules:
+        pages = scan_offset_pages(pages)
     print(jobs.run_posts(table, pages, metadata, args.mode, args.max_posts, args.max_metadata_calls, args.as_of))
 
 
 def reports(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = {"daily": args.daily_table, "playback": args.playback_table, "traffic": args.traffic_table}
-    landed = [_landed(spark, path, S.REPORT) for path in (args.daily, args.playback, args.traffic)]
+    landed = [_landed(spark, args, path, S.REPORT) for path in (args.daily, args.playback, args.traffic)]
     print(jobs.run_reports(*landed, tables))
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="engage", description=__doc__.splitlines()[0])
     top.add_argument("--as-of", help="reference time of the run (default: now)")
+    top.add_argument("--dead-letters", help="folder for landed lines that cannot be read; without it the first one stops the job")
+    top.add_argument("--most-bad", type=float, default=0.01, help="share of such lines above which the job stops all the same")
     commands = top.add_subparsers(required=True)
 
     def command(run, help_text: str) -> argparse.ArgumentParser:
@@ -121,6 +132,8 @@ def parser() -> argparse.ArgumentParser:
     users_of(sub)
     for name in ("--user-pages", "--audit-pages", "--responses"):
         sub.add_argument(name, required=True)
+    sub.add_argument("--page-rules", action="store_true", help="take pages only up to where the scan ends: a short or missing page, or the total")
+    sub.add_argument("--last-audit-page", type=int)
     sub.add_argument("--modified-ms", help="field of the user records: take only users modified since the newest in the table")
 
     sub = command(locations, "bulk location enrichment and its coverage")
@@ -151,6 +164,7 @@ def parser() -> argparse.ArgumentParser:
     sub = command(posts, "incremental or full load of posts, or back-fill of their metadata")
     sub.add_argument("--table", default="posts")
     sub.add_argument("--pages")
+    sub.add_argument("--page-rules", action="store_true", help="take pages only up to where the scan ends")
     sub.add_argument("--metadata")
     sub.add_argument("--mode", choices=["incremental", "full"], default="incremental")
     sub.add_argument("--max-posts", type=int)
@@ -178,7 +192,8 @@ def main(argv: list[str] | None = None) -> None:
         top.error("posts needs --pages (or --update-metadata)")
     if args.run is posts and not (args.metadata or args.no_metadata):
         top.error("posts needs --metadata (or --no-metadata)")
-    args.run(build_session("engage"), args)
+    with staging():
+        args.run(build_session("engage"), args)
 
 
 if __name__ == "__main__":

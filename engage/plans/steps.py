@@ -14,6 +14,7 @@ from engage.operators.merge import merge, merge_update_only
 from engage.session import scratch_dir
 from engage.sources import files
 from engage.sources.bucketed import BucketedTable
+from engage.sources.landed import read_ndjson_marked, split_bad
 from engage.sources.tables import SnapshotTable, evolve
 
 Table = SnapshotTable | BucketedTable
@@ -61,6 +62,13 @@ def staged_source(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
     return staged, staged.count()
 
 
+def landed_rows(spark: SparkSession, path: str, schema: str, dead_letters: str, most: float) -> DataFrame:
+    """Good rows of a landed folder; its bad lines are appended to the Parquet folder ``dead_letters``. See ``split_bad``."""
+    good, bad = split_bad(stage(read_ndjson_marked(spark, path, schema), "landed"), most)
+    bad.withColumn("path", F.lit(path)).write.mode("append").parquet(dead_letters)
+    return good
+
+
 def upserted(target: DataFrame, staged: DataFrame, rows: int, key: str) -> DataFrame:
     """``target`` after an upsert of a staged source, whose exact size tells the planner whether to shuffle the target."""
     return merge(target, staged, key, small_source=True) if rows else target

@@ -28,8 +28,8 @@ from engage.queries.inputs import (
 )
 from engage.session import scratch_dir
 from engage.sources.bucketed import BucketedTable, ddl_of
-from engage.sources.landed import read_ndjson, write_ndjson
-from engage.sources.pages import scan_offset_pages, scan_pages
+from engage.sources.landed import read_ndjson, read_ndjson_marked, split_bad, write_ndjson
+from engage.sources.pages import islands, scan_offset_pages, scan_pages
 from engage.sources.tables import append, evolve, overwrite, replace_table_days
 
 LOGIN_ACTIONS = ["view", "click"]
@@ -108,6 +108,20 @@ def ndjson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ndjson(spark, path, schema)
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers landed with every 50th line cut off and some of the wrong type: keys of the good rows, and of the bad lines."""
+    path = scratch_dir(spark, "landed")
+    key = F.col("c_custkey")
+    whole = F.to_json(F.struct("c_custkey", "c_name", F.when(key % 70 == 3, "much").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey")))
+    line = F.when(key % 50 == 0, F.substring(whole, F.lit(1), F.length(whole) - 4)).otherwise(F.regexp_replace(whole, '"([0-9]+)"', "$1"))
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    marked = stage(read_ndjson_marked(spark, path, "c_custkey bigint, c_name string, c_nationkey bigint"), "landed")
+    good, bad = split_bad(marked, most=0.05)
+    number = F.regexp_extract("line", '"c_custkey":([0-9]+)', 1).cast("bigint")
+    lines = bad.select(number.alias("c_custkey"), F.lit(None).cast("string").alias("c_name"), F.lit(True).alias("bad"))
+    return good.select("c_custkey", "c_name", F.lit(False).alias("bad")).unionByName(lines)
+
+
 # --- incremental load -----------------------------------------------------------------------------------------------
 def known_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("created_time"))
@@ -150,6 +164,31 @@ def scan_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("run", "start", F.explode("orders").alias("o_orderkey"))
 
 
+def gap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of three interleaved scans: every so many pages are missing, one scan lacks page 0, some pages have landed twice."""
+    key = F.col("o_orderkey")
+    page, run = F.floor(key / 500).cast("int"), key % 3
+    kept = table(spark, sf_dir, "orders").where(~(((run == 1) & (page % 5 == 3)) | ((run == 2) & (page % 4 == 0))))
+    pages = kept.groupBy(page.alias("page"), run.alias("run")).agg(F.collect_list("o_orderkey").alias("orders"))
+    return pages
+
+
+def page_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = gap_pages(spark, sf_dir)
+    return islands(pages.unionByName(pages.where("page % 7 = 1")), run="run")
+
+
+def scan_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = scan_pages(gap_pages(spark, sf_dir), "orders", 60, run="run", gaps=False)
+    return kept.select("run", "page", F.explode("orders").alias("o_orderkey"))
+
+
+GAPS_SQL = """
+g AS (
+  SELECT o_orderkey // 500 AS page, o_orderkey % 3 AS run, o_orderkey FROM orders
+  WHERE NOT ((o_orderkey % 3 = 1 AND (o_orderkey // 500) % 5 = 3) OR (o_orderkey % 3 = 2 AND (o_orderkey // 500) % 4 = 0))
+)"""
+
 PAGE_RUNS_SQL = """
 p AS (
   SELECT CAST(o_orderkey // 500 AS INTEGER) AS page, o_orderkey % 2 AS run, o_orderkey FROM orders
@@ -333,6 +372,33 @@ def report_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "quarantine": (
+        quarantine,
+        """
+SELECT c_custkey, CASE WHEN NOT bad THEN c_name END AS c_name, bad
+FROM (SELECT *, c_custkey % 50 = 0 OR c_custkey % 70 = 3 AS bad FROM customer)""",
+    ),
+    "page_islands": (
+        page_islands,
+        f"""
+WITH {GAPS_SQL}
+SELECT run, min(page) AS first_page, max(page) AS last_page
+FROM (SELECT *, page - row_number() OVER (PARTITION BY run ORDER BY page) AS island FROM (SELECT DISTINCT run, page FROM g))
+GROUP BY run, island""",
+    ),
+    "scan_pages_gaps": (
+        scan_gaps,
+        f"""
+WITH {GAPS_SQL}, sizes AS (SELECT run, page, count(*) AS n FROM g GROUP BY run, page
+), stops AS (
+  SELECT run, coalesce(min(page) FILTER (WHERE n < 60), 1000000000000) AS short FROM sizes GROUP BY run
+), holes AS (
+  SELECT run, min(page) AS last FROM sizes s WHERE NOT EXISTS (SELECT 1 FROM sizes t WHERE t.run = s.run AND t.page = s.page + 1) GROUP BY run
+)
+SELECT g.run, CAST(g.page AS INTEGER) AS page, o_orderkey
+FROM g JOIN stops ON g.run = stops.run JOIN holes ON g.run = holes.run
+WHERE g.page <= short AND g.page <= last AND EXISTS (SELECT 1 FROM sizes z WHERE z.run = g.run AND z.page = 0)""",
+    ),
     "merge_buckets": (merge_buckets, f"WITH {MERGE_SQL} SELECT * EXCLUDE (_action) FROM m"),
     "change_feed": (
         change_feed,

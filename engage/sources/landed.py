@@ -13,6 +13,32 @@ def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+class TooManyBadRecords(RuntimeError):
+    """More of the landed lines cannot be read than the load allows."""
+
+
+BAD = "__bad"
+
+
+def read_ndjson_marked(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All lines of newline-delimited JSON in one pass: the columns of the schema, the text of a line that does not fit it in
+    ``__bad`` (null for the others), and the ``__file`` and ``__block`` (start of the task's part of the file) it was read from."""
+    reader = spark.read.schema(f"{schema}, {BAD} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
+    return reader.json(path).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+
+
+def split_bad(marked: DataFrame, most: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the bad lines as ``file, block, line``; an error if more than the share ``most`` of all lines is bad.
+
+    Give the marked lines staged: they are counted first, and both parts are read from them.
+    """
+    lines, bad = marked.agg(F.count("*"), F.count(BAD)).first()
+    if bad > most * lines:
+        raise TooManyBadRecords(f"{bad} of {lines} landed lines cannot be read")
+    good = marked.where(F.col(BAD).isNull()).drop(BAD, "__file", "__block")
+    return good, marked.where(F.col(BAD).isNotNull()).select(F.col("__file").alias("file"), F.col("__block").alias("block"), F.col(BAD).alias("line"))
+
+
 def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Page sizes of the sources.
@@ -26,6 +27,33 @@ def _upto(pages: DataFrame, position: str, is_last: Column, run: str | None) ->
     return bounded.where(F.col("__stop").isNull() | (F.col(position) <= F.col("__stop"))).select(*pages.columns)
 
 
+def islands(pages: DataFrame, run: str | None = None, position: str = "page") -> DataFrame:
+    """``run, first_page, last_page``: the stretches of each run without a missing page. Repeated pages count once, null ones not at all.
+
+    A page without a page before it starts a stretch, one without a page behind it ends one. Both are found by joins on run and page,
+    so a long run is spread over tasks; only the ends of stretches are put in order, the k-th start belongs to the k-th end.
+    """
+    own = F.lit(0) if run is None else F.col(run)
+    seen = pages.select(own.alias("run"), F.col(position).cast("bigint").alias("page")).dropna(subset=["page"]).distinct()
+
+    def edge(step: int, name: str) -> DataFrame:
+        near = seen.select(F.col("run").alias("near_run"), (F.col("page") + step).alias("near_page"))
+        alone = seen.join(near, F.equal_null("run", F.col("near_run")) & (F.col("page") == F.col("near_page")), "left_anti")
+        return alone.select("run", F.col("page").alias(name), F.row_number().over(W.partitionBy("run").orderBy("page")).alias("place"))
+
+    ends = edge(-1, "last_page").withColumnsRenamed({"run": "end_run", "place": "end_place"})
+    same = F.equal_null("run", F.col("end_run")) & (F.col("place") == F.col("end_place"))
+    return edge(1, "first_page").join(ends, same).select("run", "first_page", "last_page")
+
+
+def unbroken(pages: DataFrame, run: str | None = None) -> DataFrame:
+    """Pages of each run before its first missing one; none of a run that lacks page 0."""
+    first = islands(pages, run).where("first_page = 0").select(F.col("run").alias("__run"), "last_page")
+    own = F.lit(0) if run is None else F.col(run)
+    kept = pages.join(first, F.equal_null(own, F.col("__run")) & (F.col("page") <= F.col("last_page")))
+    return kept.select(*pages.columns)
+
+
 def scan_pages(
     pages: DataFrame,
     body: str,
@@ -33,11 +61,14 @@ def scan_pages(
     total: str | None = None,
     last_page: int | None = None,
     run: str | None = None,
+    gaps: bool = True,
 ) -> DataFrame:
     """Pages 0, 1, ... of each run until an empty or short page, ``total`` records, or page number ``last_page`` (kept).
 
-    Every page before the stop is full, hence ``(page + 1) * page_size`` records have been read after ``page``.
+    Every page before the stop is full, hence ``(page + 1) * page_size`` records have been read after ``page``. With ``gaps`` false a
+    missing page ends the run too.
     """
+    pages = pages if gaps else unbroken(pages, run)
     is_last = F.coalesce(F.size(body), F.lit(0)) < page_size
     if total is not None:
         is_last |= (F.col("page") + 1).cast("bigint") * page_size >= F.coalesce(F.col(total), F.lit(0))

@@ -525,3 +525,62 @@ def test_slices_of_events_combine_in_any_order(spark, data_dir):
     other = AS.combine(states[0], AS.combine(states[2], AS.combine(states[1], states[3])))
     assert rows(AS.finish(one), "user_id") == rows(AS.finish(other), "user_id") == want
     assert AS.finish(AS.slice_state(flat.where("false"))).count() == 0
+
+
+# --- landed lines and pages --------------------------------------------------------------------------------------------
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    from engage.plans.steps import landed_rows, staging
+    from engage.sources.landed import TooManyBadRecords
+
+    folder, dead = tmp_path / "mixed", str(tmp_path / "dead")
+    folder.mkdir()
+    (folder / "a.json").write_text('{"id": 1, "v": "x"}\n{"id": 2, "v": \n\n{"id": "no number", "v": "y"}\n{"id": null}\n')
+    (folder / "b.json").write_text('{"id": 3, "v": "z"}\n')
+    with staging():
+        good = landed_rows(spark, str(folder), "id int, v string", dead, most=0.5)
+        assert rows(good) == [(None, None), (1, "x"), (3, "z")]
+        letters = {(r.file.rsplit("/", 1)[1], r.line) for r in spark.read.parquet(dead).collect()}
+        assert letters == {("a.json", '{"id": 2, "v": '), ("a.json", '{"id": "no number", "v": "y"}')}
+        with pytest.raises(TooManyBadRecords, match="2 of 5"):
+            landed_rows(spark, str(folder), "id int, v string", dead, most=0.3)
+
+
+def test_a_missing_page_ends_a_scan(spark):
+    from engage.sources.pages import islands, scan_pages, unbroken
+
+    numbers = [(0, "a"), (1, "a"), (1, "a"), (3, "a"), (1, "b"), (2, "b"), (0, None), (1, None), (None, "a")]
+    pages = spark.createDataFrame([(p, r, [1, 2]) for p, r in numbers], "page int, run string, body array<int>")
+    assert {tuple(r) for r in islands(pages, "run").collect()} == {("a", 0, 1), ("a", 3, 3), ("b", 1, 2), (None, 0, 1)}
+    assert sorted((r.page, r.run or "") for r in unbroken(pages, "run").collect()) == [(0, ""), (0, "a"), (1, ""), (1, "a"), (1, "a")]
+    assert scan_pages(pages.where("run = 'a'"), "body", 2, gaps=False).count() == 3
+    assert scan_pages(pages.where("run = 'b'"), "body", 2, gaps=False).count() == 0
+    assert islands(pages.limit(0)).count() == 0
+
+
+def test_command_line_of_tables_in_buckets(spark, tmp_path, data_dir, capsys):
+    from engage.__main__ import main
+
+    pages, audits, responses = (str(tmp_path / n) for n in ("pages", "audits", "responses"))
+    for folder, lines in (
+        (pages, ['{"page": 0, "total": 2, "users": [{"userId": "1"}, {"userId": "2"}]}', '{"page": 1, "users": [{"userId": "9"}]}', "{cut"]),
+        (audits, ['{"page": 0, "audits": []}']),
+        (responses, ['{"ip": "1.1.1.1", "provider": "ipwho.is", "body": "{}"}']),
+    ):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(folder)
+    users = str(tmp_path / "users")
+    main([
+        "--dead-letters", str(tmp_path / "dead"), "--most-bad", "0.5", "sync", "--users-path", users, "--buckets", "4", "--page-rules",
+        "--user-pages", pages, "--audit-pages", audits, "--responses", responses,
+    ])
+    assert "'users_synced': 2" in capsys.readouterr().out
+    assert rows(BucketedTable(spark, users).read().select("user_id")) == [("1",), ("2",)]
+    assert spark.read.parquet(str(tmp_path / "dead")).count() == 1
+
+    shards = str(tmp_path / "shards")
+    ga_events(spark, data_dir).withColumn("dt", F.to_date(F.timestamp_micros("event_timestamp"))).write.partitionBy("dt").parquet(shards)
+    options = ["--event-name", "view", "--user-key", NAMES.user_key, "--users-path", users, "--events", shards, "--state", str(tmp_path / "state")]
+    main(["attribution", *options])
+    main(["attribution", *options])
+    told = capsys.readouterr().out.split("users enriched:")[1:]
+    assert int(told[0]) > 0 and int(told[1]) == 0
+    assert BucketedTable(spark, users).read().where("total_events > 0").count() == 2
