@@ -22,7 +22,6 @@ import functools
 import heapq
 import json
 import re
-import string
 import sys
 import unicodedata
 from array import array
@@ -30,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +37,7 @@ BLOCK = 4096  # symbols that are merged at once beyond the lookahead
 SLICE = 8192  # characters of a long word that are taken at once
 LONG = 512  # bytes of a word that is streamed and not remembered
 REMEMBERED = 1 << 19  # words whose ids a task remembers, at most
+_SPACE = re.compile(r"\s")
 OPEN = 3  # characters at the end of a slice that may still be split otherwise ('re, 've, 'll)
 
 
@@ -76,6 +76,69 @@ class Merges:
     def symbols(self, piece: str) -> list[int]:
         return [self.ids[c] for c in piece]
 
+    @functools.cached_property
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same rules as arrays: sorted pairs, their ranks, what each rank makes, and symbols by code point (within and last)."""
+        pairs = np.array(sorted(self.ranks), dtype=np.int64)
+        ranks = np.array([self.ranks[p] for p in pairs.tolist()], dtype=np.int64)
+        symbols = [t for t in self.ids if len(t) == 1]
+        inner = np.full(max(map(ord, symbols)) + 1, -1, dtype=np.int64)
+        last = inner.copy()
+        for t in symbols:
+            inner[ord(t)] = self.ids[t]
+            last[ord(t)] = self.ids.get(t + self.suffix, -1)
+        return pairs, ranks, np.array(self.made, dtype=np.int64), inner, last
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs, ranks = self.tables[:2]
+        key = left * self.span + right
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        return np.where((pairs[at] == key) & (left >= 0) & (right >= 0), ranks[at], len(self.made))
+
+    def many(self, pieces: list[str]) -> list[bytes]:
+        """The packed ids of many short pieces: all are merged in lockstep, one rule of each at a time."""
+        made, inner, last = self.tables[2:]
+        none, out = len(self.made), [b""] * len(pieces)
+        size = np.array([len(p) for p in pieces], dtype=np.int64)
+        for width in (4, 8, 12, 16, 24, 32, 48, 1 << 30):
+            rows = np.flatnonzero((size > 0) & (size <= width))
+            size[rows] = 0
+            if not len(rows):
+                continue
+            if width > 48:
+                for k in rows:
+                    symbols = self.symbols(pieces[k][:-1]) + [self.ids[pieces[k][-1] + self.suffix]]
+                    out[k] = _packed(self.merged(symbols)[0])
+                continue
+            code = np.frombuffer("".join(pieces[k].ljust(width, "\0") for k in rows).encode("utf-32-le"), dtype="<u4")
+            code = code.reshape(len(rows), width).astype(np.int64)
+            length = (code > 0).sum(axis=1)
+            token = np.where(code > 0, inner[code], -1)
+            token[np.arange(len(rows)), length - 1] = last[code[np.arange(len(rows)), length - 1]]
+            rank = np.full((len(rows), width), none, dtype=np.int64)
+            rank[:, :-1] = self._rank(token[:, :-1], token[:, 1:])
+            column = np.arange(width)
+            while len(rows):
+                k = rank.argmin(axis=1)
+                best = rank[np.arange(len(rows)), k]
+                done = best == none
+                if done.any():
+                    for row, ids, n in zip(rows[done].tolist(), token[done].astype("<u4"), length[done].tolist()):
+                        out[row] = ids[:n].tobytes()
+                    rows, token, rank, length, k, best = (x[~done] for x in (rows, token, rank, length, k, best))
+                every = np.arange(len(rows))
+                after = np.minimum(column + (column > k[:, None]), width - 1)
+                token[every, k] = made[best]
+                token = np.take_along_axis(token, after, axis=1)
+                token[:, -1] = -1
+                length = length - 1
+                rank = np.take_along_axis(rank, np.minimum(column + (column >= k[:, None]), width - 1), axis=1)
+                rank[:, -1] = none
+                before = np.maximum(k - 1, 0)
+                rank[every, before] = np.where(k > 0, self._rank(token[every, before], token[every, k]), rank[every, before])
+                rank[every, k] = self._rank(token[every, k], token[every, np.minimum(k + 1, width - 1)])
+        return out
+
     def merged(self, tokens: list[int]) -> tuple[list[int], list[int]]:
         """The tokens of a sequence of symbols, and the number of symbols of each."""
         return self._short(tokens) if len(tokens) < 48 else self._long(tokens)
@@ -203,36 +266,22 @@ class Tokenizer:
             raise ValueError(f"{file} keeps white space in its tokens")
         if any(re.search(r"\s", s) for s in self.special):
             raise ValueError(f"{file} has special tokens with white space")
-        # Words of ASCII letters alone are the bulk; where the file keeps them in one piece, it need not be asked each time.
-        letters = string.ascii_letters
-        self.fold = {letters: str, letters.lower(): str.lower}.get(self.normal(letters))
-        if self.fold and [p for p, _ in self.split(self.normal(letters))] != [self.fold(letters)]:
-            self.fold = None
         ordered = sorted(self.special, key=len, reverse=True)
         self.parts = re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
         self.longest = max(map(len, ordered), default=1)
         self.long = long
         self.words = _Words(self)
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> list[int]:
         """Ids of one piece of the split text (bytes as printable characters)."""
-        found = self.pieces.get(piece)
-        if found is None:
-            symbols = self.merges.symbols(piece[:-1])
-            symbols.append(self.last(piece[-1]))
-            found = self.merges.merged(symbols)[0]
-            if len(piece) <= self.long:
-                self.pieces[piece] = found
-        return found
+        return self.merges.merged([*self.merges.symbols(piece[:-1]), self.last(piece[-1])])[0]
 
     def last(self, symbol: str) -> int:
         return self.merges.ids[symbol + self.suffix]
 
     def word(self, text: str) -> list[int]:
         """Ids of a short text at once."""
-        if self.fold and text.isascii() and text.isalpha():
-            return self.piece(self.fold(text))
         out: list[int] = []
         for k, part in enumerate(self.parts.split(text) if self.parts else [text]):
             if k % 2:
@@ -264,10 +313,30 @@ class Tokenizer:
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a text in UTF-8. White space in ASCII parts words, which are independent; frequent ones are remembered."""
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The same for a batch of texts; the short words that are new in it are encoded together."""
         if len(self.words) > REMEMBERED:
             self.words.clear()
             self.pieces.clear()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        split = [text.split() for text in texts]
+        new = [w for w in set().union(*split) if w not in self.words and len(w) <= self.long]
+        self._learn([(w, t) for w in new for t in [w.decode("utf-8")] if not (self.parts and self.parts.search(t)) and not _SPACE.search(t)])
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+    def _learn(self, words: list[tuple[bytes, str]]) -> None:
+        """Remember the ids of words without any white space or special token: as one text, they are parted by the spaces between them."""
+        text = self.normal(" ".join(t for _, t in words))
+        pieces = self.split(text) if text else []
+        start = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype="<u4") == 32)
+        owner = np.searchsorted(start, np.array([s for _, (s, _) in pieces], dtype=np.int64)).tolist()
+        fresh = list({p for p, _ in pieces if p not in self.pieces})
+        self.pieces.update(zip(fresh, self.merges.many(fresh)))
+        found = [b""] * len(words)
+        for k, (piece, _) in zip(owner, pieces):
+            found[k] += self.pieces[piece]
+        self.words.update(zip((w for w, _ in words), found))
 
 
 class _Words(dict):
@@ -408,33 +477,6 @@ def _printable() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
-def encoded(text: Column, file: str = TOKENIZER) -> Column:
-    """Ids of a text column as binary, little-endian unsigned 32-bit; none for a null or empty text."""
-    held: list[Tokenizer] = []
-
-    @F.arrow_udf("binary")
-    def encode(texts: pa.Array) -> pa.Array:
-        if not held:
-            held.append(Tokenizer(file))
-        data = texts.cast(pa.binary()) if pa.types.is_string(texts.type) else texts.cast(pa.large_binary())
-        return pa.array([held[0].encode(t.as_buffer().to_pybytes()) if t.is_valid else b"" for t in data], type=pa.binary())
-
-    return encode(text)
-
-
-def decoded(ids: Column, file: str = TOKENIZER) -> Column:
-    """The text of a column of ids as ``encoded`` gives them; a null gives an empty text."""
-    held: list[Decoder] = []
-
-    @F.arrow_udf("string")
-    def decode(column: pa.Array) -> pa.Array:
-        if not held:
-            held.append(Decoder(file))
-        return pa.array([held[0].decode(b or b"") for b in column.to_pylist()], type=pa.string())
-
-    return decode(ids)
-
-
 def round_trip(docs: DataFrame, file: str = TOKENIZER) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` for each row of ``docs(doc_id, text)``: the ids of the whole text as binary, and the text
     they decode to.
@@ -443,7 +485,21 @@ def round_trip(docs: DataFrame, file: str = TOKENIZER) -> DataFrame:
     need no rule, and other columns are ignored. Nothing is shuffled; a task's memory is that of its batch, the vocabulary and
     at most ``REMEMBERED`` words.
     """
-    rows = docs.select(F.col("doc_id").alias("doc_id"), encoded(F.col("text"), file).alias("ids"))
-    return rows.select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", decoded(F.col("ids"), file).alias("decoded")
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, decoder = Tokenizer(file), Decoder(file)
+        for batch in batches:
+            ids = tokenizer.encode_all([text or b"" for text in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(i) // 4 for i in ids], type=pa.int64()),
+                    pa.array(ids, type=pa.binary()),
+                    pa.array(map(decoder.decode, ids), type=pa.string()),
+                ],
+                names=["doc_id", "n_tokens", "ids", "decoded"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, decoded string")

@@ -113,6 +113,15 @@ def test_short_and_long_merging_agree():
         assert own.merges._short(symbols) == own.merges._long(symbols)
 
 
+def test_batches_of_words_are_encoded_as_one_by_one(library):
+    own, r = transducer.Tokenizer(), random.Random(9)
+    texts = ["".join(r.choices(r.sample(PARTS + list("etaoinshrdl"), r.randint(1, 20)), k=r.randint(0, 120))) for _ in range(2000)]
+    texts += ["x" * n for n in range(1, 70)]
+    got = own.encode_all([t.encode() for t in texts])
+    assert [unpacked(g) for g in got] == [wanted(library, t)[0] for t in texts]
+    assert own.encode_all([]) == [] and own.encode_all([b""]) == [b""]
+
+
 def test_bytes_become_text_when_characters_are_complete():
     name = "byte_bpe_50k.json"
     library, decoder = Tokenizer.from_file(public_tokenizers.path(name)), transducer.Decoder(name)
