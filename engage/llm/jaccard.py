@@ -12,7 +12,8 @@ Within a region, documents are pivots of the second kind: each set is compared w
 near copies without comparing all their pairs. Regions whose sets are then all in one component are done. In the others
 only sets of different components are paired; a region too large for that is cut again, by the second common shingle, and so
 on. Two exact bounds keep pairs from being compared in full: sizes and places of the common shingle, and a parity
-sketch, whose distance never exceeds that of the sets.
+sketch, whose distance never exceeds that of the sets. Every set takes its sketch into its regions, into small ones folded no
+further than sets without a common shingle can be told by, so that the pairs that leave a region do not grow with its square.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from engage.llm import words
 from engage.llm.bloom import blocked_filter, may_hold
-from engage.llm.common import WORD, written
+from engage.llm.common import WORD, free_name, written
 from engage.llm.components import components
 
 SHINGLE = 3
@@ -176,21 +177,16 @@ def _may_link(n: Column, i: Column, m: Column, j: Column, before: Column, percen
 
 
 def _near_sketches(a: Column, b: Column, n: Column, m: Column, percent: int) -> Column:
-    """Whether the parity sketches allow a link. The larger is folded to the size of the smaller: linked sets have sketches of the
-    same size or of the next."""
+    """Whether the parity sketches allow a link. The larger is folded to the size of the smaller; sets whose sizes allow a link have
+    sketches of the same size or of the next one or two."""
     xor = lambda x, y: x.bitwiseXOR(y)
     half = lambda s, size: F.zip_with(F.slice(s, F.lit(1), size), F.slice(s, size + 1, size), xor)
-    fold = lambda s, t: F.when(F.size(s) > F.size(t), half(s, F.size(t))).otherwise(s)
+    once = lambda s, t: F.when(F.size(s) > F.size(t), half(s, F.floor(F.size(s) / 2).cast("int"))).otherwise(s)
+    fold = lambda s, t: once(once(s, t), t)
     distance = F.aggregate(F.zip_with(fold(a, b), fold(b, a), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda t, c: t + c)
     return distance <= n + m - 2 * least_common(n, m, percent)
 
 
-def _near_small(a: tuple[str, str], b: tuple[str, str], n: Column, m: Column, percent: int) -> Column:
-    """The same for sketches folded to two words."""
-    first, second = (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(a, b))
-    return first + second <= n + m - 2 * least_common(n, m, percent)
-
-
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -218,11 +214,14 @@ def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     """``docs`` with one row of each component of linked documents: that with the smallest ``doc_id`` (null after all
     others, then by a hash of the text). Rows without words are linked with nothing and all stay. Columns pass through."""
     _, reached = _reached(docs, size, percent)
-    chosen = reached.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("_id"), F.col("best.tag").alias("_tag"))
+    own, own_id = free_name(docs, "_own"), free_name(docs, "_id")
+    best = reached.groupBy("root").agg(F.min("best").alias("best"))
+    chosen = best.select(F.col("best.doc_id").alias(own_id), F.col("best.tag").alias(f"{own}_tag"))
     wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    rows = docs.where(~wordless).withColumn("_own", _tag())
-    kept = rows.join(chosen, F.equal_null(F.col("doc_id").cast("long"), F.col("_id")) & (F.col("_own") == F.col("_tag")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own").unionByName(docs.where(wordless))
+    rows = docs.where(~wordless).withColumn(own, _tag())
+    same = F.equal_null(F.col("doc_id").cast("long"), F.col(own_id)) & (F.col(own) == F.col(f"{own}_tag"))
+    kept = rows.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).drop(own).unionByName(docs.where(wordless))
 
 
 def _tag() -> Column:
@@ -253,127 +252,186 @@ def _joined(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     small, large = regions.where(F.col("sets") <= SMALL), regions.where(F.col("sets") > SMALL)
     in_small, in_large = blocked_filter(small.select("key")), blocked_filter(large.select("key"))
 
-    members = written(_with_pivots(_postings(classes, in_large, percent).join(large, "key")), "members")
+    members = written(_postings(classes, in_large, percent, whole=True).join(large, "key"), "members")
     stars = _small_pairs(_postings(classes, in_small, percent).join(small, "key"), True, percent)
-    links = _linked(docs, classes, _with_sketches(stars.union(_star_pairs(members, 1, percent)).distinct(), classes, percent), size, percent)
+    links = _linked(docs, classes, stars.union(_star_pairs(members, 1, percent)).distinct(), size, percent)
     reached = components(links)
 
     told = classes.join(reached, "node", "left")
-    crossed = _small_pairs(_postings(told, in_small, percent).join(small, "key"), False, percent)
+    # Of three sets the first and the last have been compared with all.
+    several = small.where(F.col("sets") > 3)
+    crossed = _small_pairs(_postings(told, blocked_filter(several.select("key")), percent).join(several, "key"), False, percent)
     open_ = written(_unsettled(members, reached), "open")
     for depth in range(1, DEPTH + 1):
-        now = open_ if depth == DEPTH else open_.where(F.col("sets") <= REGION)
-        pairs = _cross_pairs(now, depth, percent)
-        pairs = (pairs.union(crossed) if depth == 1 else pairs).distinct()
-        links = written(links.union(_linked(docs, classes, _with_sketches(pairs, classes, percent), size, percent)), "links")
+        pairs = _region_pairs(open_.where(F.col("sets") <= REGION), depth, percent)
         rest = open_.where(F.col("sets") > REGION)
+        if depth == 1:
+            pairs = pairs.union(crossed)
+        if depth == DEPTH:
+            pairs = pairs.union(_cross_pairs(rest, depth, percent))
+        links = written(links.union(_linked(docs, classes, pairs.distinct(), size, percent)), "links")
         if depth == DEPTH or rest.isEmpty():
             break
         cut = _cut_again(rest, classes, depth, percent)
         counted = cut.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
-        members = written(_with_pivots(cut.join(counted, "key")), "members")
-        stars = _with_sketches(_star_pairs(members, depth + 1, percent), classes, percent)
-        links = written(links.union(_linked(docs, classes, stars, size, percent)), "links")
+        members = written(cut.join(counted, "key"), "members")
+        links = written(links.union(_linked(docs, classes, _star_pairs(members, depth + 1, percent), size, percent)), "links")
         open_ = written(_unsettled(members, components(links)), "open")
     return components(links)
 
 
-_POSTING = "key long, node long, n long, place long, component long, m0 long, m1 long"
+_POSTING = "key long, node long, n long, place long, component long, sketch array<long>"
+_PAIR = "a long, b long"
+_MEMBER = ["node", "n", "place", "component", "sketch"]
+COMPARED = 1 << 15  # pairs whose sketches are compared at once
 
 
-def _postings(classes: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
-    """The places of each set in regions that may be in the filter, with its component and half a small parity sketch."""
+def _postings(classes: DataFrame, table: np.ndarray, percent: int, whole: bool = False) -> DataFrame:
+    """The places of each set in regions that may be in the filter, with its component and its sketch, folded or ``whole``."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, component, first, second = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-            prefix = batch.column(5)
+            node, n, component = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            prefix = batch.column(3)
             offsets, keys = prefix.offsets.to_numpy(), prefix.flatten().to_numpy()
             row = np.repeat(np.arange(len(node)), np.diff(offsets))
             place = np.arange(len(keys)) - (offsets[:-1] - offsets[0])[row]
             kept = np.flatnonzero(place < (n - (percent * n + 99) // 100 + 1)[row])
             kept = kept[may_hold(table, keys[kept])]
             row = row[kept]
-            columns = [keys[kept], node[row], n[row], place[kept], component[row], first[row], second[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=[c.split()[0] for c in _POSTING.split(", ")])
+            columns = [keys[kept], node[row], n[row], place[kept], component[row]]
+            sketches = (batch.column(4) if whole else _small_sketches(n, batch.column(4), percent)).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(c, type=pa.int64()) for c in columns], sketches], names=[c.split()[0] for c in _POSTING.split(", ")]
+            )
 
     component = F.coalesce("component", "node") if "component" in classes.columns else F.col("node")
-    # The parity of a union of bits is the parity of their sum, so words of the sketch fold into fewer by exclusive or.
-    fold = lambda odd: F.aggregate(F.filter("sketch", lambda _, i: i % 2 == odd), F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(w))
-    return classes.select(
-        "node", "n", component.alias("component"), fold(0).alias("m0"), fold(1).alias("m1"), "prefix"
-    ).mapInArrow(emit, _POSTING)
+    return classes.select("node", "n", component.alias("component"), "prefix", "sketch").mapInArrow(emit, _POSTING)
+
+
+def _small_sketches(n: np.ndarray, sketch: pa.ListArray, percent: int) -> pa.ListArray:
+    """Sketches folded to the fewest words that tell sets without a common shingle from linked ones: half of the bits differ for
+    the former, by four standard deviations more than may for the latter."""
+    offsets = sketch.offsets.to_numpy().astype(np.int64)
+    words_, start, width = sketch.flatten().to_numpy(), offsets[:-1] - offsets[0], np.diff(offsets)
+    differ = 2 * n * (100 - percent) / (100 + percent)
+    bits = np.full(len(n), 64.0)
+    for _ in range(40):
+        spread = np.minimum(np.sqrt(bits) / 2, 2 * n * np.sqrt(2 / bits))
+        bits = np.where(bits / 2 * (1 - np.exp(-4 * n / bits)) < differ + 4 * spread, 2 * bits, bits)
+    target = np.minimum(width, np.minimum(bits, 1 << 30).astype(np.int64) >> 6)
+    ends = np.concatenate([[0], np.cumsum(target)])
+    out = np.zeros(int(ends[-1]), dtype=np.int64)
+    for w, t in {*zip(width.tolist(), target.tolist())}:
+        rows = np.flatnonzero((width == w) & (target == t))
+        whole = words_[start[rows][:, None] + np.arange(w)].reshape(len(rows), w // t, t)
+        out[ends[rows][:, None] + np.arange(t)] = np.bitwise_xor.reduce(whole, axis=1)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
+
+
+class _Regions:
+    """Members of regions as arrays, ordered by region and node."""
+
+    def __init__(self, region: np.ndarray, node, n, place, component, sketch: pa.ListArray, common: int, percent: int):
+        order = np.lexsort((node, region))
+        self.region, self.node, self.n, self.place, self.component = (c[order] for c in (region, node, n, place, component))
+        offsets = sketch.offsets.to_numpy().astype(np.int64)
+        self.words = sketch.flatten().to_numpy().view(np.uint64)
+        self.start, self.width = (offsets[:-1] - offsets[0])[order], np.diff(offsets)[order]
+        self.common, self.percent = common, percent
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of members of different components sizes, places and sketches allow a link."""
+        n, m = self.n[a], self.n[b]
+        need = -(-self.percent * (n + m) // (100 + self.percent))
+        ok = np.minimum(n - self.place[a], m - self.place[b]) + self.common >= need
+        ok &= (self.component[a] != self.component[b]) & (np.maximum(n, m) * self.percent <= np.minimum(n, m) * 100)
+        at = np.flatnonzero(ok)
+        width = np.minimum(self.width[a[at]], self.width[b[at]])
+        for w in np.unique(width):
+            rows = at[width == w]
+            for part in np.array_split(rows, -(-len(rows) // COMPARED)):
+                differ = np.bitwise_count(self._folded(a[part], w) ^ self._folded(b[part], w)).sum(axis=1, dtype=np.int64)
+                ok[part] = differ <= n[part] + m[part] - 2 * need[part]
+        return ok
+
+    def _folded(self, x: np.ndarray, width: int) -> np.ndarray:
+        """Sketches in so many words. A larger one is the exclusive or of its parts: the parity of a union of bits is that of their sum."""
+        at = self.start[x][:, None] + np.arange(width)
+        out = self.words[at]
+        for k in range(1, int(self.width[x].max()) // int(width)):
+            more = np.flatnonzero(self.width[x] > k * width)
+            out[more] ^= self.words[at[more] + k * width]
+        return out
+
+    def pairs(self, steps: bool) -> np.ndarray:
+        """Each pair once, smaller node first: of all members, or of each with the first and the last of its region."""
+        every = np.arange(len(self.node))
+        starts = np.flatnonzero(np.concatenate([[True], self.region[1:] != self.region[:-1]]))[: len(every)]
+        ends = np.append(starts[1:], len(every))
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        if steps:
+            tried = ((a, a + step) for step in range(1, int((ends - starts).max(initial=1))) for a in [every[: len(every) - step]])
+            tried = ((a[same], b[same]) for a, b in tried for same in [self.region[a] == self.region[b]])
+        else:
+            own = np.repeat(np.arange(len(starts)), ends - starts)
+            tried = ((pivot[own], every) for pivot in (starts, ends - 1))
+        for a, b in tried:
+            ok = self.near(a, b)
+            found.append(np.stack([self.node[a[ok]], self.node[b[ok]]]))
+        return np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
 
 
 def _small_pairs(members: DataFrame, stars: bool, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of small regions that sizes, places and small sketches allow: of each set with the region's first and
+    """Pairs ``a, b`` of small regions that sizes, places and sketches allow: of each set with the region's first and
     last, or of all sets of different components."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
-            size = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten()
-            node, n, place, component, m0, m1 = (flat.field(k).to_numpy() for k in range(6))
-            region = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((node, region))
-            node, n, place, component = (c[order] for c in (node, n, place, component))
-            m0, m1 = m0[order].view(np.uint64), m1[order].view(np.uint64)
-            ends = np.cumsum(size)
-            found = []
-
-            def check(a: np.ndarray, b: np.ndarray) -> None:
-                need = -(-percent * (n[a] + n[b]) // (100 + percent))
-                differ = np.bitwise_count(m0[a] ^ m0[b]).astype(np.int64) + np.bitwise_count(m1[a] ^ m1[b])  # unsigned
-                ok = np.minimum(n[a] - place[a], n[b] - place[b]) >= need
-                ok &= (differ <= n[a] + n[b] - 2 * need) & (component[a] != component[b])
-                found.append(np.stack([node[a][ok], node[b][ok]]))
-
-            every = np.arange(len(node))
-            if stars:
-                for pivot in ((ends - size)[region], (ends - 1)[region]):
-                    check(pivot, every)
-            else:
-                for step in range(1, int(size.max()) if len(size) else 0):
-                    a = every[: len(every) - step]
-                    a = a[region[a] == region[a + step]]
-                    check(a, a + step)
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-            pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+            region = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            node, n, place, component = (flat.field(k).to_numpy() for k in range(4))
+            pairs = _Regions(region, node, n, place, component, flat.field(4), 0, percent).pairs(steps=not stars)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    lists = members.groupBy("key").agg(F.collect_list(F.struct("node", "n", "place", "component", "m0", "m1")).alias("members"))
-    return lists.select("members").mapInArrow(emit, "a long, b long")
+    lists = members.groupBy("key").agg(F.collect_list(F.struct(*_MEMBER)).alias("members"))
+    return lists.select("members").mapInArrow(emit, _PAIR)
+
+
+def _region_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of sets of different components in regions of bounded size; the key stands for ``depth`` common shingles."""
 
+    def emit(region: pa.Table) -> pa.Table:
+        region = region.combine_chunks()
+        node, n, place, component = (region[c].to_numpy() for c in _MEMBER[:4])
+        sketch = region["sketch"].chunk(0)
+        pairs = _Regions(np.zeros(len(node), dtype=np.int64), node, n, place, component, sketch, depth - 1, percent).pairs(steps=True)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
-def _with_pivots(members: DataFrame) -> DataFrame:
-    """Members of regions with the region's two document pivots."""
-    pick = F.struct("node", "n", "place", "m0", "m1")
-    pivots = members.groupBy("key").agg(F.min(pick).alias("one"), F.min_by(pick, F.xxhash64("node", "key")).alias("two"))
-    return members.select("key", "node", "n", "place", "m0", "m1", "sets").join(pivots, "key")
+    return members.select("key", *_MEMBER).groupBy("key").applyInArrow(emit, _PAIR)
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that sizes and sketches allow."""
+    """Pairs ``a, b`` that the whole sketches allow."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100)
-        .where(_near_sketches(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), percent))
-        .select("a", "b")
-    )
+    near = _near_sketches(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), percent)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
 
 
 def _star_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
-    """Each set with the two pivots of each of its regions, where sizes and places allow a link."""
-    pivot = F.explode(F.array("one", "two"))
+    """Each set with two documents of each of its regions, the region's pivots, where sizes, places and sketches allow a link."""
+    pick = F.struct("node", "n", "place", "sketch")
+    pivots = members.groupBy("key").agg(F.min_by(pick, "node").alias("one"), F.min_by(pick, F.xxhash64("node", "key")).alias("two"))
+    pivots = pivots.select("key", F.explode(F.array("one", "two")).alias("p"))
     return (
-        members.select("node", "n", "place", "m0", "m1", pivot.alias("p"))
+        members.select("key", "node", "n", "place", "sketch")
+        .join(pivots, "key")
         .where(
             (F.col("node") != F.col("p.node"))
-            & _near_small(("m0", "m1"), ("p.m0", "p.m1"), F.col("n"), F.col("p.n"), percent)
+            & (F.greatest("n", "p.n") * percent <= F.least("n", "p.n") * 100)
             & _may_link(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"), F.lit(depth - 1), percent)
+            & _near_sketches(F.col("sketch"), F.col("p.sketch"), F.col("n"), F.col("p.n"), percent)
         )
         .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
         .distinct()
@@ -382,29 +440,29 @@ def _star_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
 
 def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
     """Members, with their component, of regions that hold more than one component."""
-    told = members.join(reached, "node", "left").select(
-        "key", "node", "n", "place", "m0", "m1", "sets", F.coalesce("component", "node").alias("component")
-    )
+    told = members.drop("component").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = told.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return told.join(mixed.select("key"), "key")
+    return told.join(mixed.select("key"), "key").select("key", "sets", *_MEMBER)
 
 
 def _cross_pairs(members: DataFrame, depth: int, percent: int) -> DataFrame:
-    """Pairs of sets of different components of a region, where a link is possible.
+    """Pairs of sets of different components of a region of any size, where a link is possible.
 
     Sets meet in bands of size as well: linked sizes lie in the same band or in the next, so the smaller set goes to
     its own band and to the one above.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9)
-    left = members.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("ix"), F.col("component").alias("cx"), F.col("m0").alias("x0"), F.col("m1").alias("x1"), F.explode(F.array(band, band + 1)).alias("band"))
-    right = members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("iy"), F.col("component").alias("cy"), F.col("m0").alias("y0"), F.col("m1").alias("y1"), band.alias("band"))
-    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    side = lambda c: [F.col(m).alias(f"{m}_{c}") for m in _MEMBER]
+    left = members.select("key", *side("x"), F.explode(F.array(band, band + 1)).alias("band"))
+    right = members.select("key", *side("y"), band.alias("band"))
+    smaller = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y")))
     return (
         left.join(right, ["key", "band"])
-        .where(_near_small(("x0", "x1"), ("y0", "y1"), F.col("nx"), F.col("ny"), percent))
-        .where((F.col("cx") != F.col("cy")) & smaller & _may_link(F.col("nx"), F.col("ix"), F.col("ny"), F.col("iy"), F.lit(depth - 1), percent))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+        .where((F.col("component_x") != F.col("component_y")) & smaller)
+        .where(_may_link(F.col("n_x"), F.col("place_x"), F.col("n_y"), F.col("place_y"), F.lit(depth - 1), percent))
+        .where(F.greatest("n_x", "n_y") * percent <= F.least("n_x", "n_y") * 100)
+        .where(_near_sketches(F.col("sketch_x"), F.col("sketch_y"), F.col("n_x"), F.col("n_y"), percent))
+        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     )
 
 
@@ -418,13 +476,13 @@ def _cut_again(members: DataFrame, classes: DataFrame, depth: int, percent: int)
     window = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 + depth
     more = (
         members.where(enough)
-        .select("key", "node", "n", "place", "m0", "m1")
+        .select("key", "node", "n", "place", "sketch")
         .join(classes.select("node", "prefix"), "node")
-        .select("key", "node", "n", "m0", "m1", F.col("place").alias("last"), F.posexplode("prefix").alias("place", "next"))
+        .select("key", "node", "n", "sketch", F.col("place").alias("last"), F.posexplode("prefix").alias("place", "next"))
         .where((F.col("place") > F.col("last")) & (F.col("place") < window))
-        .select(F.xxhash64("key", "next").alias("key"), "node", "n", "place", "m0", "m1")
+        .select(F.xxhash64("key", "next").alias("key"), "node", "n", "place", "sketch")
     )
-    few = members.where(~enough).select(F.xxhash64("key", F.lit("few")).alias("key"), "node", "n", "place", "m0", "m1")
+    few = members.where(~enough).select(F.xxhash64("key", F.lit("few")).alias("key"), "node", "n", "place", "sketch")
     return more.unionByName(few)
 
 
@@ -434,7 +492,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, pe
     Only documents of candidate pairs are turned into sets again: a bounded filter of their rows travels to the scan, so texts
     do not move.
     """
-    pairs = written(pairs, "pairs")
+    pairs = written(_with_sketches(pairs, classes, percent), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = blocked_filter(classes.join(nodes, "node").select(F.xxhash64("best.doc_id", "best.tag").alias("row")))
 
