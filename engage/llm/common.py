@@ -33,6 +33,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name like the given one that no column of the table has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words of the whole text as bigint; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
