@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from engage.llm.common import word_count
+from engage.llm.common import free_name, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -193,16 +193,18 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
 
     The rows' texts move once, to the decisions on them, which are made without texts.
     """
+    plain = docs.select("doc_id", "source", "text")
     tag = F.xxhash64("text", "source")
     taken = (
-        mix(docs.withColumn("_tag", tag), keep=("doc_id", "_tag"), **options)
+        mix(plain.withColumn("_tag", tag), keep=("doc_id", "_tag"), **options)
         .groupBy("doc_id", "_tag")
-        .agg(F.sum("copies").cast("int").alias("_times"))
-        .where("_times > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_of"), "_times")
+        .agg(F.sum("copies").cast("int").alias("times"))
+        .where("times > 0")
     )
-    rows = docs.withColumn("_tag", tag)
-    met = rows.join(taken, F.equal_null("doc_id", F.col("_id")) & (F.col("_tag") == F.col("_of")))
+    own_tag, own_id, times = (free_name(docs, name) for name in ("_tag", "_id", "_times"))
+    taken = taken.select(F.col("doc_id").alias(own_id), F.col("_tag").alias(f"{own_tag}_of"), F.col("times").alias(times))
+    rows = docs.withColumn(own_tag, tag)
+    met = rows.join(taken, F.equal_null("doc_id", F.col(own_id)) & (F.col(own_tag) == F.col(f"{own_tag}_of")))
     # Repeated rows were counted together.
-    once = met.dropDuplicates(["doc_id", "_tag"])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    once = met.dropDuplicates(["doc_id", own_tag])
+    return once.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

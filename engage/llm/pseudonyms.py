@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from engage.llm.common import free_name
+
 ROUNDS = 8
-KEY = "engage-pseudonyms"
 HALF = 12  # symbols of a half; 26 ** 12 fits into a bigint
 
 # Each kind's pattern; a value belongs to the first kind that matches at its place. Octets, months, days and, below, Luhn
@@ -24,7 +25,7 @@ _SECRET = (
     r"|(?<![A-Za-z0-9_])(?i:password|passwd|pwd|secret|token|api_?key)[ \t]?[=:][ \t]?[\"']?[A-Za-z0-9+/_-]{6,}"
     r"|(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"
 )
-_ADDRESS = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
+_ADDRESS = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 _DATE = (
     r"(?<![\d/.-])(?:[12]\d{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
     r"|(?:0[1-9]|[12]\d|3[01])[./](?:0[1-9]|1[0-2])[./][12]\d{3})(?![\d/-]|\.\d)"
@@ -35,6 +36,7 @@ _PHONE = (
 )
 _SOCIAL = r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"
 _CARD = r"(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-])"  # or several numbers in a row, one of which may be a card's
+_HEX_DIGITS = r"\A[0-9]{32,64}\z"  # a hexadecimal key that happens to have no letters
 PATTERN = "|".join([_EMAIL, _SECRET, _ADDRESS, _DATE, _PHONE, _SOCIAL, _CARD])
 # Texts without any of these cannot hold a value.
 TRIGGER = r"[0-9@]|AKIA|ASIA|[a-f]{32}|(?i:password|passwd|pwd|secret|token|api)"
@@ -210,37 +212,81 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, v: a + v)
 
 
-def holds_no_card(value: Column) -> Column:
-    """Whether a found value is a run of numbers of which no 13 to 19 digits in whole groups have a Luhn sum that is valid."""
-    parts = F.split(value, "[ -]")
-    digits = lambda text: F.regexp_extract_all(text, F.lit("([0-9])"), F.lit(1))
-    valid = lambda text: F.length(text).between(13, 19) & (F.pmod(luhn_sum(digits(text)), F.lit(10)) == 0)
-
-    def any_valid(groups: Column) -> Column:
-        lengths = lambda i: F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1))
-        return F.exists(
-            F.sequence(F.lit(1), F.size(groups)),
-            lambda i: F.exists(lengths(i), lambda k: _bind(F.array_join(F.slice(groups, i, k), ""), valid)),
-        )
+def _digits(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("([0-9])"), F.lit(1))
+
+
+def _valid(number: Column) -> Column:
+    return F.length(number).between(13, 19) & (F.pmod(luhn_sum(_digits(number)), F.lit(10)) == 0)
+
+
+def _joined(groups: Column, i: Column, k: Column) -> Column:
+    return F.array_join(F.slice(groups, i, k), "")
+
 
-    numbers = value.rlike(rf"\A(?:{_CARD})\z") & ~value.rlike(r"\A[0-9]{32,64}\z")  # the latter is a hexadecimal key
-    return F.when(numbers, ~_bind(parts, any_valid)).otherwise(F.lit(False))
+def _card_groups(groups: Column, i: Column, usual: bool) -> Column:
+    """How many groups from the i-th on are a card's number, 0 if none is: one group, or the usual groupings (4-4-4-4, 4-6-5, and
+    4-4-4-4-3); else (``usual`` false) any groups, 16 and 15 digits before other lengths, longer ones first."""
+    sizes = lambda k: F.array_join(F.transform(F.slice(groups, i, k), lambda g: F.length(g).cast("string")), "-")
+    plain = lambda k: (k == 1) | sizes(k).isin("4-4-4-4", "4-6-5", "4-4-4-4-3")
+    lengths = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1))
+    fit = F.filter(lengths, lambda k: plain(k) & _bind(_joined(groups, i, k), _valid) if usual else _bind(_joined(groups, i, k), _valid))
 
+    def place(k: Column) -> Column:
+        n = F.length(_joined(groups, i, k))
+        return F.struct(F.when(n == 16, 0).when(n == 15, 1).otherwise(32 - n).alias("p"), k.alias("k"))
 
-def _card(value: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last is set so that the Luhn remainder stays (0 for a valid number)."""
-    body, check = F.substring(value, F.lit(1), F.length(value) - 1), F.substring(value, -1, 1)
-    digits = lambda text: F.regexp_extract_all(text, F.lit("([0-9])"), F.lit(1))
+    return F.coalesce(F.array_min(F.transform(fit, place))["k"], F.lit(0))
+
+
+def _card_at(groups: Column, i: Column) -> Column:
+    """Groups of the card that starts at the i-th; an unusual grouping gives way to a usual one that starts within it."""
+    within = lambda k: F.exists(F.sequence(i + 1, i + k), lambda j: (j < i + k) & (_card_groups(groups, j, True) > 0))
+    other = _bind(_card_groups(groups, i, False), lambda k: F.when((k > 1) & within(k), 0).otherwise(k))
+    return _bind(_card_groups(groups, i, True), lambda k: F.when(k > 0, k).otherwise(other))
+
+
+def holds_no_card(value: Column) -> Column:
+    """Whether a found value is a run of numbers of which no 13 to 19 digits in whole groups have a Luhn sum that is valid."""
+    any_valid = lambda groups: F.exists(F.sequence(F.lit(1), F.size(groups)), lambda i: _card_groups(groups, i, False) > 0)
+    numbers = value.rlike(rf"\A(?:{_CARD})\z") & ~value.rlike(_HEX_DIGITS)
+    return F.when(numbers, ~_bind(F.split(value, "[ -]"), any_valid)).otherwise(F.lit(False))
+
+
+def _card(number: Column, key: str) -> Column:
+    """All digits but the last are permuted; the last is set so that the Luhn sum stays valid."""
+    body = F.substring(number, F.lit(1), F.length(number) - 1)
+    check = lambda new: F.pmod(-luhn_sum(F.concat(_digits(new), F.array(F.lit("0")))), F.lit(10)).cast("string")
+    return _bind(permute_symbols(body, key, "card"), lambda new: F.concat(new, check(new)))
+
+
+def _cards(value: Column, key: str) -> Column:
+    """A run of numbers with each card in it replaced, digit for digit; other numbers and what parts the groups stay."""
+
+    def read(run: Column) -> Column:
+        groups, gaps = run["groups"], run["gaps"]
+
+        def step(state: Column, i: Column) -> Column:
+            group = F.element_at(groups, i)
+            gap = F.when(i > 1, F.get(gaps, i - 2)).otherwise("")
+            card = lambda k: F.when(k > 0, _card(_joined(groups, i, F.greatest(k, F.lit(1))), key)).otherwise("")
+            found = F.when(state["left"] != "", state["left"]).otherwise(_bind(_card_at(groups, i), card))
+            return _bind(
+                found,
+                lambda new: F.struct(
+                    F.concat(state["out"], gap, F.when(new != "", F.substring(new, F.lit(1), F.length(group))).otherwise(group)).alias("out"),
+                    F.substring(new, F.length(group) + 1, F.lit(19)).alias("left"),
+                ),
+            )
 
-    def rebuilt(new: Column) -> Column:
-        old_sum = luhn_sum(F.concat(digits(body), F.array(F.lit("0"))))
-        new_sum = luhn_sum(F.concat(digits(new), F.array(F.lit("0"))))
-        return F.concat(new, F.pmod(check.cast("int") + old_sum - new_sum, F.lit(10)).cast("string"))
+        start = F.struct(F.lit("").alias("out"), F.lit("").alias("left"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: state["out"])
 
-    return _bind(permute_symbols(body, key, "card"), rebuilt)
+    run = F.struct(F.split(value, "[ -]").alias("groups"), F.regexp_extract_all(value, F.lit("([ -])"), F.lit(1)).alias("gaps"))
+    return _bind(run, read)
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
+def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one found value, by its kind."""
     whole = lambda pattern: value.rlike(rf"\A(?:{pattern})\z")
     name = F.regexp_extract(value, r"\A(?:AKIA|ASIA|[A-Za-z_]+[ \t]?[=:][ \t]?[\"']?)", 0)
@@ -254,29 +300,31 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
         .when(whole(_DATE), _date(value, key))
         .when(whole(_PHONE), phone)
         .when(whole(_SOCIAL), permute_symbols(value, key, "social"))
-        .when(whole(_CARD), _card(value, key))
+        .when(whole(_CARD) & ~value.rlike(_HEX_DIGITS), _cards(value, key))
         .otherwise(permute_symbols(value, key, "number"))
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and the number of replaced values in ``n_replaced`` (bigint).
 
     Values are e-mail and network addresses, telephone, card and social security numbers, calendar dates, and secrets
     (access keys, passwords, long hexadecimal keys). Whole texts are searched, however long. A null text stays null and counts
-    0, an empty one stays empty; numbers of 13 or more digits stay unless 13 to 19 of them, in whole groups, pass the Luhn check; repeated rows get equal results; other columns and null ids pass through. A column
+    0, an empty one stays empty; numbers of 13 or more digits stay, but for those 13 to 19 of them, in whole groups, that pass the Luhn
+    check: these alone are replaced, and alike wherever they stand; repeated rows get equal results; other columns and null ids pass through. A column
     ``n_replaced`` of ``docs`` is replaced. No shuffle: one pass of map-side functions; the Feistel rounds run for found
     values only.
     """
     text = F.col("text")
     found = F.when(text.rlike(TRIGGER), F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)))
-    marked = docs.withColumn("_found", found)
+    own = free_name(docs, "_found")
+    marked = docs.withColumn(own, found)
 
     def woven() -> Column:
-        new = F.transform(F.col("_found"), lambda v: F.when(holds_no_card(v), v).otherwise(pseudonym(v, key)))
+        new = F.transform(F.col(own), lambda v: F.when(holds_no_card(v), v).otherwise(pseudonym(v, key)))
         return F.array_join(
             F.zip_with(F.split(text, PATTERN, -1), new, lambda piece, v: F.concat(piece, F.coalesce(v, F.lit("")))), ""
         )
 
-    n = F.coalesce(F.greatest(F.size(F.filter("_found", lambda v: ~holds_no_card(v))), F.lit(0)), F.lit(0)).cast("long")
-    return marked.withColumns({"text": F.when(F.size("_found") > 0, woven()).otherwise(text), "n_replaced": n}).drop("_found")
+    n = F.coalesce(F.greatest(F.size(F.filter(own, lambda v: ~holds_no_card(v))), F.lit(0)), F.lit(0)).cast("long")
+    return marked.withColumns({"text": F.when(F.size(own) > 0, woven()).otherwise(text), "n_replaced": n}).drop(own)

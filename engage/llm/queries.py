@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from engage.llm import alignment, forest, jaccard, langid, mixing, packing, pseudonyms, ranked, sketches, substrings, toxicity, transducer, urls
 from engage.llm.common import table
 
+PSEUDONYM_KEY = "registered query"  # whoever uses the operator passes a secret of their own
 # Fixed values of the URL list: host, path, action.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -52,7 +53,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by pseudonyms."""
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", "n_replaced")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

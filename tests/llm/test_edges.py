@@ -12,7 +12,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use for columns of their own.
 CLASHES = (
     "n size tag pos doc key node start length copies target source_size component label n_replaced lang_pred lang_score "
-    "predicted fingerprint hashes place best sets kept found vector block"
+    "predicted _found _guess _logit _lang _own _id _tag _copy _times fingerprint hashes place best sets kept found vector block"
 ).split()
 LONG = " ".join(f"wort{i % 977} der die und" for i in range(30_000))
 ROWS = [
@@ -50,7 +50,7 @@ def test_packing(docs):
 
 
 def test_pseudonyms(docs):
-    out = pseudonyms.pseudonymise(docs)
+    out = pseudonyms.pseudonymise(docs, "key")
     assert out.count() == docs.count()
     assert out.where("text IS NULL").count() == docs.where("text IS NULL").count()
     assert not [r for r in out.collect() if r.text and "a.b@example.org" in r.text]

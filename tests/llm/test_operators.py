@@ -191,7 +191,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
     hosts = [f"{1 + i % 200}.{i % 256}.{i * 7 % 256}.{i * 3 % 256}" for i in range(300)]
     phones = [f"+1 ({200 + i}) 555-{1000 + i}" for i in range(300)]
     rows = [(i, f"see {m}, pay {c} on {d} from {h} or call {p}; again {m}") for i, (m, c, d, h, p) in enumerate(zip(mails, cards, dates, hosts, phones))]
-    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").orderBy("doc_id").collect()
     shape = __import__("re").compile(
         r"see (\S+@\S+\.com), pay (\d{16}) on (\d{4}-\d\d-\d\d) from (\d+\.\d+\.\d+\.\d+) or call (\+1 \(\d{3}\) \d{3}-\d{4}); again (\S+)"
     )
@@ -224,8 +224,8 @@ def test_feistel_is_one_to_one(spark):
 
 
 def test_clean_texts_stay(spark):
-    rows = [(1, "Version 2.0. of 3.14 in 1999, chapter 12-13 and CC BY-NC 4.0"), (2, "plain words")]
-    assert [r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == [t for _, t in rows]
+    rows = [(1, "Version 2.0. of 3.14 in 1999, chapter 12-13 and CC BY-NC 4.0"), (2, "plain words"), (3, "release v1.2.3.4 of 2027")]
+    assert [r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").orderBy("doc_id").collect()] == [t for _, t in rows]
 
 
 def test_keys_without_digits_and_numbers_that_are_no_cards(spark):
@@ -235,11 +235,37 @@ def test_keys_without_digits_and_numbers_that_are_no_cards(spark):
         (6, "card 4111-1111-1111-1111", 1), (7, "order 4111111111111112", 0), (8, "hash " + "12345678" * 4, 1), (9, None, 0),
     ]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
-    for got, (_, text, n) in zip(pseudonyms.pseudonymise(docs).orderBy("doc_id").collect(), rows):
+    for got, (_, text, n) in zip(pseudonyms.pseudonymise(docs, "key").orderBy("doc_id").collect(), rows):
         assert (got.n_replaced, got.text != text) == (n, n > 0), text
         assert "4111 1111 1111 1111" not in (got.text or "")
 
 
+def test_a_card_has_one_pseudonym_wherever_it_stands(spark):
+    r = random.Random(4)
+    cards = []
+    for size in (13, 15, 16, 16, 16, 19) * 4:
+        body = "".join(r.choices("0123456789", k=size - 1))
+        cards.append(body + next(d for d in "0123456789" if luhn(body + d)))
+    other = next(c for c in (f"{n:016d}" for n in range(4 * 10**15, 5 * 10**15)) if luhn(c))
+    forms = ["{0}", "{0} 2027", "order 12 {0}", "in 7 {0} 31", "{0}-9", "{0} {1}", "{1} 5 {0}", "{0}."]
+    grouped = {13: [], 15: [(0, 4, 10, 15)], 16: [(0, 4, 8, 12, 16)], 19: [(0, 4, 8, 12, 16, 19)]}
+    rows, wanted = [], []
+    for card in cards:
+        spellings = [card] + [gap.join(card[a:b] for a, b in zip(cut, cut[1:])) for cut in grouped[len(card)] for gap in " -"]
+        for spelling in spellings:
+            for form in forms if spelling == card or len(card) != 19 else forms[:1]:
+                rows.append((len(rows), form.format(spelling, other)))
+                wanted.append((form, spelling, card))
+    out = pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").orderBy("doc_id").collect()
+    new = {text: row.text for row, (_, text) in zip(out, rows)}
+    assert len({new[c] for c in cards}) == len(cards) and all(luhn(new[c]) and len(new[c]) == len(c) and new[c] != c for c in cards)
+    other_new = next(row.text.split()[1] for row, (form, spelling, card) in zip(out, wanted) if form == "{0} {1}" and spelling == card)
+    for row, (form, spelling, card) in zip(out, wanted):
+        digits = iter(new[card])
+        shown = "".join(next(digits) if c.isdigit() else c for c in spelling)
+        assert row.text == form.format(shown, other_new) and row.n_replaced == 1
+
+
 # --- op4 ---
 def test_packing_is_a_round_trip(spark, data_dir, documents):
     from public_tokenizers import path
