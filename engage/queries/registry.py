@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from engage.queries import attribution, reports, social, users
+from engage.queries import attribution, ranges, reports, social, users
 from engage.session import configure
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,6 @@ def _configured(run: QueryFn) -> QueryFn:
     return wrapped
 
 
-_ALL = {**attribution.QUERIES, **users.QUERIES, **social.QUERIES, **reports.QUERIES}
+_ALL = {**attribution.QUERIES, **users.QUERIES, **ranges.QUERIES, **social.QUERIES, **reports.QUERIES}
 QUERIES: dict[str, QueryFn] = {name: _configured(run) for name, (run, _) in _ALL.items()}
 ORACLE: dict[str, str] = {name: sql.strip() for name, (_, sql) in _ALL.items()}
