@@ -47,7 +47,8 @@ def sync(spark: SparkSession, args: argparse.Namespace) -> None:
 def locations(spark: SparkSession, args: argparse.Namespace) -> None:
     users = _users(spark, args)
     responses = _landed(spark, args, args.responses, S.GEO_RESPONSE)
-    print("addresses located:", jobs.update_locations(users, responses, force=args.force))
+    ranges = spark.table(args.ranges) if args.ranges else None
+    print("addresses located:", jobs.update_locations(users, responses, force=args.force, ranges=ranges))
     E.coverage(users.read()).show()
 
 
@@ -140,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
     users_of(sub)
     sub.add_argument("--responses", required=True)
     sub.add_argument("--force", action="store_true", help="locate all addresses again")
+    sub.add_argument("--ranges", help="table of networks with their location, for addresses that no provider located")
 
     sub = command(attribution, "marketing attribution and engagement")
     users_of(sub)

@@ -41,6 +41,14 @@ def network_bounds(network: Column) -> Column:
     return F.struct(first.alias("first"), (first + size - 1).alias("last"))
 
 
+def with_bounds(ranges: DataFrame) -> DataFrame:
+    """``ranges`` with ``first`` and ``last``; where it has a column ``network`` they are made from that."""
+    if "network" not in ranges.columns:
+        return ranges
+    bounds = network_bounds(F.col("network"))
+    return ranges.withColumns({"first": bounds["first"], "last": bounds["last"]})
+
+
 def _blocks(first: Column, last: Column) -> Column:
     """The aligned blocks, as start and size in bits, that together are the range. Of each size below a bucket there are at most
     two: one that ends where a block of twice the size may begin, one that starts where such a block must end."""

@@ -16,6 +16,7 @@ from engage.operators import enrich as E
 from engage.operators.activity import activity_status
 from engage.operators.flatten import flatten_posts, flatten_short_videos, flatten_tweets, flatten_users, flatten_videos
 from engage.operators.latest import last_login, modified_since, newer_than, recent_logins, watermark
+from engage.operators.ranges import locate_by_ranges, with_bounds
 from engage.operators.reports import unpack_report
 from engage.plans.steps import Table, optional, required, stage, staged_source, staging, update, updated, upsert, upserted
 from engage.sources.bucketed import BucketedTable, ddl_of
@@ -39,12 +40,23 @@ def modified_users(users: DataFrame, pages: DataFrame, modified_ms: str | None =
 
 
 def new_locations(
-    users: DataFrame, responses: DataFrame, order: list[str], limit: int | None = None, force: bool = False
+    users: DataFrame,
+    responses: DataFrame,
+    order: list[str],
+    limit: int | None = None,
+    force: bool = False,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
-    """Best location per address that users still lack; a ``limit`` counts addresses that have one."""
+    """Best location per address that users still lack; a ``limit`` counts addresses that have one.
+
+    ``ranges`` (``network``, or ``first`` and ``last``, and the location columns) locates addresses that no provider located.
+    """
     wanted = E.addresses_to_enrich(users, force=force)
     relevant = responses.join(wanted, responses["ip"] == wanted["last_login_ip"], "left_semi")
-    best = E.first_location(E.normalize_locations(relevant), order)
+    found = E.normalize_locations(relevant)
+    if ranges is not None:
+        found, order = found.unionByName(locate_by_ranges(wanted, with_bounds(ranges))), [*order, "ranges"]
+    best = E.first_location(found, order)
     return best if limit is None else best.orderBy("ip").limit(limit)
 
 
@@ -72,12 +84,13 @@ def update_locations(
     order: list[str] = E.BULK_ORDER,
     limit: int | None = None,
     force: bool = False,
+    ranges: DataFrame | None = None,
 ) -> int:
     """Locations of the addresses that lack one (``force``: of all addresses), copied to every user of the address."""
     with staging():
         base = users.head() if isinstance(users, BucketedTable) else users.state()
         known = evolve(users.read(), [*S.USER_LOGIN, *S.USER_GEO])
-        best, located = staged_source(new_locations(known, responses, order, limit, force), "locations")
+        best, located = staged_source(new_locations(known, responses, order, limit, force, ranges), "locations")
         if not located:
             return 0
         if isinstance(users, BucketedTable):

@@ -411,6 +411,12 @@ def test_command_line(spark, new_table, tmp_path, data_dir, capsys):
     assert "'users_synced': 2" in capsys.readouterr().out
     main(["locations", "--users", "users_cli", "--force", paths[2]])
     assert "addresses located: 1" in capsys.readouterr().out
+    networks = spark.createDataFrame([("1.1.0.0/16", "Bonn", "", "Germany", "D")], "network string, " + ", ".join(f"{c} string" for c in jobs.E.LOCATION))
+    networks.createOrReplaceTempView("cli_networks")
+    (tmp_path / "none").mkdir()
+    main(["locations", "--users", "users_cli", "--force", f"--responses={tmp_path}/none", "--ranges", "cli_networks"])
+    assert "addresses located: 1" in capsys.readouterr().out
+    assert users.read().where("last_login_city = 'Bonn'").count() == 1
     events = str(tmp_path / "cli-events")
     shards = ga_events(spark, data_dir).withColumn("dt", F.to_date(F.timestamp_micros("event_timestamp")))
     shards.write.partitionBy("dt").parquet(events)

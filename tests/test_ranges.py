@@ -6,7 +6,9 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from engage.operators.enrich import BULK_ORDER, LOCATION
 from engage.operators.ranges import address_number, address_text, locate_by_ranges, network_bounds
+from engage.plans.jobs import new_locations
 
 TOP = 2**32 - 1
 
@@ -79,3 +81,19 @@ def test_empty_tables_and_other_columns(spark):
 
 def test_no_join_in_the_plan(spark):
     assert "Join" not in plan(located(spark, [1], [(0, 9, "a")])) and "Cartesian" not in plan(located(spark, [1], [(0, 9, "a")]))
+
+
+def test_ranges_locate_what_no_provider_located(spark):
+    users = spark.createDataFrame(
+        [("1.1.1.1", None), ("2.2.2.2", None), ("2.2.2.2", None), ("3.3.3.3", "x"), ("200.1.1.1", None), (None, None)],
+        "last_login_ip string, last_login_city string",
+    )
+    body = '{"status":"success","city":"Berlin","country":"Germany","countryCode":"D"}'
+    failed = '{"status":"fail"}'
+    responses = [("1.1.1.1", "ip-api.com", body), ("2.2.2.2", "ip-api.com", failed)]
+    responses = spark.createDataFrame(responses, "ip string, provider string, body string")
+    fields = ", ".join(f"{name} string" for name in ["network", *LOCATION])
+    networks = spark.createDataFrame([("0.0.0.0/1", "Wide", "r", "n", "c"), ("2.2.0.0/16", "Near", "r", "n", "c"), ("bad", "B", "", "", "")], fields)
+    got = new_locations(users, responses, BULK_ORDER, ranges=networks)
+    want = [("1.1.1.1", "Berlin", "ip-api.com"), ("2.2.2.2", "Near", "ranges")]
+    assert rows(got.select("ip", "city", "source")) == want
