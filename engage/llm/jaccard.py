@@ -283,7 +283,8 @@ def _joined(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
 _POSTING = "key long, node long, n long, place long, component long, sketch array<long>"
 _PAIR = "a long, b long"
 _MEMBER = ["node", "n", "place", "component", "sketch"]
-COMPARED = 1 << 15  # pairs whose sketches are compared at once
+COMPARED = 1 << 18  # words of sketches that are compared at once
+MEMBERS = 1 << 13  # members of small regions that are paired at once
 
 
 def _postings(classes: DataFrame, table: np.ndarray, percent: int, whole: bool = False) -> DataFrame:
@@ -350,7 +351,7 @@ class _Regions:
         width = np.minimum(self.width[a[at]], self.width[b[at]])
         for w in np.unique(width):
             rows = at[width == w]
-            for part in np.array_split(rows, -(-len(rows) // COMPARED)):
+            for part in np.array_split(rows, -(-len(rows) * int(w) // COMPARED)):
                 differ = np.bitwise_count(self._folded(a[part], w) ^ self._folded(b[part], w)).sum(axis=1, dtype=np.int64)
                 ok[part] = differ <= n[part] + m[part] - 2 * need[part]
         return ok
@@ -379,7 +380,11 @@ class _Regions:
         for a, b in tried:
             ok = self.near(a, b)
             found.append(np.stack([self.node[a[ok]], self.node[b[ok]]]))
-        return np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        pairs = np.sort(np.concatenate(found, axis=1), axis=0)
+        pairs = pairs[:, np.lexsort(pairs[::-1])]
+        fresh = np.ones(pairs.shape[1], dtype=bool)
+        fresh[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+        return pairs[:, fresh]
 
 
 def _small_pairs(members: DataFrame, stars: bool, percent: int) -> DataFrame:
@@ -388,12 +393,16 @@ def _small_pairs(members: DataFrame, stars: bool, percent: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(0)
-            flat = lists.flatten()
-            region = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            node, n, place, component = (flat.field(k).to_numpy() for k in range(4))
-            pairs = _Regions(region, node, n, place, component, flat.field(4), 0, percent).pairs(steps=not stars)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            offsets, first = batch.column(0).offsets.to_numpy(), 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + MEMBERS, side="right")) - 1)
+                lists = batch.column(0).slice(first, last - first)
+                flat = lists.flatten()
+                region = np.repeat(np.arange(last - first), np.diff(offsets[first : last + 1]))
+                node, n, place, component = (flat.field(k).to_numpy() for k in range(4))
+                pairs = _Regions(region, node, n, place, component, flat.field(4), 0, percent).pairs(steps=not stars)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                first = last
 
     lists = members.groupBy("key").agg(F.collect_list(F.struct(*_MEMBER)).alias("members"))
     return lists.select("members").mapInArrow(emit, _PAIR)
