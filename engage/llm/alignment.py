@@ -27,10 +27,11 @@ from engage.llm.common import small_batches, written
 from engage.llm.packing import RANKS
 
 PIECES = "piece_bpe_32k.model"
-LANE = 2048  # tokens of A after which a long text goes on in another lane
+LANE = 1024  # tokens of A after which a long text goes on in another lane
 SEARCH = 256  # tokens of A among which a common end for the next lane is looked for at once
-TEXT_BYTES = 1 << 21  # of texts that are encoded and aligned at once; a longer text is on its own
-CHUNK_LINKS = 1 << 19  # links of a chunk; a text with more is a chunk of its own
+TEXT_BYTES = 1 << 20  # of texts that are aligned at once; a longer text is on its own
+CODED_BYTES = 1 << 16  # of texts whose ids are Python numbers at once, ten times the size of arrays
+CHUNK_LINKS = 1 << 18  # links of a chunk; a text with more is a chunk of its own
 CHUNK_BITS = 32  # number of a chunk within its partition
 PAIR_BITS = 32  # an id pair is A's id shifted left by so many bits, plus B's
 
@@ -132,12 +133,13 @@ def lockstep(
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
-def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Runs of rows with at most ``TEXT_BYTES`` of text."""
+def _batches(texts: pa.Array, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of rows with at most so many bytes of text, ``TEXT_BYTES`` if none is given."""
+    most = most or TEXT_BYTES
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     first, held = 0, 0
     for k, n in enumerate(size):
-        if held + n > TEXT_BYTES and k > first:
+        if held + n > most and k > first:
             yield first, k
             first, held = k, 0
         held += int(n)
@@ -145,6 +147,15 @@ def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield first, len(size)
 
 
+def _coded(own: Tokenizers, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids by A and B of each text as arrays; only those of a few texts are Python numbers at a time."""
+    return [
+        (np.array(a, dtype=np.int32), np.array(b, dtype=np.int32))
+        for first, last in _batches(texts, CODED_BYTES)
+        for a, b in own.encode(texts.slice(first, last - first).to_pylist())
+    ]
+
+
 def _bounds(sizes: list[int]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))]).astype(np.int64)
 
@@ -171,9 +182,9 @@ def align(docs: DataFrame, ranks: str = RANKS, pieces: str = PIECES, lane: int =
         own = Tokenizers(ranks, pieces)
         for batch in batches:
             for first, last in _batches(batch.column(1)):
-                coded = own.encode(batch.column(1).slice(first, last - first).to_pylist())
+                coded = _coded(own, batch.column(1).slice(first, last - first))
                 a_bounds, b_bounds = _bounds([len(a) for a, _ in coded]), _bounds([len(b) for _, b in coded])
-                a_ids, b_ids = (np.array([t for ids in coded for t in ids[k]], dtype=np.int64) for k in range(2))
+                a_ids, b_ids = (np.concatenate([ids[k] for ids in coded]) for k in range(2))
                 a_end, b_end = _ends(a_ids, own.a_size, a_bounds), _ends(b_ids, own.b_size, b_bounds)
                 a_cuts, b_cuts = lockstep(a_end, b_end, a_bounds, b_bounds, lane)
                 cuts = np.searchsorted(a_cuts, a_bounds, side="right")  # a cut behind a text's last token is its own

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -129,3 +130,13 @@ def test_ranks_give_the_ids_of_the_tokenizer_file(encoders):
     for _ in range(300):
         text = "".join(r.choices(parts, k=40))
         assert own.a.encode_ordinary(" " + text) == encoders[0].encode(" " + text, add_special_tokens=False).ids
+
+
+def test_ids_are_python_numbers_of_a_few_texts_at_a_time(monkeypatch):
+    own, sizes = alignment.Tokenizers(), []
+    encode = own.encode
+    monkeypatch.setattr(own, "encode", lambda texts: sizes.append(sum(len(t or "") for t in texts)) or encode(texts))
+    texts = ["some words " * 500] * 100 + [None, ""]
+    coded = alignment._coded(own, pa.array(texts))
+    assert max(sizes) <= alignment.CODED_BYTES < sum(sizes) == 100 * 5500
+    assert [(a.tolist(), b.tolist()) for a, b in coded] == encode(texts)
