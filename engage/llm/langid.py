@@ -252,6 +252,54 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, features: int = F
     return model
 
 
+CENTRE_UNITS = 1 << 20  # profiles are added up as whole numbers, so that their order changes nothing
+
+
+@dataclass
+class Centres:
+    """Mean profile of each language, less that of all, with length one."""
+
+    names: list[str]
+    middle: np.ndarray
+    vectors: np.ndarray
+
+    def nearest(self, texts: pa.Array) -> list[str]:
+        """The language whose mean profile is closest to that of each text; empty where nothing was learned."""
+        if not self.names:
+            return [""] * len(texts)
+        return [self.names[k] for _, _, x in profiles(texts) for k in ((x - self.middle) @ self.vectors.T).argmax(axis=1)]
+
+
+def centres(labelled: DataFrame) -> Centres:
+    """Learn from all rows of ``labelled(text, lang)`` with a language and a letter. Tasks add up profiles; only the sums travel."""
+    rows = labelled.select("lang", "text").where(F.col("lang").isNotNull() & has_letter(F.col("text")))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for first, last, x in profiles(batch.column(1)):
+                lang = np.array(batch.column(0).slice(first, last - first).to_pylist(), dtype=object)
+                for name in set(lang):
+                    part = np.rint(x[lang == name] * np.float32(CENTRE_UNITS)).sum(axis=0, dtype=np.float64).astype(np.int64)
+                    sums[name] = sums.get(name, 0) + np.append(part, (lang == name).sum())
+        for name, total in sums.items():
+            places = np.arange(len(total), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(total)), pa.array(places), pa.array(total)], names=["lang", "place", "total"]
+            )
+
+    found = rows.mapInArrow(add, "lang string, place int, total long").groupBy("lang", "place").agg(F.sum("total").alias("total")).toArrow()
+    lang, place, total = (found[c].to_numpy(zero_copy_only=False) for c in ("lang", "place", "total"))
+    names = sorted(set(lang))
+    sums = np.zeros((len(names), FEATURES + 1))
+    sums[np.searchsorted(np.array(names, dtype=object), lang), place] = total
+    means = sums[:, :-1] / np.maximum(sums[:, -1:], 1) / CENTRE_UNITS
+    middle = means.mean(axis=0) if names else np.zeros(FEATURES)
+    vectors = means - middle
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    return Centres(names, middle.astype(np.float32), vectors.astype(np.float32))
+
+
 def predictor(model: Model | None, features: int = FEATURES):
     """Column function ``text -> struct<lang, score, fits>``: ``und`` with score 0 that does not fit for a null text, one without
     letters, or where nothing was learned."""

@@ -1,8 +1,12 @@
-"""Toxicity by a convolutional text classifier, trained in numpy.
+"""Toxicity by a convolutional text classifier, trained in numpy on all labelled rows.
 
 Words and their first letters are hashed into a table of embeddings, so that forms of a word share what is learned of
 one; filters of several widths slide over the words of the whole text, the largest response of each filter is kept, and a linear layer turns these into a logit. Texts of a language share a
 threshold that is calibrated on labelled rows kept out of training; the language is guessed from the text.
+
+Each part of the labelled rows trains a replica. In each epoch every replica goes on from the common network with its own rows, in a task
+of its own; then their moves are averaged, those of a word's embedding over the replicas that have the word. So all rows
+teach in every epoch without being moved, and what one task holds and what comes to the driver (the network) do not grow with them.
 """
 
 from __future__ import annotations
@@ -12,22 +16,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engage.llm import langid, words
-from engage.llm.common import free_name
+from engage.llm.bloom import blocked_filter, may_hold
+from engage.llm.common import free_name, written
 
 BUCKETS = 1 << 16
 PREFIXES = (4, 5)  # bytes of a word's start that are hashed besides the word
 DIMENSIONS = 16
 FILTERS = 16
 WIDTHS = (1, 2, 3)
-PER_CLASS = 3000  # labelled rows of each class that are used to fit, at most
+REPLICA = 8192  # labelled rows of a replica, at least, if there are so many; also the rows that are held and shuffled at once
 EPOCHS = 6
 BATCH = 64
 PART_WORDS = 1 << 16  # words of a batch whose gradients are computed at once
 RATE = 0.01
+BLOCK = 1 << 14  # numbers of the network that are averaged in one row
+STEPS = 256  # parts of a unit of a logit that thresholds are told by
 PAD = max(WIDTHS)  # blank places after each text, so that no filter reaches into the next
 
 
@@ -126,7 +134,9 @@ def _gradients(net: Network, ids: np.ndarray, bounds: np.ndarray, y: np.ndarray,
             g_f[k] = np.einsum("dfe,df->ef", x[spot], g)
             back_x = (g[:, :, None] * f[k].T[None]).reshape(-1, DIMENSIONS)
             for feature in range(ids.shape[1]):
-                np.add.at(g_embedding, ids[spot, feature].ravel(), back_x)
+                # One number at a time, which numpy adds faster than rows.
+                at_once = ids[spot, feature].reshape(-1, 1) * DIMENSIONS + np.arange(DIMENSIONS)
+                np.add.at(g_embedding.reshape(-1), at_once.ravel(), back_x.ravel())
         g_filters.append(g_f)
     g_embedding[0] = 0
     return [g_embedding, *g_filters, *g_bias, hidden.T @ slope, np.array([slope.sum()], dtype=np.float32)]
@@ -143,31 +153,116 @@ def _by_words(rows: np.ndarray, texts: list[np.ndarray]) -> Iterator[np.ndarray]
     yield rows[start:]
 
 
-def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Network:
-    """Adam on shuffled batches; both classes weigh the same. ``texts`` are padded word ids."""
-    random = np.random.default_rng(seed)
-    net = Network.fresh(random)
-    weight = np.where(y > 0, 0.5 / max(1e-9, (y > 0).mean()), 0.5 / max(1e-9, (y <= 0).mean()))
-    first = [np.zeros_like(p) for p in net.parameters()]
-    second = [np.zeros_like(p) for p in net.parameters()]
-    step = 0
-    for epoch in range(epochs):
+def _vector(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in parts])
+
+
+def _parts(vector: np.ndarray, net: Network) -> list[np.ndarray]:
+    """A vector as arrays of the shapes of the network's parameters."""
+    ends = np.cumsum([p.size for p in net.parameters()])
+    return [v.reshape(p.shape) for v, p in zip(np.split(vector, ends[:-1]), net.parameters())]
+
+
+def _network(vector: np.ndarray) -> Network:
+    net = Network.fresh(np.random.default_rng(0))
+    for p, own in zip(net.parameters(), _parts(vector, net)):
+        p[...] = own
+    return net
+
+
+def learn(net: Network, rate: float, parts: Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]], seed: list[int]) -> None:
+    """Train the network in place by Adam on ``texts, y, weight`` of each part, shuffled, in batches; ``texts`` are padded word ids."""
+    first, second = ([np.zeros_like(p) for p in net.parameters()] for _ in range(2))
+    steps, random = 0, np.random.default_rng(seed)
+    for texts, y, weight in parts:
         order = random.permutation(len(texts))
-        rate = RATE * (1 - epoch / (epochs + 1))
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
-            step += 1
+            steps += 1
             total: list[np.ndarray] | None = None
             for part in _by_words(rows, texts):
-                ids = np.concatenate([texts[r] for r in part])
+                ids = np.concatenate([texts[r] for r in part]).astype(np.int64)
                 bounds = np.concatenate([[0], np.cumsum([len(texts[r]) for r in part])])
                 found = [g * (len(part) / len(rows)) for g in _gradients(net, ids, bounds, y[part], weight[part])]
                 total = found if total is None else [t + g for t, g in zip(total, found)]
             for p, g, m, v in zip(net.parameters(), total, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return net
+                p -= rate * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.999**steps)) + 1e-8)
+
+
+def _word_arrays(ids: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), dtype=np.uint16).reshape(-1, 1 + len(PREFIXES)) for x in ids]
+
+
+def train(rows: DataFrame, counts: dict[int, int], epochs: int = EPOCHS, seed: int = 11) -> Network:
+    """The network learned from all of ``rows(toxic, ids)``, of which each class has so many; both classes weigh the same."""
+    share = {c: 0.5 * sum(counts.values()) / n for c, n in counts.items()}
+    rows = rows.select("toxic", "ids").coalesce(max(1, sum(counts.values()) // REPLICA))
+    state = _vector(Network.fresh(np.random.default_rng(seed)).parameters())
+    size = len(state)
+
+    def one(state: np.ndarray, rate: float, epoch: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            replica = TaskContext.get().partitionId()
+            # What a word's row was moved to without an occurrence of the word is momentum alone and not told.
+            seen = np.ones(-(-size // DIMENSIONS), dtype=np.float32)
+            seen[:BUCKETS] = 0
+
+            def parts() -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+                texts: list[np.ndarray] = []
+                toxic: list[int] = []
+
+                def part() -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+                    y = np.array(toxic, dtype=np.float32)
+                    return texts, y, np.where(y > 0, share.get(1, 0), share.get(0, 0))
+
+                for batch in batches:
+                    for label, ids in zip(batch.column(0).to_pylist(), _word_arrays(batch.column(1))):
+                        seen[ids.ravel()] = 1
+                        texts.append(ids)
+                        toxic.append(label)
+                        if len(texts) == REPLICA:
+                            yield part()
+                            texts, toxic = [], []
+                if texts:
+                    yield part()
+
+            net = _network(state)
+            learn(net, rate, parts(), [seed, epoch, replica])
+            moved = ((_vector(net.parameters()) - state) * np.repeat(seen, DIMENSIONS)[:size]).astype(np.float16)
+            for block, k in enumerate(range(0, size, BLOCK)):
+                told = seen[k // DIMENSIONS : (k + BLOCK) // DIMENSIONS].astype(np.float16)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], type=pa.int32()),
+                        pa.array([replica], type=pa.int32()),
+                        pa.array([moved[k : k + BLOCK].tobytes()]),
+                        pa.array([told.tobytes()]),
+                    ],
+                    names=["block", "replica", "moved", "seen"],
+                )
+
+        return run
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = sums.setdefault(row["block"], [0.0, 0.0])
+                for k, name in enumerate(("moved", "seen")):
+                    own[k] = own[k] + np.frombuffer(row[name], dtype=np.float16).astype(np.float64)
+        for block, (moved, seen) in sums.items():
+            mean = moved / np.maximum(1, np.repeat(seen, DIMENSIONS)[: len(moved)])
+            yield pa.RecordBatch.from_arrays([pa.array([block], type=pa.int32()), pa.array([mean.astype(np.float32).tobytes()])], names=["block", "moved"])
+
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / (epochs + 1))
+        moves = rows.mapInArrow(one(state, rate, epoch), "block int, replica int, moved binary, seen binary")
+        # Added up in one order, so that reruns agree.
+        mean = moves.repartition("block").sortWithinPartitions("block", "replica").mapInArrow(add, "block int, moved binary")
+        state = state + np.concatenate([np.frombuffer(x.as_py(), dtype=np.float32) for x in mean.toArrow().sort_by("block")["moved"]])
+    return _network(state)
 
 
 def best_threshold(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
@@ -183,7 +278,7 @@ def best_threshold(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> floa
 
 
 def calibrate(logit: np.ndarray, y: np.ndarray, lang: list[str], weight: np.ndarray, least: int = 25) -> dict[str, float]:
-    """Threshold of each language with enough rows of both classes; the entry "" is that of all rows, for the others.
+    """Threshold of each language with enough rows of both classes; the entry "" is that of all rows, for the others. ``weight`` counts rows.
 
     A language's own best cut is drawn towards that of all rows, the more so the fewer toxic rows it has.
     """
@@ -191,97 +286,94 @@ def calibrate(logit: np.ndarray, y: np.ndarray, lang: list[str], weight: np.ndar
     names = np.array(lang, dtype=object)
     for name in sorted(set(lang)):
         own = names == name
-        if min((y[own] > 0).sum(), (y[own] <= 0).sum()) >= least:
-            best, hits = best_threshold(logit[own], y[own], weight[own]), (y[own] > 0).sum()
+        hits, misses = (weight[own & side].sum() for side in (y > 0, y <= 0))
+        if min(hits, misses) >= least:
+            best = best_threshold(logit[own], y[own], weight[own])
             cut[name] = float((hits * best + 100 * cut[""]) / (hits + 100))
     return cut
 
 
-def score_texts(
-    docs: DataFrame, texts: DataFrame, labels: DataFrame, languages: DataFrame, per_class: int = PER_CLASS
-) -> DataFrame:
+def _taught(texts: DataFrame, labels: DataFrame, centres: langid.Centres) -> DataFrame:
+    """``toxic, lang, ids, aside`` of all labelled texts: the label, the guessed language, the word ids, and whether the row is kept out
+    of training, alike for equal texts. Only texts whose id may be labelled move, as their ids."""
+    kind = labels.schema["doc_id"].dataType
+    taught = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where(
+        F.col("_id").isNotNull() & F.col("toxic").isin(0, 1)
+    )
+    wanted = blocked_filter(taught.select(F.xxhash64("_id").alias("key")))
+    whole = texts.select(F.col("doc_id").cast(kind).alias("id"), "text").dropna()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(may_hold(wanted, batch.column(0).to_numpy()), type=pa.bool_()))
+            for first, last, ids, bounds in word_ids(batch.column(2)):
+                each = [ids[a:b].astype(np.uint16).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                lang = centres.nearest(batch.column(2).slice(first, last - first))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(first, last - first), pa.array(lang, type=pa.string()), pa.array(each, type=pa.binary())],
+                    names=["id", "lang", "ids"],
+                )
+
+    coded = whole.select(F.xxhash64("id").alias("key"), "id", "text").mapInArrow(read, f"id {kind.simpleString()}, lang string, ids binary")
+    aside = F.pmod(F.xxhash64("ids", F.lit(5)), F.lit(5)) == 0
+    # Not broadcast at any size: the labels grow with the texts, and word ids of labelled texts alone are dealt out.
+    return coded.join(taught.hint("merge"), coded["id"] == taught["_id"]).select("toxic", "lang", "ids", aside.alias("aside"))
+
+
+def thresholds(net: Network, rows: DataFrame) -> dict[str, float]:
+    """``calibrate`` on all of ``rows``: they are counted by language, label and logit in steps, so that only counts come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = net.tables()
+        for batch in batches:
+            logit = [net.logits(tables, t.astype(np.int64), np.array([0, len(t)]))[0] for t in _word_arrays(batch.column(2))]
+            step = np.floor(np.array(logit, dtype=np.float64) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(step)], names=["toxic", "lang", "step"])
+
+    told = rows.select("toxic", "lang", "ids").mapInArrow(run, "toxic int, lang string, step long")
+    found = told.groupBy("lang", "step", "toxic").agg(F.count("*").alias("times")).orderBy("lang", "step", "toxic").toArrow()
+    toxic = found["toxic"].to_numpy()
+    if len(set(toxic.tolist())) < 2:
+        return {"": 0.0}
+    logit, times = (found["step"].to_numpy() + 0.5) / STEPS, found["times"].to_numpy().astype(np.float64)
+    return calibrate(logit, toxic.astype(np.float64), found["lang"].to_pylist(), times)
+
+
+def score_texts(docs: DataFrame, texts: DataFrame, labels: DataFrame, languages: DataFrame) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, from 0.5 on toxic) and ``predicted`` (0 or 1) added.
 
     ``labels(doc_id, toxic)`` are the labels to learn from, ``texts(doc_id, text)`` holds their texts, and
-    ``languages(doc_id, text, lang)`` the rows from which the language guess is learned. About ``per_class`` labels of each class are
-    used, those with the smallest hash of their id, with their whole texts, however long; a fifth of them sets the thresholds. Only the
-    chosen ids travel to the texts, which do not move.
+    ``languages(text, lang)`` the rows from which the language guess is learned. All labelled rows teach, with their whole texts, however
+    long: four fifths of them the network, the others the thresholds.
 
     Only the text is read to score, whole. A null or empty text, or one without words, gets the network's answer to no words.
     Rows with a null id, text or label teach nothing; with one class or none, every score is that class (0 if none). Repeated
     rows get equal scores; columns ``score`` and ``predicted`` of ``docs`` are replaced, others pass through.
     """
-    taught = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where(
-        F.col("_id").isNotNull() & F.col("toxic").isin(0, 1)
-    )
-    counts = {r["toxic"]: r["count"] for r in taught.groupBy("toxic").count().collect()}
-
-    def constant(classes: list[int]) -> DataFrame:
-        only = classes[0] if len(classes) == 1 else 0
+    centres = langid.centres(languages)
+    rows = written(_taught(texts, labels, centres), "taught")
+    counts = {(r["aside"], r["toxic"]): r["n"] for r in rows.groupBy("aside", "toxic").agg(F.count("*").alias("n")).collect()}
+    classes = sorted({c for _, c in counts})
+    if len(classes) < 2:
+        only = classes[0] if classes else 0
         return docs.withColumns({"score": F.lit(float(only)), "predicted": F.lit(only)})
-
-    if len(counts) < 2:
-        return constant(list(counts))
-    guess = langid.predictor(langid.fit(languages))
-    span = 1 << 30
-    share = F.create_map(
-        *[F.lit(v) for c, n in counts.items() for v in (c, int(span * min(1.0, 1.1 * per_class / n)))]
-    )
-    place = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(span))
-    chosen = taught.select("_id", "toxic", place.alias("place")).where(F.col("place") <= F.element_at(share, F.col("toxic")))
-    # About 1.1 times per_class rows of each class; a table that repeats ids very often is joined without sending it around.
-    chosen = F.broadcast(chosen) if chosen.count() <= 4 * per_class else chosen
-    texts = texts.select("doc_id", "text")
-    sample = texts.join(chosen, texts["doc_id"] == chosen["_id"])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, ids, bounds in word_ids(batch.column(3)):
-                each = [ids[a:b].astype(np.uint16).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                rest = [batch.column(k).slice(first, last - first) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(each, type=pa.binary())], names=["place", "toxic", "lang", "ids"])
-
-    rows = (
-        sample.select("place", "toxic", guess(F.col("text"))["lang"].alias("lang"), "text")
-        .mapInArrow(read, "place long, toxic int, lang string, ids binary")
-        .toArrow()
-        .sort_by([("place", "ascending"), ("toxic", "ascending"), ("ids", "ascending")])
-    )
-    toxic = rows.column("toxic").to_numpy()
-    if len(set(toxic.tolist())) < 2:
-        return constant(sorted(set(toxic.tolist())))
-    used = np.sort(np.concatenate([np.flatnonzero(toxic == c)[:per_class] for c in (0, 1)]))
-    y = toxic[used].astype(np.float32)
-    lang = [rows.column("lang")[int(k)].as_py() for k in used]
-    texts = [
-        np.frombuffer(rows.column("ids")[int(k)].as_py(), dtype=np.uint16).astype(np.int64).reshape(-1, 1 + len(PREFIXES))
-        for k in used
-    ]
-    aside = np.arange(len(used)) % 5 == 0
-    net = train([texts[k] for k in np.flatnonzero(~aside)], y[~aside])
-    tables = net.tables()
-    logit = np.concatenate([net.logits(tables, t, np.array([0, len(t)])) for t in texts])
-    weight = np.where(y > 0, counts[1] / max(1, (y > 0).sum()), counts[0] / max(1, (y <= 0).sum()))
-    both = len(set(y[aside])) == 2
-    cuts = calibrate(logit[aside], y[aside], [lang[k] for k in np.flatnonzero(aside)], weight[aside]) if both else {"": 0.0}
+    # With so few rows that a class is only among those kept out, all of them train.
+    apart = all((False, c) in counts for c in classes)
+    fitted = {c: sum(counts.get((side, c), 0) for side in ((False,) if apart else (False, True))) for c in classes}
+    net = train(rows.where(~F.col("aside")) if apart else rows, fitted)
+    cuts = thresholds(net, rows.where("aside"))
 
     @F.arrow_udf("double")
     def respond(column: pa.Array) -> pa.Array:
         at = net.tables()
         found = [net.logits(at, ids, bounds) for _, _, ids, bounds in word_ids(column)]
-        return pa.array(np.concatenate(found).astype(np.float64) if found else np.zeros(0))
+        logit = np.concatenate(found).astype(np.float64) if found else np.zeros(0)
+        return pa.array(logit - np.array([cuts.get(name, cuts[""]) for name in centres.nearest(column)], dtype=np.float64))
 
-    logit_name, lang_name = free_name(docs, "_logit"), free_name(docs, "_lang")
-    # One statement of the cuts for each language that was calibrated.
-    cut = F.coalesce(
-        F.element_at(F.create_map(*[F.lit(v) for item in sorted(cuts.items()) for v in item]), F.col(lang_name)),
-        F.lit(cuts[""]),
-    )
-    text = F.coalesce("text", F.lit(""))
-    told = docs.withColumns({logit_name: respond(text), lang_name: guess(text)["lang"]})
-    score = 1 / (1 + F.exp(-(F.col(logit_name) - cut)))
+    own = free_name(docs, "_logit")
+    told = docs.withColumn(own, respond(F.coalesce("text", F.lit(""))))
     return (
-        told.withColumn("score", score)
+        told.withColumn("score", 1 / (1 + F.exp(-F.col(own))))
         .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
-        .drop(logit_name, lang_name)
+        .drop(own)
     )

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from engage.llm import bloom, common, components, fmindex, forest, jaccard, mixing, packing, pseudonyms, queries, sketches, substrings, urls, words
+from engage.llm import bloom, common, components, fmindex, forest, jaccard, langid, mixing, packing, pseudonyms, queries, sketches, substrings, toxicity, urls, words
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -547,3 +547,17 @@ def test_pipeline(spark, data_dir, documents):
     out = corpus_pipeline.run(spark, data_dir)
     assert out.where("start = 0").count() == docs.count()
     assert set(entry.queries()) >= {"pipeline"}
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "REPLICA", 100)
+    rows = [(k, f"plain talk number {k}" + (" vile" if k % 4 == 0 else ""), "en") for k in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    taught = toxicity._taught(docs, labels, langid.centres(docs))
+    got = {r.toxic: r.n for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 6000, 1: 2000}
+    # Rows are dealt to many replicas; a row that is taken twice counts twice.
+    few = labels.where("doc_id < 600")
+    scored = toxicity.score_texts(docs.where("doc_id < 2000"), docs, few.union(few), docs)
+    assert scored.where((F.col("doc_id") % 4 == 0) != (F.col("predicted") == 1)).count() <= 20
