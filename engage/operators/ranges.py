@@ -4,6 +4,9 @@ A range is cut into aligned blocks of 1 to 2^16 addresses; what is wider than su
 covers. Blocks of one size are disjoint, so of each size only the last block that starts at or before an address can hold it.
 One sorted pass over a bucket's blocks and addresses finds these of all sizes, without pairing addresses with ranges. A bucket
 has at most 2^16 different addresses and 2^17 different blocks, whatever the tables hold.
+
+Ranges are dealt out before they are cut, and buckets to as many tasks as the number of blocks and addresses asks for, so that what a task
+holds does not grow with the tables.
 """
 
 from __future__ import annotations
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 from engage.operators.enrich import LOCATION
 
 BUCKET_BITS = 16
+TASK_ROWS = 1 << 18  # blocks and addresses of a task, about
+CUTTERS = 200  # tasks that cut ranges, at most; they pass blocks on and hold none
+NO_BLOCK = BUCKET_BITS + 1  # stands for the size of a block in the row of an address, so that it comes after the blocks at its number
 ADDRESSES = 1 << 32
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _ADDRESS = rf"\A{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
@@ -82,21 +88,30 @@ def locate_by_ranges(
     bounds in the wrong order hold nothing. Repeated rows on either side change nothing, other columns are ignored.
     """
     first, last = F.col("first").cast("bigint"), F.col("last").cast("bigint")
-    held = (
-        ranges.select(first.alias("first"), last.alias("last"), F.struct(*columns).alias("place"))
-        .where((F.col("first") >= 0) & (F.col("first") <= F.col("last")) & (F.col("last") < ADDRESSES))
+    held = ranges.select(first.alias("first"), last.alias("last"), F.struct(*columns).alias("place")).where(
+        (F.col("first") >= 0) & (F.col("first") <= F.col("last")) & (F.col("last") < ADDRESSES)
+    )
+    asked = addresses.select(address_number(F.col(address)).alias("number")).where(F.col("number").isNotNull())
+    # About a block of each size, and whole buckets.
+    size = F.lit(BUCKET_BITS + 1) + F.shiftright(F.col("last") - F.col("first"), BUCKET_BITS)
+    tasks = 1 + ((held.agg(F.sum(size)).first()[0] or 0) + asked.count()) // TASK_ROWS
+    blocks = (
+        held.repartition(min(tasks, CUTTERS), "first", "last")
         .withColumn("block", F.explode(_blocks(F.col("first"), F.col("last"))))
-        .groupBy("block.start", "block.bits")
-        .agg(F.min(F.struct((F.col("last") - F.col("first")).alias("width"), "first", "place")).alias("best"))
+        .select(
+            F.col("block.start").alias("number"),
+            F.col("block.bits").alias("bits"),
+            F.struct((F.col("last") - F.col("first")).alias("width"), "first", "place").alias("best"),
+        )
     )
-    asked = addresses.select(F.col(address).alias("ip")).distinct().withColumn("number", address_number(F.col("ip")))
     rows = (
-        asked.where(F.col("number").isNotNull())
-        .unionByName(held.withColumnRenamed("start", "number"), allowMissingColumns=True)
+        blocks.unionByName(asked.withColumn("bits", F.lit(NO_BLOCK)), allowMissingColumns=True)
         .withColumn("bucket", F.shiftright("number", BUCKET_BITS))
+        .repartition(tasks, "bucket")
+        .groupBy("bucket", "number", "bits")
+        .agg(F.min("best").alias("best"))
     )
-    # At one number blocks come before the address.
-    passed = W.partitionBy("bucket").orderBy("number", F.col("ip").isNotNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    passed = W.partitionBy("bucket").orderBy("number", "bits").rowsBetween(W.unboundedPreceding, W.currentRow)
     sizes = range(BUCKET_BITS + 1)
     seen = {
         f"of_{bits}": F.last(F.when(F.col("bits") == bits, F.struct("number", "best")), ignorenulls=True).over(passed)
@@ -106,5 +121,7 @@ def locate_by_ranges(
         F.when(F.col(f"of_{bits}.number") == F.shiftleft(F.shiftright("number", bits), bits), F.col(f"of_{bits}.best"))
         for bits in sizes
     ]
-    found = rows.withColumns(seen).where(F.col("ip").isNotNull()).select("ip", F.array_min(F.array(*holding)).alias("best"))
-    return found.where(F.col("best").isNotNull()).select("ip", "best.place.*", F.lit(source).alias("source"))
+    found = rows.withColumns(seen).where(F.col("bits") == NO_BLOCK).select("number", F.array_min(F.array(*holding)).alias("best"))
+    # Only one text has a number.
+    ip = address_text(F.col("number")).alias("ip")
+    return found.where(F.col("best").isNotNull()).select(ip, "best.place.*", F.lit(source).alias("source"))

@@ -6,6 +6,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from engage.operators import ranges as operator
 from engage.operators.enrich import BULK_ORDER, LOCATION
 from engage.operators.ranges import address_number, address_text, locate_by_ranges, network_bounds
 from engage.plans.jobs import new_locations
@@ -97,3 +98,12 @@ def test_ranges_locate_what_no_provider_located(spark):
     got = new_locations(users, responses, BULK_ORDER, ranges=networks)
     want = [("1.1.1.1", "Berlin", "ip-api.com"), ("2.2.2.2", "Near", "ranges")]
     assert rows(got.select("ip", "city", "source")) == want
+
+
+def test_tasks_grow_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(operator, "TASK_ROWS", 100)
+    ranges = [(k << 16, (k << 16) + 99, f"c{k}") for k in range(60)]
+    got = located(spark, [(k << 16) + 50 for k in range(60)], ranges)
+    assert rows(got, "city") == sorted((((text((k << 16) + 50)), f"c{k}", "ranges") for k in range(60)), key=lambda r: r[1])
+    # 60 ranges of about 17 blocks and 60 addresses.
+    assert "hashpartitioning(bucket" in plan(got) and ", 11), REPARTITION_BY_NUM" in plan(got)
