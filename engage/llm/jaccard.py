@@ -284,7 +284,7 @@ _POSTING = "key long, node long, n long, place long, component long, sketch arra
 _PAIR = "a long, b long"
 _MEMBER = ["node", "n", "place", "component", "sketch"]
 COMPARED = 1 << 18  # words of sketches that are compared at once
-MEMBERS = 1 << 13  # members of small regions that are paired at once
+MEMBERS = 1 << 13  # members of small regions that are paired at once; also places that are handed on at once
 
 
 def _postings(classes: DataFrame, table: np.ndarray, percent: int, whole: bool = False) -> DataFrame:
@@ -299,12 +299,16 @@ def _postings(classes: DataFrame, table: np.ndarray, percent: int, whole: bool =
             place = np.arange(len(keys)) - (offsets[:-1] - offsets[0])[row]
             kept = np.flatnonzero(place < (n - (percent * n + 99) // 100 + 1)[row])
             kept = kept[may_hold(table, keys[kept])]
-            row = row[kept]
-            columns = [keys[kept], node[row], n[row], place[kept], component[row]]
-            sketches = (batch.column(4) if whole else _small_sketches(n, batch.column(4), percent)).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, type=pa.int64()) for c in columns], sketches], names=[c.split()[0] for c in _POSTING.split(", ")]
-            )
+            sketches = batch.column(4) if whole else _small_sketches(n, batch.column(4), percent)
+            # A few at a time: sketches are repeated in every region of their set.
+            for k in range(0, len(kept), MEMBERS):
+                at = kept[k : k + MEMBERS]
+                own = row[at]
+                columns = [keys[at], node[own], n[own], place[at], component[own]]
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(c, type=pa.int64()) for c in columns], sketches.take(pa.array(own))],
+                    names=[c.split()[0] for c in _POSTING.split(", ")],
+                )
 
     component = F.coalesce("component", "node") if "component" in classes.columns else F.col("node")
     return classes.select("node", "n", component.alias("component"), "prefix", "sketch").mapInArrow(emit, _POSTING)

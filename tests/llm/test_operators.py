@@ -9,6 +9,7 @@ import numpy as np
 import oracle
 import pyarrow as pa
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -536,6 +537,15 @@ def test_pipeline_drops_texts_of_unlearned_languages(spark):
     assert all(stay[labels == lang].mean() > 0.97 for lang in labels.unique())
 
 
+def test_pipeline_judges_the_language_of_a_text_once(spark, data_dir):
+    import corpus_pipeline
+
+    docs = common.table(spark, data_dir, "documents")
+    told = corpus_pipeline.identify_language(spark, docs, data_dir)
+    # Each evaluation in a plan takes a worker of its own in every task.
+    assert plan(told).count("ArrowEvalPython") == 1
+
+
 def test_pipeline(spark, data_dir, documents):
     import corpus_pipeline
 
