@@ -34,6 +34,7 @@ EPOCHS = 6
 BATCH = 64
 PART_WORDS = 1 << 16  # words of a batch whose gradients are computed at once
 RATE = 0.01
+SCORED = 1 << 13  # words that are scored at once, or one longer text
 BLOCK = 1 << 14  # numbers of the network that are averaged in one row
 STEPS = 256  # parts of a unit of a logit that thresholds are told by
 PAD = max(WIDTHS)  # blank places after each text, so that no filter reaches into the next
@@ -81,24 +82,35 @@ class Network:
         out = random.normal(0, 0.1, FILTERS * len(WIDTHS)).astype(np.float32)
         return cls(e, f, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], out, np.zeros(1, np.float32))
 
-    def tables(self) -> list[list[np.ndarray]]:
-        """Response of every filter to every word at every place, so that scoring only looks up and adds."""
-        return [[self.embedding @ part for part in f] for f in self.filters]
-
-    def logits(self, tables: list[list[np.ndarray]], ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def tables(self) -> list[np.ndarray]:
+        """For each width the response of its filters to every word at every place, so that scoring only looks up and adds."""
+        return [np.hstack([self.embedding @ part for part in f]) for f in self.filters]
+
+    def logits(self, tables: list[np.ndarray], ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        # Some texts at a time, so that what is looked up stays in the processor's cache.
+        cuts, pooled = [0], []
+        while cuts[-1] < len(bounds) - 1:
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(bounds, bounds[cuts[-1]] + SCORED, side="right")) - 1))
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            at = bounds[first : last + 1] - bounds[first]
+            pooled.append(self._pooled(tables, np.ascontiguousarray(ids[bounds[first] : bounds[last]].T), at))
+        return np.concatenate(pooled) @ self.out + self.out_bias[0] if pooled else np.zeros(0, np.float32)
+
+    def _pooled(self, tables: list[np.ndarray], ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The largest response of every filter in each text; ``ids`` has a row for each feature."""
         pooled = []
-        for parts, b in zip(tables, self.bias):
-            w = len(parts)
-            response = parts[0][ids[:, 0]]
-            for k in range(w):
-                for f in range(ids.shape[1]):
-                    if k or f:
-                        response[: len(ids) - k] += parts[k][ids[k:, f]]
+        for table, b in zip(tables, self.bias):
+            found = table.take(ids[0], axis=0)
+            for own in ids[1:]:
+                found += table.take(own, axis=0)
+            response = np.ascontiguousarray(found[:, :FILTERS])
+            for k in range(1, table.shape[1] // FILTERS):
+                response[:-k] += found[k:, k * FILTERS : (k + 1) * FILTERS]
             # Places where a filter would reach into the next text lie in the blanks; they count for nothing.
             for k in range(1, PAD):
                 response[bounds[1:] - k] = -np.inf
             pooled.append(np.maximum(np.maximum.reduceat(response, bounds[:-1], axis=0) + b, 0))
-        return np.hstack(pooled) @ self.out + self.out_bias[0]
+        return np.hstack(pooled)
 
     def parameters(self) -> list[np.ndarray]:
         return [self.embedding, *self.filters, *self.bias, self.out, self.out_bias]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -571,3 +572,23 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
     few = labels.where("doc_id < 600")
     scored = toxicity.score_texts(docs.where("doc_id < 2000"), docs, few.union(few), docs)
     assert scored.where((F.col("doc_id") % 4 == 0) != (F.col("predicted") == 1)).count() <= 20
+
+
+def test_scoring_looks_up_a_few_words_at_a_time():
+    random_ = np.random.default_rng(3)
+    net = toxicity.Network.fresh(random_)
+    texts = [" ".join(random_.choice(WORDS, k)) for k in (0, 1, 2, 5, 200, 20_000)] + [" ".join(random_.choice(WORDS, 300)) for _ in range(400)]
+    ((_, _, ids, bounds),) = toxicity.word_ids(pa.array(texts))
+    tables = net.tables()
+    tracemalloc.start()
+    found = net.logits(tables, ids, bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * 20_000 * 4  # whatever the number of texts: some columns of numbers for the longest of them
+    for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        x, pooled = net.embedding[ids[lo:hi]].sum(axis=1), []
+        for f, b in zip(net.filters, net.bias):
+            ends = hi - lo - toxicity.PAD + 1
+            response = sum(x[j : ends + j] @ f[j] for j in range(len(f)))
+            pooled.append(np.maximum(response.max(axis=0) + b, 0))
+        assert found[k] == pytest.approx(np.hstack(pooled) @ net.out + net.out_bias[0], abs=1e-4)
