@@ -1,8 +1,8 @@
 """Attribution as a state that takes in events slice by slice: new shards are read once, older ones never again.
 
-The state of a user is one row of partial aggregates and one narrow row for each session. Both kinds combine by the same rule, a grouping by
-user and session: first and last touch by event order, sums, extremes and day sets for the former, nothing for the latter, which
-only must be distinct. Combining is associative and commutative, so slices may come in any order and be combined in any
+The state of a user is one row of partial aggregates and one narrow row for each session. The former combine by user: first and last
+touch by event order, sums, extremes and day sets; the latter only must be distinct, and never pass through the wide aggregation.
+Combining is associative and commutative, so slices may come in any order and be combined in any
 grouping; the finished state equals ``attribution_full`` over all events. Sessions are exact and are spread over tasks; the
 days of a user are bounded by the calendar. A slice must be taken in once, since its events are counted.
 """
@@ -30,12 +30,12 @@ def _packed(columns: dict[str, Column]) -> Column:
 
 
 def _order(touch: str) -> Column:
-    """The place of a touch among others; null for a session row, which the extremes then pass over."""
+    """The place of a touch among others; null for a row without touches (a count of sessions), which the extremes then pass over."""
     return F.when(F.col(touch).isNotNull(), F.struct(f"{touch}.event_timestamp", f"{touch}.event_id"))
 
 
 def _merged() -> dict[str, Column]:
-    """How the columns of a state combine; each ignores the nulls of session rows."""
+    """How the aggregates of a user combine."""
     return {
         "first": F.min_by("first", _order("first")),
         "last": F.max_by("last", _order("last")),
@@ -46,38 +46,66 @@ def _merged() -> dict[str, Column]:
     }
 
 
+def users_of(state: DataFrame) -> DataFrame:
+    """The aggregate rows of a state: those with a touch, so that the planner drops the session rows' part of an unwritten state."""
+    return state.where(F.col("first").isNotNull())
+
+
+def sessions_of(state: DataFrame) -> DataFrame:
+    return state.where(F.col(SESSION).isNotNull()).select(KEY, SESSION)
+
+
+def _state(users: DataFrame, sessions: DataFrame) -> DataFrame:
+    aggregates = users.select(KEY, F.lit(None).cast("bigint").alias(SESSION), *_merged().keys())
+    return aggregates.unionByName(sessions.distinct(), allowMissingColumns=True)
+
+
+# Days are gathered as bits of a word, one word for each 64 days from the epoch. A set of days as an aggregate (``collect_set``) would
+# have every event pass through an object aggregation, which sorts all its wide rows again once a task has more than a few users.
+WORD = 64
+
+
+def _days(word: Column, bits: Column) -> Column:
+    """The days of a word, ascending."""
+    there = F.filter(
+        F.sequence(F.lit(0), F.lit(WORD - 1)),
+        lambda i: F.call_function("shiftrightunsigned", bits, i).bitwiseAND(F.lit(1)) == 1,
+    )
+    return F.transform(there, lambda i: F.date_from_unix_date(word * WORD + i))
+
+
 def slice_state(events: DataFrame) -> DataFrame:
     """The state of flat events (``flatten_events``): ``user_id, session_id`` and partial aggregates.
 
-    A user without sessions has the aggregate row alone. Rows without a session add to the aggregates only.
+    A user has an aggregate row for each word of days with events, which combine to one; without sessions these are all. Rows
+    without a session add to the aggregates only.
     """
-    day = F.to_date(F.timestamp_micros("event_timestamp"))
+    day = F.unix_date(F.to_date(F.timestamp_micros("event_timestamp")))
     order = F.struct("event_timestamp", "event_id")
-    users = events.groupBy(KEY).agg(
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(WORD)))
+    words = events.groupBy(KEY, F.floor(day / WORD).cast("int").alias("word")).agg(
         F.min_by(_packed(A._first_touch_columns()), order).alias("first"),
         F.max_by(_packed(_at_last()), order).alias("last"),
         F.count("*").alias("events"),
         F.sum(F.coalesce("engagement_time_msec", F.lit(0))).alias("engagement_ms"),
-        F.array_sort(F.collect_set(day)).alias("days"),
+        F.bit_or(bit).alias("bits"),
         *[F.max(name).alias(name) for name in A.PRODUCT],
     )
-    aggregates = users.select(KEY, F.lit(None).cast("bigint").alias(SESSION), *_merged().keys())
-    sessions = events.where(F.col(SESSION).isNotNull()).select(KEY, SESSION).distinct()
-    return aggregates.unionByName(sessions, allowMissingColumns=True)
+    return _state(words.withColumn("days", _days(F.col("word"), F.col("bits"))), sessions_of(events))
 
 
 def combine(*states: DataFrame) -> DataFrame:
     """One state of several, given in any order."""
     rows = reduce(DataFrame.unionByName, states)
-    merged = rows.groupBy(KEY, SESSION).agg(*[c.alias(n) for n, c in _merged().items()])
-    # A group of session rows has no days at all, not an empty set.
-    return merged.withColumn("days", F.when(F.col(SESSION).isNull(), F.col("days")))
+    return _state(users_of(rows).groupBy(KEY).agg(*[c.alias(n) for n, c in _merged().items()]), sessions_of(rows))
 
 
 def finish(state: DataFrame) -> DataFrame:
     """The columns of ``attribution_full`` of a combined state, one row per user."""
+    counts = sessions_of(state).groupBy(KEY).agg(F.count("*").alias("total_sessions"))
+    counted = users_of(state).drop(SESSION).unionByName(counts, allowMissingColumns=True)
     columns = [c.alias(n) for n, c in _merged().items()]
-    users = state.groupBy(KEY).agg(*columns, F.count(SESSION).alias("total_sessions"))
+    users = counted.groupBy(KEY).agg(*columns, F.coalesce(F.sum("total_sessions"), F.lit(0)).alias("total_sessions"))
     seconds = half_up_bigint(F.col("engagement_ms") / 1000)
     return (
         users.withColumns(

@@ -213,14 +213,14 @@ def run_attribution_increment(
         return 0
     with staging():
         part = stage(AS.slice_state(A.flatten_events(fresh, names)), "slice")
-        buckets = state.touched(base, part.select(AS.KEY))
+        concerned = part.where(F.col(AS.SESSION).isNull()).select(AS.KEY)
+        buckets = state.touched(base, concerned)
         written = state.write(base, AS.combine(state.read(base, buckets), part))
         folders = [f"{state.path}/{folder}" for folder in written.values()]
         enriched = 0
         if folders:
             rows = users.spark.read.schema(base.schema).parquet(*folders)
-            concerned = part.select(AS.KEY).distinct()
-            rollup = A.with_product_names(AS.finish(rows.join(concerned, AS.KEY, "left_semi")), names)
+            rollup = A.with_product_names(AS.finish(rows).join(concerned.distinct(), AS.KEY, "left_semi"), names)
             enriched = update(users, rollup, "user_id")
         state.commit(base, written, buckets, None, note=newest)
         return enriched

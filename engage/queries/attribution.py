@@ -48,8 +48,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sharded(spark: SparkSession, sf_dir: str) -> str:
     """The events as landed shards, one folder for each date."""
     path = scratch_dir(spark, "shards")
-    day = F.to_date(F.timestamp_micros("event_timestamp"))
-    ga_events(spark, sf_dir).withColumn("dt", day).write.partitionBy("dt").parquet(path)
+    ga_events(spark, sf_dir, shard="dt").write.partitionBy("dt").parquet(path)
     return path
 
 

@@ -36,12 +36,18 @@ def micros(ts: str) -> Column:
 
 
 # --- events ---------------------------------------------------------------------------------------------------------
-def ga_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Analytics events: nested traffic, session, device and geo records and a key/value parameter array."""
+def ga_events(spark: SparkSession, sf_dir: str, shard: str | None = None) -> DataFrame:
+    """Analytics events: nested traffic, session, device and geo records and a key/value parameter array.
+
+    ``shard`` names a column for the date, by which each task's rows are then ordered, as a write into shards needs them: here
+    they are narrow, while the write would sort the nested records.
+    """
     number = F.get_json_object("props", "$.k").cast("bigint")
     raw = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", "ts", number.alias("k")
     )
+    if shard is not None:
+        raw = raw.withColumn(shard, F.to_date(F.timestamp_micros(micros("ts")))).sortWithinPartitions(shard)
     k, hours = F.col("k"), F.floor((micros("ts") - 1704067200000000) / F.lit(3_600_000_000))
 
     def text_param(key: Column | str, value: Column) -> Column:
@@ -107,6 +113,7 @@ def ga_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _pick(k, "Europe", "Asia", "Americas").alias("continent"),
             _unless(k % 2 == 0, _text("Metro", k % 15)).alias("metro"),
         ).alias("geo"),
+        *([] if shard is None else [shard]),
     )
 
 

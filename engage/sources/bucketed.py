@@ -17,6 +17,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from engage.operators.diff import row_changes
 from engage.operators.merge import columns_to_insert, merge, merge_update_only
@@ -83,7 +84,7 @@ class BucketedTable:
 
     def create(self, schema: str) -> bool:
         """Create the empty table unless it is there; true when this call made it."""
-        first = Version(0, ddl_of(self.spark.createDataFrame([], schema)), self.key, self.buckets)
+        first = Version(0, ddl_of(_empty(self.spark, schema)), self.key, self.buckets)
         return not self.exists() and files.write_new(self.spark, self._record(0), first.text())
 
     def note(self) -> str | None:
@@ -96,7 +97,7 @@ class BucketedTable:
         wanted = version.folders if buckets is None else set(buckets)
         paths = [f"{self.path}/{f}" for b, found in sorted(version.folders.items()) if b in wanted for f in found]
         if not paths:
-            return self.spark.createDataFrame([], version.schema)
+            return _empty(self.spark, version.schema)
         return self.spark.read.schema(version.schema).parquet(*paths)
 
     def count(self) -> int:
@@ -243,5 +244,11 @@ class BucketedTable:
         return filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in known])
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, known to the planner as none: rows made of Python values would start Python workers to read nothing."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).limit(0)
+
+
 def ddl_of(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
