@@ -15,11 +15,15 @@ from engage.llm.common import free_name
 
 ROUNDS = 8
 HALF = 12  # symbols of a half; 26 ** 12 fits into a bigint
+STRETCH = 1000  # numbers of a run that are put together before they join the rest, as each step copies what it has so far
 
 # Each kind's pattern; a value belongs to the first kind that matches at its place. Octets, months, days and, below, Luhn
-# sums and calendar dates are validated.
+# sums and calendar dates are validated. Groups that repeat without bound are possessive: Java's matcher takes a stack frame or more
+# for each turn of any other, so that a run of a thousand numbers would end the executor by a stack overflow.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
+# Labels up to the last one that two letters follow.
+_LABELS = r"(?:(?:[A-Za-z0-9-]++\.(?![A-Za-z]{2}))*+[A-Za-z0-9-]++\.(?=[A-Za-z]{2}))++"
+_EMAIL = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_LABELS}[A-Za-z]{{2,24}}"
 _SECRET = (
     r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9_])(?i:password|passwd|pwd|secret|token|api_?key)[ \t]?[=:][ \t]?[\"']?[A-Za-z0-9+/_-]{6,}"
@@ -35,7 +39,8 @@ _PHONE = (
     r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\w)"
 )
 _SOCIAL = r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"
-_CARD = r"(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-])"  # or several numbers in a row, one of which may be a card's
+# Or several numbers in a row, one of which may be a card's: 13 digits at least, up to the last number that ends here.
+_CARD = r"(?<![\w-])\d(?:[ -]?\d){12}\d*+(?:-\d++)*+(?![\w-])(?: \d++(?:-\d++)*+(?![\w-]))*+"
 _HEX_DIGITS = r"\A[0-9]{32,64}\z"  # a hexadecimal key that happens to have no letters
 PATTERN = "|".join([_EMAIL, _SECRET, _ADDRESS, _DATE, _PHONE, _SOCIAL, _CARD])
 # Texts without any of these cannot hold a value.
@@ -117,42 +122,32 @@ def _permute_block(symbols: Column, key: str, tweak: Column) -> Column:
     )
 
 
-def permute_symbols(value: Column, key: str, kind: str, variable: str = "[0-9A-Za-z]") -> Column:
-    """Permute the variable symbols of a value within their classes; all else stays in place.
+def permute_symbols(value: Column, key: str, kind: str) -> Column:
+    """Permute the digits and ASCII letters of a value within their classes; all else stays in place.
 
-    Blocks of 24 symbols are permuted on their own, each under its place and the classes of its symbols.
+    Blocks of 24 symbols are permuted on their own, each under its place and the classes of its symbols. The value is cut into
+    pieces with a block each, so that no step walks over the whole of a long one again.
     """
-    found = F.regexp_extract_all(value, F.lit(f"({variable})"), F.lit(1))
+    variable = "[0-9A-Za-z]"
+    pieces = F.regexp_extract_all(value, F.lit(f"((?:[^0-9A-Za-z]*+{variable}){{1,{2 * HALF}}})"), F.lit(1))
+    rest = F.regexp_extract(value, r"(?<![^0-9A-Za-z])[^0-9A-Za-z]*+\z", 0)
+    form = lambda s: F.translate(
+        F.array_join(s, ""), "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0" * 10 + "A" * 26 + "a" * 26
+    )
 
-    def shuffled(symbols: Column) -> Column:
-        blocks = F.sequence(F.lit(0), F.floor((F.size(symbols) - 1) / (2 * HALF)).cast("int"))
-        block = lambda k: F.slice(symbols, k * (2 * HALF) + 1, F.lit(2 * HALF))
-        form = lambda s: F.translate(
-            F.array_join(s, ""), "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0" * 10 + "A" * 26 + "a" * 26
-        )
-        return F.array_join(
-            F.transform(
-                blocks,
-                lambda k: _bind(
-                    block(k), lambda s: _permute_block(s, key, F.concat_ws(":", F.lit(kind), k.cast("string"), form(s)))
-                ),
-            ),
-            "",
-        )
+    def put_back(piece: Column, text: Column) -> Column:
+        between = F.split(piece, variable, -1)
+        return F.array_join(F.transform(between, lambda gap, i: F.concat(gap, F.substring(text, i + 1, F.lit(1)))), "")
 
-    def put_back(symbols: Column) -> Column:
-        text = shuffled(symbols)
+    def shuffled(piece: Column, k: Column) -> Column:
         return _bind(
-            text,
-            lambda t: F.array_join(
-                F.transform(
-                    F.split(value, variable, -1), lambda piece, i: F.concat(piece, F.substring(t, i + 1, F.lit(1)))
-                ),
-                "",
+            F.regexp_extract_all(piece, F.lit(f"({variable})"), F.lit(1)),
+            lambda s: _bind(
+                _permute_block(s, key, F.concat_ws(":", F.lit(kind), k.cast("string"), form(s))), lambda text: put_back(piece, text)
             ),
         )
 
-    return F.when(F.size(found) > 0, _bind(found, put_back)).otherwise(value)
+    return F.concat(F.array_join(F.transform(pieces, shuffled), ""), rest)
 
 
 def _email(value: Column, key: str) -> Column:
@@ -279,8 +274,16 @@ def _cards(value: Column, key: str) -> Column:
                 ),
             )
 
+        def stretch(state: Column, first: Column) -> Column:
+            last = F.least(first + (STRETCH - 1), F.size(groups))
+            start = F.struct(F.lit("").alias("out"), state["left"].alias("left"))
+            return _bind(
+                F.aggregate(F.sequence(first, last), start, step),
+                lambda new: F.struct(F.concat(state["out"], new["out"]).alias("out"), new["left"].alias("left")),
+            )
+
         start = F.struct(F.lit("").alias("out"), F.lit("").alias("left"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: state["out"])
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups), F.lit(STRETCH)), start, stretch, lambda state: state["out"])
 
     run = F.struct(F.split(value, "[ -]").alias("groups"), F.regexp_extract_all(value, F.lit("([ -])"), F.lit(1)).alias("gaps"))
     return _bind(run, read)
@@ -313,7 +316,7 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     0, an empty one stays empty; numbers of 13 or more digits stay, but for those 13 to 19 of them, in whole groups, that pass the Luhn
     check: these alone are replaced, and alike wherever they stand; repeated rows get equal results; other columns and null ids pass through. A column
     ``n_replaced`` of ``docs`` is replaced. No shuffle: one pass of map-side functions; the Feistel rounds run for found
-    values only.
+    values only. Texts and runs of numbers may be long: they are searched without recursion.
     """
     text = F.col("text")
     found = F.when(text.rlike(TRIGGER), F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)))

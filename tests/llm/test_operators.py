@@ -268,6 +268,31 @@ def test_a_card_has_one_pseudonym_wherever_it_stands(spark):
         assert row.text == form.format(shown, other_new) and row.n_replaced == 1
 
 
+def test_long_runs_of_numbers_hosts_and_secrets(spark):
+    other, card = "8" * 20, "4111 1111 1111 1111"  # numbers of 20 digits are in no card
+    run = [other] * 998 + [card] + [other] * 3000  # the card lies over the end of the first stretch
+    host = ".".join(("a", "bb", "c1")[i % 3] for i in range(6000))
+    secret = "".join(random.Random(5).choices("abcXYZ019+/", k=20000))
+    texts = [card, " ".join(run), "-".join(run), "7" * 20000, f"x@{host}.com", f"token={secret}", f"token={secret[:400]}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    alone, spaced, hyphens, digits, mail, long, short = pseudonyms.pseudonymise(docs, "key").orderBy("doc_id").collect()
+    assert spaced.text.split(" ") == [other] * 998 + alone.text.split(" ") + [other] * 3000 and spaced.n_replaced == 1
+    assert hyphens.text.split("-") == [other] * 998 + [alone.text] + [other] * 3000 and hyphens.n_replaced == 1
+    assert digits.text == texts[3] and digits.n_replaced == 0
+    assert [len(x) for x in mail.text.split(".")] == [len(x) for x in texts[4].split(".")] and mail.text.endswith(".com") and mail.n_replaced == 1
+    assert len(long.text) == len(texts[5]) and long.text[:300] == short.text[:300] and long.text[6:] != secret and long.n_replaced == 1
+
+
+def test_values_end_where_a_number_or_a_label_ends(spark):
+    same = ["1234 5678 90123a", "1234567890123-", "4111 1111 1111 11-11a", "a@b.c1", "a@1.2.3", "a@b..com"]
+    cut = [("4111 1111 1111 1111 12a", " 12a"), ("4111 1111 1111 1111 2--3", " 2--3"), ("a@b.com.", "."), ("a@b.co.x", ".x"), ("a@b.com1", "1"), ("a@b." + "q" * 26, "qq")]
+    texts = same + [text for text, _ in cut]
+    out = pseudonyms.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").orderBy("doc_id").collect()
+    assert [(r.text, r.n_replaced) for r in out[: len(same)]] == [(text, 0) for text in same]
+    for row, (text, rest) in zip(out[len(same) :], cut):
+        assert row.n_replaced == 1 and row.text != text and row.text.endswith(rest) and len(row.text) == len(text), text
+
+
 # --- op4 ---
 def test_packing_is_a_round_trip(spark, data_dir, documents):
     from public_tokenizers import path
