@@ -28,6 +28,17 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+READ_ROWS = 64  # rows of a batch of the Parquet reader, which keeps the texts of one, and twice their room while it grows
+
+
+def small_reads(spark: SparkSession) -> SparkSession:
+    """Bound the memory that the Parquet reader takes for texts in the session, however long they are; a smaller setting stays."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    if int(spark.conf.get(name)) > READ_ROWS:
+        spark.conf.set(name, str(READ_ROWS))
+    return spark
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone, whatever the locale or script."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engage.llm.common import free_name
+from engage.llm.common import free_name, small_reads
 
 ROUNDS = 8
 HALF = 12  # symbols of a half; 26 ** 12 fits into a bigint
@@ -316,8 +316,9 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     0, an empty one stays empty; numbers of 13 or more digits stay, but for those 13 to 19 of them, in whole groups, that pass the Luhn
     check: these alone are replaced, and alike wherever they stand; repeated rows get equal results; other columns and null ids pass through. A column
     ``n_replaced`` of ``docs`` is replaced. No shuffle: one pass of map-side functions; the Feistel rounds run for found
-    values only. Texts and runs of numbers may be long: they are searched without recursion.
+    values only. Texts and runs of numbers may be long: they are searched without recursion and read a few at a time.
     """
+    small_reads(docs.sparkSession)
     text = F.col("text")
     found = F.when(text.rlike(TRIGGER), F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)))
     own = free_name(docs, "_found")

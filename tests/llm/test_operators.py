@@ -293,6 +293,18 @@ def test_values_end_where_a_number_or_a_label_ends(spark):
         assert row.n_replaced == 1 and row.text != text and row.text.endswith(rest) and len(row.text) == len(text), text
 
 
+def test_texts_are_read_a_few_at_a_time(spark):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    docs, before = spark.createDataFrame([(1, "x@example.com")], "doc_id long, text string"), spark.conf.get(name)
+    try:
+        for had, has in (("4096", common.READ_ROWS), ("16", 16)):
+            spark.conf.set(name, had)
+            pseudonyms.pseudonymise(docs, "key")
+            assert int(spark.conf.get(name)) == has
+    finally:
+        spark.conf.set(name, before)
+
+
 # --- op4 ---
 def test_packing_is_a_round_trip(spark, data_dir, documents):
     from public_tokenizers import path
